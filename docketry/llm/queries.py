@@ -10,6 +10,21 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint and near-duplicate component."""
+    from .simhash import near_duplicates
+
+    return near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's lines before dropping, dropped lines, and digest of what stays."""
+    from .linededup import dedup_lines
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text"), 256).alias("kept_sha256"))
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's shard and slot after the two-pass shuffle."""
     from .sharding import external_shuffle
