@@ -17,6 +17,14 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document in its sequence."""
+    from .packing import pack
+
+    packed = pack(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's lines before dropping, dropped lines, and digest of what stays."""
     from .linededup import dedup_lines
@@ -43,6 +51,31 @@ def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every sequence's slot, shard and byte offset in the shards written below the shared folder."""
+    from uuid import uuid4
+
+    from .common import shared_dir
+    from .training_order import digest
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return digest(docs, f"{shared_dir(spark)}/docketry-shards-{uuid4().hex}")
+
+
+def _fold(modulus: int):
+    """crc32 of the id as text, modulo ``modulus``; a null id is as the empty text."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % modulus
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's predicted language, learned from the documents of three folds of four."""
+    from .langid import fit, identify
+
+    docs = _table(spark, sf_dir, "documents")
+    model = fit(docs.where(_fold(4) != 2).select("text", "lang"))
+    return identify(docs.select("doc_id", (_fold(4) == 2).alias("held_out"), "text"), model)
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's share of the mix."""
     from .mixing import mix
