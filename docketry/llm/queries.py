@@ -17,6 +17,14 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text statistics, perplexity, and the verdict of its language's band."""
+    from .perplexity import judge
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return judge(docs, carry=["doc_id"])
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document in its sequence."""
     from .packing import pack
