@@ -75,6 +75,17 @@ def _fold(modulus: int):
     return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality, learned from the labels of four folds of five."""
+    from .linecrf import fit, score
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").where(_fold(5) != 0).select("doc_id", F.col("quality").alias("label")).distinct()
+    field = fit(labels.join(docs, "doc_id").select(F.col("doc_id").alias("id"), "text", "label"))
+    scored = score(docs.withColumn("held_out", _fold(5) == 0), field)
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's predicted language, learned from the documents of three folds of four."""
     from .langid import fit, identify
