@@ -2,5 +2,11 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+import inspect
+
+from . import oracles, queries
+
+QUERIES = {
+    name: fn for name, fn in vars(queries).items() if inspect.isfunction(fn) and fn.__module__ == queries.__name__ and not name.startswith("_")
+}
+ORACLES = dict(oracles.ORACLES)
