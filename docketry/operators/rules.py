@@ -72,7 +72,8 @@ def _pick(*rules: tuple[Column, Column | str]) -> Column:
     return F.array_compact(F.array(*[F.when(when, F.lit(name) if isinstance(name, str) else name) for when, name in rules]))
 
 
-def outcome(
+def apply_rules(
+    cases: DataFrame,
     record: dict[str, Column],
     *,
     risk_known: Column,
@@ -85,11 +86,12 @@ def outcome(
     waiver_visible: Column | None = None,
     revoked: Column | None = None,
     stale_days: int = fixed.STALE_DAYS,
-) -> Column:
-    """A struct (decision, reason, denials, reviews, approvals) from the columns of a record.
+) -> DataFrame:
+    """``cases`` with decision, reason, denials, reviews and approvals.
 
-    ``record`` has visa_class, fee_status, sponsor_id, home_world, arrival_date, risk_flags (an
-    array) and the required fields. The order of the rules is the order of the reasons.
+    The buckets are columns of their own before the decision reads them, so none is computed twice.
+    ``record`` maps visa_class, fee_status, sponsor_id, home_world, arrival_date, risk_flags (an
+    array) and the required fields to columns. The order of the rules is the order of the reasons.
     """
     null = F.lit(None).cast("string")
     note, note_text = (null if x is None else x for x in (note, note_text))
@@ -145,13 +147,12 @@ def outcome(
     )
     none = F.array().cast("array<string>")
     settled = F.coalesce(note.isin(*fixed.DECISIONS), F.lit(False))
-
-    def result(decision: Column, reason: Column, *buckets: Column) -> Column:
-        return F.struct(decision.alias("decision"), reason.alias("reason"), *[b.alias(n) for b, n in zip(buckets, ("denials", "reviews", "approvals"), strict=True)])
-
-    return (
-        F.when(settled, result(note, F.lit("adjudicator_note"), none, none, F.array(F.lit("adjudicator_note"))))
-        .when(F.size(denials) > 0, result(F.lit("DENIED"), denials[0], denials, reviews, approvals))
-        .when(F.size(reviews) > 0, result(F.lit("NEEDS_REVIEW"), reviews[0], denials, reviews, approvals))
-        .otherwise(result(F.lit("APPROVED"), F.lit("clean"), denials, reviews, approvals))
-    )
+    listed = cases.withColumns({"denials": denials, "reviews": reviews, "approvals": approvals, "__settled": settled, "__note": note})
+    denied, doubted = F.size("denials") > 0, F.size("reviews") > 0
+    settled = F.col("__settled")
+    decision = F.when(settled, F.col("__note")).when(denied, "DENIED").when(doubted, "NEEDS_REVIEW").otherwise("APPROVED")
+    reason = F.when(settled, "adjudicator_note").when(denied, F.get("denials", F.lit(0))).when(doubted, F.get("reviews", F.lit(0))).otherwise("clean")
+    decided = listed.withColumns({"decision": decision, "reason": reason})
+    kept = {b: F.when(settled, none).otherwise(F.col(b)) for b in ("denials", "reviews")}
+    kept["approvals"] = F.when(settled, F.array(F.lit("adjudicator_note"))).otherwise(F.col("approvals"))
+    return decided.withColumns(kept).drop("__settled", "__note")

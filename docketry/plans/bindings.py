@@ -37,12 +37,11 @@ def decided_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     cases = order_cases(spark, sf_dir)
     reference = rules.reference_date(table(spark, sf_dir, "orders"), "o_orderdate")
     record = {"visa_class": F.col("visa"), "fee_status": F.lit("paid"), "sponsor_id": F.col("supplier").cast("string"), "home_world": F.col("world"), "arrival_date": F.col("arrival"), "risk_flags": F.col("flags")}
-    result = rules.outcome(
-        record, risk_known=F.lit(True), fee_known=F.lit(True), fee_contested=F.lit(False), reference=F.col("reference_date"),
+    joined = cases.crossJoin(F.broadcast(reference))  # one row
+    return rules.apply_rules(
+        joined, record, risk_known=F.lit(True), fee_known=F.lit(True), fee_contested=F.lit(False), reference=F.col("reference_date"),
         revoked=F.col("supplier") % 97 == 0, stale_days=STALE_DAYS,
     )
-    joined = cases.crossJoin(F.broadcast(reference))  # one row
-    return joined.withColumn("result", result).select("*", "result.*").drop("result")
 
 
 def judged_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,7 +68,7 @@ def line_readings(spark: SparkSession, sf_dir: str, value) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("case_id"), F.lit("sponsor_id").alias("field"), value.cast("string").alias("value"), rank.alias("rank"),
         (F.col("l_linestatus") == "F").alias("exact"), F.col("l_linenumber").alias("page"), F.lit("form").alias("doc_type"),
-        F.struct(F.col("l_linenumber").alias("line"), F.col("l_suppkey").alias("a"), F.col("l_partkey").alias("b")).alias("seq"),
+        F.struct(F.col("l_linenumber").alias("line"), F.col("l_suppkey").alias("a"), F.col("l_partkey").alias("b"), F.col("l_returnflag").alias("c"), F.col("l_linestatus").alias("d")).alias("seq"),
     )
 
 

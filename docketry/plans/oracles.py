@@ -72,9 +72,9 @@ marked AS (SELECT doc_id, line, line <> '' AND NOT regexp_matches(line, '{_BOILE
 _READINGS = """
 readings AS (
   SELECT l_orderkey AS case_id, ({0})::VARCHAR AS value, CASE l_returnflag WHEN 'N' THEN 1 WHEN 'A' THEN 2 ELSE 3 END AS rank,
-         l_linestatus = 'F' AS exact, l_linenumber AS page, l_linenumber AS s1, l_suppkey AS s2, l_partkey AS s3
+         l_linestatus = 'F' AS exact, l_linenumber AS page, l_linenumber AS s1, l_suppkey AS s2, l_partkey AS s3, l_returnflag AS s4, l_linestatus AS s5
   FROM lineitem)"""
-_BEST = "row_number() OVER (PARTITION BY case_id ORDER BY rank, exact DESC, page, s1, s2, s3)"
+_BEST = "row_number() OVER (PARTITION BY case_id ORDER BY rank, exact DESC, page, s1, s2, s3, s4, s5)"
 
 _SETS = """
 sets AS (
@@ -123,7 +123,7 @@ WITH l AS (SELECT doc_id, list_filter(string_split(coalesce(text, ''), chr(10)),
              AND NOT regexp_matches(x, '(?i)^\s*manual\s*correction')) AS kept FROM documents),
 t AS (SELECT doc_id, {_LOOSE.format("array_to_string(kept[1:3], '')")} AS head, {_LOOSE.format("array_to_string(kept, '')")} AS body FROM l)
 SELECT doc_id, CASE WHEN regexp_matches(head, 'LICENSEDUNDER|RELEASEDUNDER|COPYRIGHT|ALLRIGHTSRESERVED') THEN 'licence' WHEN regexp_matches(head, '^[A-Z]+!!') THEN 'shout'
-  WHEN regexp_matches(body, 'LICENSEDUNDER|RELEASEDUNDER') THEN 'licence' WHEN regexp_matches(body, '[A-Z0-9.]+@[A-Z0-9]+\.[A-Z]+') THEN 'mail' WHEN regexp_matches(body, '[A-Z]\|[A-Z]') THEN 'table'
+  WHEN regexp_matches(body, 'LICENSEDUNDER|RELEASEDUNDER') THEN 'licence' WHEN regexp_matches(body, '@[A-Z0-9]+\.[A-Z]+') THEN 'mail' WHEN regexp_matches(body, '[A-Z]\|[A-Z]') THEN 'table'
   WHEN regexp_matches(body, '\*\*\*|%%%|&&&') THEN 'mark' WHEN regexp_matches(body, 'PASSPORTIMAGE|SCANIMAGE|REGISTRYIMAGE') THEN 'passport_image' ELSE 'unknown' END AS doc_type FROM t""",
     "anchor_vote": f"""
 WITH d AS (SELECT doc_id, {_SQUASH.format('text')} AS body FROM documents),
@@ -140,12 +140,12 @@ LEFT JOIN (SELECT conv_id, stated FROM p WHERE stated IS NOT NULL QUALIFY row_nu
     "authority_resolution": f"WITH {_READINGS.format('l_partkey')} SELECT case_id, value, rank, exact, page FROM readings QUALIFY {_BEST} = 1",
     "consensus_vote": f"""
 WITH {_READINGS.format('l_suppkey % 5')},
-tally AS (SELECT case_id, value, count(*) AS votes, max(exact::INTEGER) AS any_exact, min(rank) AS low, arg_min({{'rank': rank, 'exact': exact, 'page': page}}, (s1, s2, s3)) AS reading, min((s1, s2, s3)) AS first FROM readings GROUP BY case_id, value),
+tally AS (SELECT case_id, value, count(*) AS votes, max(exact::INTEGER) AS any_exact, min(rank) AS low, arg_min({{'rank': rank, 'exact': exact, 'page': page}}, (s1, s2, s3, s4, s5)) AS reading, min((s1, s2, s3, s4, s5)) AS first FROM readings GROUP BY case_id, value),
 won AS (SELECT *, sum(votes) OVER (PARTITION BY case_id) AS total, row_number() OVER (PARTITION BY case_id ORDER BY votes DESC, any_exact DESC, low, first) AS pos FROM tally)
 SELECT case_id, total::BIGINT AS votes, value, reading.rank AS rank, reading.exact AS exact, reading.page AS page FROM won WHERE pos = 1 AND total > 1""",
     "prefer_clean": f"""
 WITH {_READINGS.format('l_suppkey % 3')}, best AS (SELECT * FROM readings QUALIFY {_BEST} = 1),
-clean AS (SELECT r.* FROM readings r JOIN best b ON r.case_id = b.case_id AND r.value = b.value WHERE r.exact AND NOT b.exact QUALIFY row_number() OVER (PARTITION BY r.case_id ORDER BY r.s1, r.s2, r.s3) = 1)
+clean AS (SELECT r.* FROM readings r JOIN best b ON r.case_id = b.case_id AND r.value = b.value WHERE r.exact AND NOT b.exact QUALIFY row_number() OVER (PARTITION BY r.case_id ORDER BY r.s1, r.s2, r.s3, r.s4, r.s5) = 1)
 SELECT b.case_id, coalesce(c.value, b.value) AS value, coalesce(c.rank, b.rank) AS rank, coalesce(c.exact, b.exact) AS exact, coalesce(c.page, b.page) AS page FROM best b LEFT JOIN clean c ON b.case_id = c.case_id""",
     "lexicon_support": f"SELECT p_partkey, len(list_filter(string_split(p_name, ' '), lambda t: list_contains({_texts(ADJECTIVES + NOUNS)}, t)))::BIGINT AS support FROM part",
     "snap_exact": f"SELECT p_partkey, list_filter({_texts(NOUNS)}, lambda o: contains(regexp_replace(lower(p_name || ' ' || p_type), '[^a-z0-9]', '', 'g'), o))[1] AS noun FROM part",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed, text
 from ..operators import calibrate, candidates, fees, output, resolve, rules, typing
+from ..sources.shared import materialised
 
 
 def typed_pages(pages: DataFrame) -> DataFrame:
@@ -17,7 +18,8 @@ def typed_pages(pages: DataFrame) -> DataFrame:
 
 def record_facts(pages: DataFrame) -> DataFrame:
     """One row a case: resolved fields, fee state, note, biohazard, registry, and which flags were seen."""
-    found = candidates.candidates(pages)
+    pages = materialised(pages, "typed")
+    found = materialised(candidates.candidates(pages), "candidates")
     record = resolve.records(resolve.resolve(found))
     facts = fees.case_facts(fees.page_facts(pages))
     cases = facts.join(record, "case_id", "left").join(rules.note_decision(pages), "case_id", "left")
@@ -34,15 +36,15 @@ def record_facts(pages: DataFrame) -> DataFrame:
 
 def decide(pages: DataFrame, table: DataFrame | None = None) -> DataFrame:
     """A prediction for each case of typed pages; ``table`` is a fitted calibration table."""
-    cases = record_facts(pages)
+    cases = materialised(record_facts(pages), "facts")
     reference = rules.reference_date(cases.withColumn("d", F.col("arrival_date").try_cast("date")), "d")
     cases = cases.crossJoin(F.broadcast(reference))  # one row
     record = {f: F.col(f) for f in fixed.SCORED if f != "fee_status"} | {"fee_status": F.col("fee.status")}
-    result = rules.outcome(
-        record, risk_known=F.col("risk_known"), fee_known=F.col("fee.known"), fee_contested=F.col("fee.contested"), reference=F.col("reference_date"),
+    decided = rules.apply_rules(
+        cases, record, risk_known=F.col("risk_known"), fee_known=F.col("fee.known"), fee_contested=F.col("fee.contested"), reference=F.col("reference_date"),
         note=F.col("note_decision"), note_text=F.col("note_text"), biohazard_state=F.col("biohazard"), waiver_visible=F.col("waiver_visible"),
     )
-    decided = cases.withColumn("result", result).select("*", "result.*").withColumn("fee_status", F.col("fee.status"))
+    decided = decided.withColumn("fee_status", F.col("fee.status"))
     keys = calibrate.evidence_keys(F.col("reason"), F.col("fee_status"), F.col("visa_class"), F.col("risk_flags"), F.col("reviews"), F.col("approvals"))
     decided = decided.withColumn("keys", keys)
     if table is None:

@@ -18,7 +18,7 @@ ADJECTIVES = ("small", "red", "blue", "new", "cold", "hot")
 NOUNS = ("ring", "bolt", "gear", "gizmo", "anvil", "widget", "plate", "rod")
 CUES = ("cc_by", "all_rights", "licensed_under", "released_under", "copyright")
 DOC_HEADINGS = (("licence", r"LICENSEDUNDER|RELEASEDUNDER|COPYRIGHT|ALLRIGHTSRESERVED"), ("shout", r"^[A-Z]+!!"))
-DOC_CONTENTS = (("licence", r"LICENSEDUNDER|RELEASEDUNDER"), ("mail", r"[A-Z0-9.]+@[A-Z0-9]+\.[A-Z]+"), ("table", r"[A-Z]\|[A-Z]"), ("mark", r"\*\*\*|%%%|&&&"))
+DOC_CONTENTS = (("licence", r"LICENSEDUNDER|RELEASEDUNDER"), ("mail", r"@[A-Z0-9]+\.[A-Z]+"), ("table", r"[A-Z]\|[A-Z]"), ("mark", r"\*\*\*|%%%|&&&"))
 DOC_ANCHORS = {
     "english": (("THE", 1.0), ("AND", 1.0), ("THIS", 1.5), ("WITH", 1.0)),
     "french": (("LES", 1.0), ("DES", 1.0), ("DANS", 1.5), ("AVEC", 1.0)),

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -17,3 +18,10 @@ def shared_dir(spark: SparkSession) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="docketry-"))
     return spark.sparkContext.getCheckpointDir().rstrip("/")
+
+
+def materialised(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as parquet below the shared folder and read back, so that its branches don't compute it again."""
+    path = f"{shared_dir(df.sparkSession)}/docketry-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
