@@ -102,7 +102,7 @@ def ordered_rows(boxes: Column) -> Column:
 
 def damage(ink: Column, grey: Column) -> Column:
     """How a scanned region reads: by its share of ink and of middle grey."""
-    return F.when(ink < 0.004, "blank").when(grey > ink * 1.5, "blurred").otherwise("crisp")
+    return F.when((ink < 0.002) & (grey < 0.01), "blank").when(grey > ink * 2.5, "blurred").otherwise("crisp")
 
 
 def flags_in(text: Column, flags: tuple[str, ...] = fixed.FLAGS) -> Column:
@@ -119,7 +119,7 @@ def flag_set(text: Column) -> Column:
 
 def duration(seconds: Column) -> Column:
     """A duration in hours, minutes and seconds."""
-    s = seconds.cast("long")
+    s = F.greatest(seconds.cast("long"), F.lit(0))
     return F.when(s >= 3600, F.format_string("%dh%02dm", F.floor(s / 3600), F.floor(s % 3600 / 60))).when(
         s >= 60, F.format_string("%dm%02ds", F.floor(s / 60), s % 60)
     ).otherwise(F.format_string("%ds", s))

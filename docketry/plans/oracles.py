@@ -245,8 +245,8 @@ SELECT vec_id, white, white OR e[6]::DOUBLE + 1 < 0 OR e[6]::DOUBLE > 1 OR e[7]:
 WITH r AS (SELECT p_partkey, nullif(regexp_extract('key: ' || p_type || ',' || p_size || ',' || p_brand || ' end', '([A-Z]+,\d+,\S+)', 1), '') AS x FROM part)
 SELECT p_partkey, string_split(x, ',')[1] AS type, string_split(x, ',')[2]::BIGINT AS size, NULL::VARCHAR AS absent FROM r""",
     "damage_classes": """
-WITH r AS (SELECT p_size / 1000.0::DOUBLE AS ink, p_retailprice / 40000.0::DOUBLE AS grey FROM part)
-SELECT CASE WHEN ink < 0.004::DOUBLE THEN 'blank' WHEN grey > ink * 1.5::DOUBLE THEN 'blurred' ELSE 'crisp' END AS state, count(*)::BIGINT AS n FROM r GROUP BY state""",
+WITH r AS (SELECT p_size / 1000.0::DOUBLE AS ink, (p_retailprice % 100) / 1000.0::DOUBLE AS grey FROM part)
+SELECT CASE WHEN ink < 0.002::DOUBLE AND grey < 0.01::DOUBLE THEN 'blank' WHEN grey > ink * 2.5::DOUBLE THEN 'blurred' ELSE 'crisp' END AS state, count(*)::BIGINT AS n FROM r GROUP BY state""",
     "run_durations": """
 WITH s AS (SELECT user_id, max(event_id) - min(event_id) AS s FROM events GROUP BY user_id)
 SELECT user_id, CASE WHEN s >= 3600 THEN (s // 3600) || 'h' || lpad((s % 3600 // 60)::VARCHAR, 2, '0') || 'm' WHEN s >= 60 THEN (s // 60) || 'm' || lpad((s % 60)::VARCHAR, 2, '0') || 's' ELSE s || 's' END AS span FROM s""",

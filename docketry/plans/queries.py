@@ -393,7 +393,7 @@ def hidden_key_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def damage_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Regions by how they read, from shares of two kinds of marks."""
-    ink, grey = F.col("p_size") / 1000.0, F.col("p_retailprice") / 40000.0
+    ink, grey = F.col("p_size") / 1000.0, (F.col("p_retailprice") % 100) / 1000.0
     return table(spark, sf_dir, "part").groupBy(text.damage(ink, grey).alias("state")).agg(F.count("*").alias("n"))
 
 
