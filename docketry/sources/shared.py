@@ -13,15 +13,19 @@ def shared_dir(spark: SparkSession) -> str:
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
         raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="docketry-"))
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
-def materialised(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once as parquet below the shared folder and read back, so that its branches don't compute it again."""
+def materialised(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
+    """``df`` written once as parquet below the shared folder and read back.
+
+    Its branches don't compute it again, lost executors cost no lineage, and the optimizer knows its
+    true size.
+    """
     path = f"{shared_dir(df.sparkSession)}/docketry-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
