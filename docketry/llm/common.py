@@ -2,30 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-WORD = r"[^\x20\x09-\x0D]+"
-
+from ..sources.shared import materialised as written
+from ..sources.shared import shared_dir
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or a temporary one where it is unset.
+__all__ = ["WORD", "checkpoint", "shared_dir", "text_size", "utf8_bytes", "written"]
 
-    The fallback suits a single machine only, where driver and executors are one process.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found.rstrip("/")
-    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="docketry-"))
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+WORD = r"[^\x20\x09-\x0D]+"
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
@@ -34,27 +22,12 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as parquet below the shared folder and read it back.
-
-    Parquet keeps the files compressed and gives the optimizer true sizes for its join choices.
-    """
-    path = f"{shared_dir(df.sparkSession)}/docketry-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def utf8_bytes(column: pa.ChunkedArray | pa.Array) -> list[bytes | None]:
     """A string column's values as UTF-8 bytes, without decoding them."""
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()
     return column.cast(kind).to_pylist() if not pa.types.is_binary(column.type) else column.to_pylist()
 
 
-def map_batches(df: DataFrame, schema: str | object, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> DataFrame:
-    """``mapInArrow`` with the arguments in reading order."""
-    return df.mapInArrow(fn, schema)
-
-
 def text_size() -> Callable[[Column], Column]:
     """Number of words of a text, natively: null and blank texts have none."""
     return lambda text: F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -72,23 +73,33 @@ def test_feistel_is_a_permutation(n):
         assert abs(np.corrcoef(a, np.arange(n))[0, 1]) < 0.2
 
 
-def test_shards_hold_every_sequence(spark, make_docs, odd_rows, tmp_path):
+@pytest.mark.parametrize("group", [32 << 20, 100])
+def test_shards_hold_every_document(make_docs, odd_rows, tmp_path, monkeypatch, group):
+    monkeypatch.setattr(training_order, "_GROUP", group)
     path, length = str(tmp_path / "shards"), 64
-    made = training_order.materialise(make_docs(odd_rows), path, length=length, shards=5)
+    made = training_order.materialise(make_docs(odd_rows), path, length=length, shard_sequences=100)
     index = made.index.collect()
-    assert made.sequences == len(index) and sorted(r["slot"] for r in index) == list(range(made.sequences))
+    assert sorted({r["slot"] for r in index}) == list(range(made.sequences))
     files = {int(p.parent.name.removeprefix("shard=")): p.read_bytes() for p in (tmp_path / "shards").glob("shard=*/part-*")}
     assert len(files) == made.shards == len(list((tmp_path / "shards").glob("shard=*")))
+    assert sum(len(f) for f in files.values()) == made.sequences * made.stride
+    filled, docs = Counter(), {}
     for r in index:
-        at = r["byte_offset"]
-        assert at % made.stride == 0
-        ids = training_order.read_record(files[r["shard"]], at // made.stride, length)
+        assert (r["shard"], r["byte_offset"]) == (r["slot"] // 100, r["slot"] % 100 * made.stride)
+        ids = training_order.read_record(files[r["shard"]], r["byte_offset"] // made.stride, length)[r["offset"] : r["offset"] + r["length"]]
         assert ids.astype("<u2").tobytes() == bytes(r["ids"])
-    assert sum(len(f) for f in files.values()) == made.sequences * made.stride
-    want = sum(-(-len(reference_ids(t)) // length) for _, t, *_ in odd_rows)
-    assert made.sequences == want
+        filled[r["slot"]] += r["length"]
+        docs.setdefault(r["doc_id"], []).append((r["start"], ids.tolist()))
+    assert sum(n < length for n in filled.values()) <= 3  # one for each partition
+    want = {}
+    for i, t, *_ in odd_rows:
+        want.setdefault(i, []).append(reference_ids(t))
+    for i, w in want.items():
+        if len(w) == 1:
+            assert [x for _, part in sorted(docs[i]) for x in part] == w[0]
+        assert sum(len(part) for _, part in docs[i]) == sum(map(len, w))
 
 
 def test_no_documents_make_no_shards(make_docs, tmp_path):
-    made = training_order.materialise(make_docs([]), str(tmp_path / "none"), shards=3)
+    made = training_order.materialise(make_docs([]), str(tmp_path / "none"))
     assert (made.sequences, made.shards, made.index.count()) == (0, 0, 0)
