@@ -198,6 +198,8 @@ def dedup_lines(
         .where(F.col("n") >= least_docs)
         .select(F.col("digest").alias("key"), "keeper")
     )
+    # Written, so that the joins below have plain sides: broadcast where small, split where skewed.
+    confirmed = written(confirmed, "confirmed")
     drops = (
         suspects.join(confirmed, F.col("digest") == F.col("key"))
         .where(~F.col("id").eqNullSafe(F.col("keeper")))
@@ -205,6 +207,7 @@ def dedup_lines(
         .agg(F.collect_set("digest").alias("__dk_drop"))
         .select(F.col("id").alias("__dk_id"), F.col("mark").alias("__dk_of"), "__dk_drop")
     )
+    drops = written(drops, "drops")
     joined = (
         docs.withColumn("__dk_mark", mark)
         .join(drops, F.col(id_col).eqNullSafe(F.col("__dk_id")) & (F.col("__dk_mark") == F.col("__dk_of")), "left")
