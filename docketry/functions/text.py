@@ -15,27 +15,27 @@ def trimmed(text: Column) -> Column:
 
 def ascii_only(text: Column) -> Column:
     """The text without characters beyond ASCII; taken before changing case, so that all engines agree."""
-    return F.regexp_replace(text, r"[^\x00-\x7F]", "")
+    return F.regexp_replace(text, r"[^\x00-\x7F]+", "")
 
 
 def squash_upper(text: Column) -> Column:
     """Upper-case letters and digits only."""
-    return F.regexp_replace(F.upper(ascii_only(text)), r"[^A-Z0-9]", "")
+    return F.regexp_replace(F.upper(ascii_only(text)), r"[^A-Z0-9]+", "")
 
 
 def squash_lower(text: Column) -> Column:
     """Lower-case letters and digits only."""
-    return F.regexp_replace(F.lower(ascii_only(text)), r"[^a-z0-9]", "")
+    return F.regexp_replace(F.lower(ascii_only(text)), r"[^a-z0-9]+", "")
 
 
 def letters_upper(text: Column) -> Column:
     """Upper-case letters only."""
-    return F.regexp_replace(F.upper(ascii_only(text)), r"[^A-Z]", "")
+    return F.regexp_replace(F.upper(ascii_only(text)), r"[^A-Z]+", "")
 
 
 def panel_letters(text: Column) -> Column:
     """Upper-case letters with the marks that separate flags."""
-    return F.regexp_replace(F.upper(ascii_only(text)), r"[^A-Z_,\[\]]", "")
+    return F.regexp_replace(F.upper(ascii_only(text)), r"[^A-Z_,\[\]]+", "")
 
 
 def loose_upper(text: Column) -> Column:
