@@ -210,18 +210,33 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
+def _mark(text_col: str):
+    """The digest that tells a row's text from those of other rows of its id."""
+    return F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit(""))))
+
+
+def row_keys(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(key, text_col) of every row, the key of its id and its text's digest."""
+    return docs.select(F.struct(F.col(id_col).alias("id"), _mark(text_col).alias("mark")).alias("key"), text_col)
+
+
+def keep_of_classes(docs: DataFrame, marked: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``docs`` whose key is the smallest ``first`` of a ``label`` in ``classes``; rows equal in key count once.
+
+    ``marked`` has every row's ``key``. Texts are sent a second time only where a chosen key is repeated.
+    """
+    chosen = classes.groupBy("label").agg(F.min("first").alias("first")).select(F.col("first.id").alias("__dk_id"), F.col("first.mark").alias("__dk_of"))
+    same = F.col(id_col).eqNullSafe(F.col("__dk_id")) & (F.col("__dk_mark") == F.col("__dk_of"))
+    kept = docs.withColumn("__dk_mark", _mark(text_col)).join(chosen, same, "left_semi")
+    if not marked.groupBy("key").count().where("count > 1").isEmpty():
+        kept = kept.dropDuplicates([id_col, "__dk_mark"])
+    return kept.drop("__dk_mark")
+
+
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, radius: int = RADIUS) -> DataFrame:
     """One row of ``docs`` for each near-duplicate component: its smallest id, null last, then the smallest digest of the text."""
-    mark = F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit(""))))
-    keyed = docs.select(F.struct(F.col(id_col).alias("id"), mark.alias("mark")).alias("key"), text_col)
-    marked = written(add_fingerprints(keyed, "key", text_col, width).withColumnRenamed("id", "key"), "fingerprints")
+    marked = written(add_fingerprints(row_keys(docs, id_col, text_col), "key", text_col, width).withColumnRenamed("id", "key"), "fingerprints")
     order = F.struct(F.col("key.id").isNull(), F.col("key.id"), F.col("key.mark"))
     first = marked.groupBy("fp").agg(F.min(order).alias("first"))
     labelled = first.join(_components(marked, radius), F.col("fp") == F.col("of_fp"))
-    chosen = labelled.groupBy("label").agg(F.min("first").alias("first")).select(F.col("first.id").alias("__dk_id"), F.col("first.mark").alias("__dk_of"))
-    return (
-        docs.withColumn("__dk_mark", mark)
-        .join(chosen, F.col(id_col).eqNullSafe(F.col("__dk_id")) & (F.col("__dk_mark") == F.col("__dk_of")), "left_semi")
-        .dropDuplicates([id_col, "__dk_mark"])
-        .drop("__dk_mark")
-    )
+    return keep_of_classes(docs, marked, labelled, id_col, text_col)
