@@ -8,9 +8,9 @@ broadcast. A document's perplexity is that of its characters; each language reje
 outside its own band, which reaches a number of interquartile ranges beyond the quartiles of the
 log-perplexity of its texts, copies counting once.
 
-The model keeps at most ``most_entries`` n-grams an order: where more are known, those below the
-smallest sufficient count go, and their mass stays with the back-off weights. Counts, discounts
-and totals are always those of all texts.
+The model keeps all n-grams, so it grows with the texts. Only a caller that gives ``most_entries``
+gets a smaller one: where an order has more, those below the smallest sufficient count go, and their
+mass stays with the back-off weights. Counts, discounts and totals are always those of all texts.
 
 Edge cases: a null text has no words; documents without characters have a null perplexity and fail
 the base rule; a null language is a language of its own; very long texts are counted and scored in
@@ -199,7 +199,7 @@ def discounts(counts_of_counts: dict[int, int]) -> tuple[float, float, float]:
     return tuple(float(np.clip(d, 0.05, i - 0.05)) for i, d in ((1, d1), (2, d2), (3, d3)))
 
 
-def fit(texts: DataFrame, most_entries: int = 2_000_000) -> KneserNey:
+def fit(texts: DataFrame, most_entries: int | None = None) -> KneserNey:
     """A modified Kneser-Ney model of the column ``text`` of all rows."""
     grams = written(count_grams(texts), "grams")
     empty = np.empty(0, np.uint64)
@@ -212,7 +212,7 @@ def fit(texts: DataFrame, most_entries: int = 2_000_000) -> KneserNey:
         histogram = {r["n"]: r["count"] for r in grams.groupBy(F.least("n", F.lit(10_000)).alias("n")).count().collect()}
         d1, d2, d3 = discounts(histogram)
         cut, left = 1, sum(histogram.values())
-        while left > most_entries and cut < 10_000:
+        while most_entries is not None and left > most_entries and cut < 10_000:
             left -= histogram.get(cut, 0)
             cut += 1
         context = F.shiftrightunsigned("key", 16)
@@ -312,7 +312,7 @@ def bands(rated: DataFrame, lang_col: str = "lang", reach: float = 4.0, text_has
     return found.select("band_lang", (F.col("q1") - reach * spread).alias("low"), (F.col("q3") + reach * spread).alias("high"))
 
 
-def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", reach: float = 4.0, most_entries: int = 2_000_000, carry: list[str] | None = None) -> DataFrame:
+def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", reach: float = 4.0, most_entries: int | None = None, carry: list[str] | None = None) -> DataFrame:
     """Rows of ``docs`` (the columns ``carry``; all by default) with metrics, ``log_perplexity``, ``base_failed`` and ``kept``."""
     model = fit(docs.select(F.col(text_col).alias("text")), most_entries)
     out = [c for c in (carry or docs.columns) if c not in (*METRICS, "log_perplexity", "base_failed", "kept")]

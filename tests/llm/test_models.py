@@ -59,6 +59,15 @@ def test_probabilities_add_up(make_docs, most):
         assert p[sorted(alphabet)].sum() == pytest.approx(1.0, abs=0.02)
 
 
+def test_the_model_grows_with_the_texts(make_docs):
+    """More than two million distinct n-grams are all kept."""
+    points = np.random.default_rng(3).integers(0x4E00, 0x9FA5, (8, 280_000))
+    rows = [(i, "".join(map(chr, p)), "zh", "a") for i, p in enumerate(points.tolist())]
+    known = len(np.unique(np.concatenate([part for r in rows for part in perplexity.gram_keys(r[1])])))
+    assert known > 2_200_000
+    assert len(perplexity.fit(make_docs(rows).select("text")).probabilities[perplexity.ORDER].hashes) == known
+
+
 def test_counts_equal_brute_force(make_docs, odd_rows):
     want = Counter()
     for _, t, *_ in odd_rows:
