@@ -27,11 +27,25 @@ def _passages(passages: DataFrame, key: str, text: str) -> list[tuple[int, str]]
     return [(r[0], r[1]) for r in passages.select(F.col(key).cast("long"), text).where(F.char_length(text) > 0).toLocalIterator()]
 
 
+def _run_around(body: str, end: int, passage: str, at: int) -> bool:
+    """Whether the common run around a block, which starts at ``at`` and ends in the text at ``end``, is long enough."""
+    least = fuzzy.least_run(passage)
+    n = (least + 1) // 2
+    lo, hi = end + 1 - n, end + 1
+    shift = lo - at
+    while lo > max(shift, 0) and hi - lo < least and body[lo - 1] == passage[lo - 1 - shift]:
+        lo -= 1
+    while hi < min(len(body), shift + len(passage)) and hi - lo < least and body[hi] == passage[hi - shift]:
+        hi += 1
+    return hi - lo >= least
+
+
 def held_passages(docs: DataFrame, passages: DataFrame, doc_key: str, doc_text: str, key: str, text: str, near: float | None = None) -> DataFrame:
     """(doc_key, key, score) of the passages that each text holds: whole, or by ``contains_score`` of at least ``near``.
 
-    A near match must share a run of 35 % of the passage with the text; all runs of that length are
-    in the automaton, so none is missed.
+    A near match must share a run of 35 % of the passage with the text. The automaton has the
+    passage's consecutive blocks of half that length: every such run holds one of them whole, so none
+    is missed, and a block that is hit counts if the run around it is long enough.
     """
     listed = docs.sparkSession.sparkContext.broadcast(_passages(passages, key, text))
 
@@ -40,9 +54,9 @@ def held_passages(docs: DataFrame, passages: DataFrame, doc_key: str, doc_text:
 
         machine, whole, runs = ahocorasick.Automaton(), dict(listed.value), {}
         for item, passage in listed.value:
-            n = len(passage) if near is None else min(len(passage), max(3, int(0.35 * len(passage))))
-            for i in range(len(passage) - n + 1):
-                runs.setdefault(passage[i : i + n], set()).add(item)
+            n = len(passage) if near is None else (fuzzy.least_run(passage) + 1) // 2
+            for i in range(0, len(passage) - n + 1, n):
+                runs.setdefault(passage[i : i + n], set()).add((item, i))
         for run, items in runs.items():
             machine.add_word(run, tuple(items))
         if runs:
@@ -52,8 +66,8 @@ def held_passages(docs: DataFrame, passages: DataFrame, doc_key: str, doc_text:
             for i, body in enumerate(batch.column("text").to_pylist()):
                 found: set[int] = set()
                 if body and runs:
-                    for _, hits in machine.iter(body):
-                        found.update(hits)
+                    for end, hits in machine.iter(body):
+                        found.update(item for item, at in hits if item not in found and (near is None or _run_around(body, end, whole[item], at)))
                 for item in sorted(found):
                     score = 1.0 if near is None else fuzzy.contains_score(body, whole[item], near)
                     if score > 0:

@@ -88,10 +88,8 @@ def contamination_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def contamination_fuzzy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First lines of benchmark items that a document holds nearly."""
-    docs, _ = _squashed(spark, sf_dir)
-    first = text.squash_upper(F.split_part(F.coalesce("text", F.lit("")), F.lit("\n"), F.lit(1)))
-    items = table(spark, sf_dir, "benchmark").select("item_id", first.alias("passage")).where(F.char_length("passage") >= fixed.ECHO_LEAST)
+    """Benchmark items that a document holds nearly, whole and squashed."""
+    docs, items = _squashed(spark, sf_dir)
     return held_passages(docs, items, "doc_id", "body", "item_id", "passage", near=fixed.ECHO_AT)
 
 

@@ -1,12 +1,14 @@
 from __future__ import annotations
 
 import random
+from difflib import SequenceMatcher
 
 import pytest
 
 from docketry.functions import fuzzy
 from docketry.operators import containment
 from docketry.operators.containment import held_passages
+from docketry.plans import queries
 
 
 def rows(seed=0):
@@ -42,3 +44,32 @@ def test_no_passages_and_too_many(spark, monkeypatch):
     monkeypatch.setattr(containment, "MOST_CHARS", 10)
     with pytest.raises(ValueError):
         held_passages(d, p, "d", "t", "p", "s")
+
+
+def test_near_finds_every_item_that_is_held_whole(spark, tmp_path):
+    """Items of several lines, with a short first line and beyond 200 characters, exact and damaged after the first line."""
+    rng = random.Random(4)
+    line = lambda n: "".join(rng.choice("abcdefgh") for _ in range(n))
+    items = [(0, line(12) + "\n" + line(60)), (1, line(50) + "\n" + line(300)), (2, line(60) + "\n" + line(60))]
+    damaged = items[1][1][:200] + "z" * 20 + items[1][1][220:]
+    docs = [(i, line(90) + " " + t + " " + line(90)) for i, t in items] + [(3, line(80) + damaged + line(80)), (4, items[2][1].split("\n")[0] + line(300))]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    got = {(r["doc_id"], r["item_id"]) for r in queries.contamination_fuzzy(spark, str(tmp_path)).collect()}
+    assert got == {(0, 0), (1, 1), (2, 2), (3, 1)}
+    exact = {(r["doc_id"], r["item_id"]) for r in queries.contamination_filter(spark, str(tmp_path)).collect()}
+    assert exact == {(0, 0), (1, 1), (2, 2)}
+
+
+def test_scores_equal_those_of_all_windows():
+    rng = random.Random(9)
+    for n in (40, 90, 230):
+        token = "".join(rng.choice("ABCDEFGH") for _ in range(n))
+        near = list(token)
+        for at in rng.sample(range(n), n // 12):
+            near[at] = "Z"
+        text = token[::-1] + "".join(near) + token[: n // 2]
+        ratio = lambda w: SequenceMatcher(None, w, token, autojunk=False).ratio()
+        want = max(ratio(text[i : i + n]) for i in range(len(text) - n + 1))
+        got = fuzzy.contains_score(text, token, 0.5)
+        assert got == want or (got > 0.97 and want > 0.97)
