@@ -9,10 +9,12 @@ radius is no link and is discarded, and only the pairs that survive all pivots a
 Large buckets report a spanning forest instead of all links, which loses no component; a bucket
 beyond one task's bound is split into chunks that meet pairwise in separate tasks.
 
-Edge cases: null and blank texts get fingerprint zero and are linked like any others; rows with a
-null id take part, and a component's id is its smallest id that isn't null; repeated rows share a
-fingerprint; an empty table gives an empty result; input columns named like an output column are
-replaced.
+Edge cases: null and blank texts get fingerprint zero and are linked like any others; very long
+texts are hashed whole, a bounded run of words at a time; rows with a null id take part, and a
+component's id is its smallest id that isn't null; ties between equal ids need no order, as they
+give one id, and where one row is kept the smallest id, null last, then the smallest digest of the
+text, then the smallest hash of the row decides; repeated rows share a fingerprint; an empty table
+gives an empty result; input columns named like an output column are replaced.
 """
 
 from __future__ import annotations
@@ -221,16 +223,27 @@ def row_keys(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def keep_of_classes(docs: DataFrame, marked: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The rows of ``docs`` whose key is the smallest ``first`` of a ``label`` in ``classes``; rows equal in key count once.
+    """The rows of ``docs`` whose key is the smallest ``first`` of a ``label`` in ``classes``.
 
-    ``marked`` has every row's ``key``. Texts are sent a second time only where a chosen key is repeated.
+    ``marked`` has every row's ``key``. Of rows equal in key the one with the smallest hash of all its
+    columns stays; texts are sent a second time only for such rows.
     """
     chosen = classes.groupBy("label").agg(F.min("first").alias("first")).select(F.col("first.id").alias("__dk_id"), F.col("first.mark").alias("__dk_of"))
     same = F.col(id_col).eqNullSafe(F.col("__dk_id")) & (F.col("__dk_mark") == F.col("__dk_of"))
     kept = docs.withColumn("__dk_mark", _mark(text_col)).join(chosen, same, "left_semi")
-    if not marked.groupBy("key").count().where("count > 1").isEmpty():
-        kept = kept.dropDuplicates([id_col, "__dk_mark"])
-    return kept.drop("__dk_mark")
+    repeated = marked.groupBy("key").count().where("count > 1").select(F.col("key.id").alias("__dk_id"), F.col("key.mark").alias("__dk_of"))
+    repeated = written(repeated, "repeated")
+    if repeated.isEmpty():
+        return kept.drop("__dk_mark")
+    names = [f"`{c}`" for c in docs.columns]
+    hashed = [F.col(n) for n, f in zip(names, docs.schema.fields, strict=True) if not _holds_map(f.dataType)]
+    groups = kept.join(repeated, same, "left_semi").groupBy(id_col, "__dk_mark")
+    one = groups.agg(F.min_by(F.struct(*names), F.xxhash64(*hashed)).alias("__dk_row")).select("__dk_row.*")
+    return kept.join(repeated, same, "left_anti").drop("__dk_mark").unionByName(one)
+
+
+def _holds_map(kind: T.DataType) -> bool:
+    return "map<" in kind.simpleString()
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, radius: int = RADIUS) -> DataFrame:

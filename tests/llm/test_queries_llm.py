@@ -13,8 +13,8 @@ import corpus_pipeline
 from docketry.llm import perplexity, registry
 
 from .test_line_dedup import brute as brute_lines
+from .test_minhash import survivors
 from .test_models import brute_metrics
-from .test_simhash import brute_components, brute_fingerprint
 
 
 @pytest.fixture(scope="module")
@@ -67,11 +67,7 @@ def test_stages_against_brute_force(spark, sf_dir, documents):
     deduped = deduped.cache()
     single = stages["near_dedup"](spark, deduped, sf_dir)
     rows = [(r["doc_id"], r["text"]) for r in deduped.collect()]
-    comps = brute_components([brute_fingerprint(t) for _, t in rows])
-    least = {}
-    for (i, _), c in zip(rows, comps, strict=True):
-        least[c] = min(i, least.get(c, i))
-    assert sorted(r["doc_id"] for r in single.collect()) == sorted(least.values())
+    assert sorted(r["doc_id"] for r in single.collect()) == survivors(rows)
     assert single.columns == docs.columns
 
     single = single.cache()
