@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import os
+import shutil
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -64,3 +67,16 @@ def test_trailing_rate(spark):
 def test_windows_slide(spark):
     events = spark.createDataFrame([("2024-01-01 00:30:00", "a"), ("2024-01-01 00:50:00", "a")], "ts string, k string").withColumn("ts", F.col("ts").cast("timestamp"))
     assert sorted(r["n"] for r in monitor.windowed_counts(events, "ts", "k", "1 hour", "30 minutes").collect()) == [2, 2]
+
+
+def test_entry_works_without_the_training_data_operators(tmp_path):
+    """A copy of the repository without those folders, with and without the pipeline, still registers and benches the rest."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    copy = str(tmp_path / "copy")
+    shutil.copytree(root, copy, ignore=shutil.ignore_patterns("llm", ".git", "__pycache__", ".*_cache"))
+    code = "import __spark_entry__ as e, bench; print(len(e.queries()), len(e.oracle_sql()), 'pipeline' in e.queries())"
+    for drop in (None, "corpus_pipeline.py"):
+        if drop and os.path.exists(f"{copy}/{drop}"):
+            os.remove(f"{copy}/{drop}")
+        ran = subprocess.run([sys.executable, "-c", code], cwd=copy, env={**os.environ, "PYTHONPATH": copy}, capture_output=True, text=True, timeout=120)
+        assert ran.stdout.split() == [str(len(registry.QUERIES)), str(len(registry.ORACLES)), "False"], ran.stderr
