@@ -48,11 +48,36 @@ def test_recall(spark, block):
     assert all(g == sorted(g) for g in got.values())
 
 
+@pytest.mark.parametrize("scale", ["0.01", "0.1"])
+def test_recall_and_share_verified_on_the_embeddings(spark, scale):
+    """Most of the true neighbours by verifying a part of the vectors, on the hardest data: no structure at all."""
+    from docketry.llm.queries import op10_nearest
+
+    sf_dir = f"/root/testdata/sf{scale}"
+    rows = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()]
+    out = op10_nearest(spark, sf_dir).cache()
+    got, want = found(out), brute(rows)
+    assert got.keys() == want.keys() and all(len(g) == 10 for g in got.values())
+    assert recall(got, want) >= 0.9
+    verified = sum(r["verified"] for r in out.select("query_id", "verified").distinct().collect())
+    assert verified < (0.5 if scale == "0.1" else 0.7) * len(rows) * len(want)
+
+
+def test_bounds_on_blocks_change_no_exact_result(spark):
+    """With a test that never skips, blocks of few rows and of little work give what one block gives."""
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(size=8).tolist()) for i in range(600)]
+    want = brute(rows, asked=lambda i: i % 10 == 0)
+    for bounds in ({}, {"block_rows": 40}, {"block_work": 500}, {"sample_rows": 20, "block_rows": 30}):
+        assert found(nn.nearest(table(spark, rows), F.col("vec_id") % 10 == 0, miss=1e-12, **bounds)) == {q: [(pytest.approx(s, rel=1e-12), i) for s, i in w] for q, w in want.items()}
+
+
 def test_ties_copies_and_unusable_vectors(spark):
     one, two = [1.0, 2.0, 3.0], [1.0, 2.0, 4.0]
     rows = [(i, one) for i in range(0, 400)] + [(1000 + i, two) for i in range(30)]
+    rows += [(0, one), (1005, two), (1005, one)]
     rows += [(500, None), (600, []), (700, [0.0, 0.0, 0.0]), (800, [1.0, None, 2.0]), (900, [1.0, float("nan"), 2.0]), (1100, [1.0, float("inf"), 2.0]), (1200, [1.0, 2.0]), (None, one)]
-    got, want = found(nn.nearest(table(spark, rows), F.col("vec_id") % 100 == 0)), brute([r for r in rows if r[0] != 1200])
+    got, want = found(nn.nearest(table(spark, rows), F.col("vec_id") % 100 == 0)), brute(dict.fromkeys((i, None if v is None else tuple(v)) for i, v in rows if i != 1200))
     assert got == want
 
 
@@ -66,8 +91,8 @@ def test_fewer_rows_than_asked_for(spark):
 def test_chi_square_quantile():
     assert nn.chi_square_quantile(0.95, 2) == pytest.approx(5.991, abs=1e-3)
     assert nn.chi_square_quantile(0.99, 8) == pytest.approx(20.090, abs=1e-3)
-    with pytest.raises(ValueError):
-        nn.chi_square_quantile(0.9, 3)
+    assert nn.chi_square_quantile(0.9, 3) == pytest.approx(6.251, abs=1e-3)
+    assert nn.chi_square_quantile(0.9, 32) == pytest.approx(42.585, abs=1e-3)
 
 
 def test_tree_yields_leaves_by_distance():
