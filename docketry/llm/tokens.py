@@ -7,6 +7,7 @@ packing and writing so that both see the same ids.
 from __future__ import annotations
 
 import base64
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -23,13 +24,22 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
 
 @lru_cache(maxsize=4)
 def encoder(path: str):
-    """A function from a text to its ids, special tokens' strings being ordinary text.
+    """A function from a text to the ids that ``tokenizers`` gives it with the JSON file, without special tokens around it.
 
-    The same vocabulary is on hand as merge ranks for a faster encoder; it is used where it is
-    found beside the JSON file, and the JSON file itself otherwise.
+    The string of an added token inside a text is that token. The same vocabulary is on hand as merge
+    ranks for a faster encoder; it is used where it is found beside the JSON file, for texts without
+    such a string.
     """
     import os
 
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+
+    def exact(text: str) -> list[int]:
+        return tokenizer.encode(text, add_special_tokens=False).ids
+
     ranked = path.removesuffix(".json") + ".tiktoken"
     if os.path.exists(ranked):
         import public_tokenizers
@@ -38,35 +48,28 @@ def encoder(path: str):
         with open(ranked, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         made = tiktoken.Encoding(os.path.basename(ranked), pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        return made.encode_ordinary
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
-    return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+        return lambda text: exact(text) if any(a in text for a in added) else made.encode_ordinary(text)
+    return exact
 
 
 #: Code points a text is cut near before it is encoded, so that one very long text needs bounded memory.
 _PIECE = 1 << 20
+_CUT = re.compile(r"(?<=[A-Za-z0-9])[ \n](?=[A-Za-z0-9])")
 
 
 def _pieces(text: str) -> list[str]:
     """``text`` in pieces whose ids, joined, are the ids of the whole.
 
-    A piece ends before a line feed that stands between two characters that aren't white space;
-    the vocabulary's pattern never joins such a line feed with either side.
+    A piece ends before a blank or line feed that stands between two ASCII letters or digits: the
+    vocabulary's pattern begins a new token there, and no added token holds such a place. A text that
+    has none is one piece, whatever its length.
     """
     if len(text) <= _PIECE:
         return [text]
     out, start = [], 0
-    while len(text) - start > _PIECE:
-        at = text.find("\n", start + _PIECE)
-        while at > 0 and (at + 1 >= len(text) or text[at - 1].isspace() or text[at + 1].isspace()):
-            at = text.find("\n", at + 1)
-        if at < 0:
-            break
-        out.append(text[start:at])
-        start = at
+    while len(text) - start > _PIECE and (cut := _CUT.search(text, start + _PIECE)):
+        out.append(text[start : cut.start()])
+        start = cut.start()
     out.append(text[start:])
     return out
 
