@@ -9,8 +9,12 @@ range of slots that is their shard, in compressed groups, and each shard is laid
 written as fixed-stride records: record ``slot - first slot`` starts at that number times the
 stride, so a reader resumes anywhere by arithmetic.
 
-Edge cases: a null or empty text is the end id alone; repeated rows are encoded each; an empty table
-gives no sequences and no shards; input columns other than id and text are left out.
+The index of a sequence follows the order in which the scan deals out the documents: the same files,
+read in the same partitions, give the same order for a key.
+
+Edge cases: a null or empty text is the end id alone; very long texts are encoded in bounded pieces;
+equal documents (ties, repeated rows) are encoded each; an empty table gives no sequences and no
+shards; input columns other than id and text are left out, so no name clashes.
 """
 
 from __future__ import annotations
@@ -69,6 +73,12 @@ class Materialised(NamedTuple):
     shards: int
 
 
+def _narrow(ids: np.ndarray) -> np.ndarray:
+    if len(ids) and int(ids.max()) > 0xFFFF:
+        raise ValueError("an id above 65,535 doesn't fit a 16-bit record")
+    return ids.astype("<u2")
+
+
 def sequence_table(docs: DataFrame, id_col: str, text_col: str, length: int, vocabulary: str, end_id: int) -> DataFrame:
     """(ids, pieces): the ids of a partition's documents end to end, in runs of ``length``; ids are 16-bit."""
     id_type = docs.schema[id_col].dataType
@@ -91,7 +101,7 @@ def sequence_table(docs: DataFrame, id_col: str, text_col: str, length: int, voc
             if kind is None:
                 kind = pa.list_(pa.struct([("id", batch.column("id").type), ("start", pa.int64()), ("length", pa.int32()), ("offset", pa.int32())]))
             for doc, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                all_ids, at = token_ids(text, vocabulary, end_id).astype("<u2"), 0
+                all_ids, at = _narrow(token_ids(text, vocabulary, end_id)), 0
                 while at < len(all_ids):
                     part = all_ids[at : at + length - filled]
                     open_ids.append(part.tobytes())
@@ -118,7 +128,7 @@ def materialise(
     id_col: str = "doc_id",
     text_col: str = "text",
     length: int = 1024,
-    shard_sequences: int = 8192,
+    shard_sequences: int | None = None,
     key: int = 20_231,
     vocabulary: str | None = None,
     end_id: int = 0,
@@ -128,13 +138,18 @@ def materialise(
     The index has the id, ``start``, ``length``, ``ids`` (little-endian unsigned 16-bit), ``slot``,
     ``offset`` in the sequence, ``shard`` and ``byte_offset`` of the record. A record is the number
     of ids (two bytes), the ids padded with zeros to ``length``, and a line feed. A shard of
-    ``shard_sequences`` records is what one task holds in memory. Ids must be below 65,536.
+    ``shard_sequences`` records is what one task holds in memory; by default 8192, doubled while
+    there are more than 4096 shards, up to 65,536. An id above 65,535 is an error.
     """
     spark = docs.sparkSession
     table = written(sequence_table(docs, id_col, text_col, length, vocabulary or vocabulary_path(), end_id), "sequences", "zstd")
     placed = table.select("*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
     counts = sorted(placed.groupBy("file").count().collect())  # a row for each file written
     total = sum(r["count"] for r in counts)
+    if shard_sequences is None:
+        shard_sequences = 8192
+        while shard_sequences < 65_536 and total > 4096 * shard_sequences:
+            shard_sequences *= 2
     bases, at = [], 0
     for r in counts:
         bases.append((r["file"], at))
@@ -216,7 +231,7 @@ def write_shards(slotted: DataFrame, path: str, total: int, length: int, shard_s
         yield from send()
 
     shards = max(1, -(-total // shard_sequences))
-    groups = slotted.mapInArrow(group, "shard int, n int, blob binary").repartition(shards, "shard").sortWithinPartitions("shard")
+    groups = slotted.mapInArrow(group, "shard int, n int, blob binary").repartitionById(shards, F.col("shard")).sortWithinPartitions("shard")
     rows = groups.mapInArrow(lay_out, "shard int, record binary").select("shard", F.col("record").cast("string").alias("value"))
     rows.write.partitionBy("shard").option("lineSep", "\n").text(path)
 

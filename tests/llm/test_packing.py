@@ -5,11 +5,13 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from hypothesis import given
+from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from docketry.llm import packing, tokens, training_order
 
+from .conftest import prose
+
 
 @given(st.integers(0, 10_000))
 def test_lengths_add_up(n):
@@ -22,7 +24,6 @@ def reference_ids(text):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(tokens.vocabulary_path())
-    t.encode_special_tokens = True
     return t.encode(text or "", add_special_tokens=False).ids + [0]
 
 
@@ -48,7 +49,8 @@ def test_repeated_rows_are_packed_each(make_docs, odd_rows):
         packing.pack(make_docs([]), longest=1000)
 
 
-@given(st.text(st.sampled_from("ab \n\té1.'"), max_size=200))
+@settings(deadline=None)
+@given(st.text(st.sampled_from("ab \n\té1.'s"), max_size=200))
 def test_pieces_of_long_texts_have_the_same_ids(text):
     old, tokens._PIECE = tokens._PIECE, 7
     try:
@@ -60,8 +62,28 @@ def test_pieces_of_long_texts_have_the_same_ids(text):
     assert [i for p in cut for i in encode(p)] == encode(text)
 
 
-def test_special_strings_are_ordinary_text():
-    assert tokens.token_ids("<|endoftext|>", tokens.vocabulary_path()).tolist() == reference_ids("<|endoftext|>")
+@pytest.mark.parametrize("text", ["<|endoftext|>", "<|endoftext|> hi", "a<|endoftext|><|endoftext|>\nb", "<|endoftext", "it's 12 o'clock\u00a0now\r\n\t x", "😀 日本語 ẞ"])
+def test_ids_are_those_of_the_tokenizer(text):
+    assert tokens.token_ids(text, tokens.vocabulary_path()).tolist() == reference_ids(text)
+
+
+def test_ids_of_the_documents_are_those_of_the_tokenizer(spark, sf_dir):
+    for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").collect():
+        assert tokens.token_ids(r["text"], tokens.vocabulary_path()).tolist() == reference_ids(r["text"])
+
+
+def test_a_long_text_without_line_feeds_is_cut(monkeypatch):
+    text = prose(3000, 5) + " <|endoftext|> " + prose(3000, 6)
+    monkeypatch.setattr(tokens, "_PIECE", 1000)
+    assert max(map(len, tokens._pieces(text))) < 1100
+    assert tokens.token_ids(text, tokens.vocabulary_path()).tolist() == reference_ids(text)
+
+
+def test_buckets_are_written_apart(make_docs, odd_rows, tmp_path, spark):
+    packed = packing.pack(make_docs(odd_rows))
+    packing.write_buckets(packed, str(tmp_path / "out"))
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert back.count() == packed.count() and back.where("length <> shiftleft(1, bucket)").isEmpty()
 
 
 @pytest.mark.parametrize("n", [1, 2, 3, 17, 256, 1000, 4097])
@@ -100,6 +122,12 @@ def test_shards_hold_every_document(make_docs, odd_rows, tmp_path, monkeypatch,
         assert sum(len(part) for _, part in docs[i]) == sum(map(len, w))
 
 
+def test_ids_that_do_not_fit_are_refused():
+    assert training_order._narrow(np.array([0, 65_535], "<u4")).tolist() == [0, 65_535]
+    with pytest.raises(ValueError):
+        training_order._narrow(np.array([65_536], "<u4"))
+
+
 def test_no_documents_make_no_shards(make_docs, tmp_path):
     made = training_order.materialise(make_docs([]), str(tmp_path / "none"))
     assert (made.sequences, made.shards, made.index.count()) == (0, 0, 0)
