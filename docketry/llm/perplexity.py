@@ -1,19 +1,19 @@
 """Quality rules: text statistics and n-gram perplexity bands.
 
 Spark counts the character n-grams of the highest order over all texts; the counts of the lower
-orders are Kneser-Ney continuation counts, each from the distinct n-grams of the order above. Every
+orders are Kneser-Ney continuation counts, each from the distinct n-grams of the order above, but
+for n-grams at the start of a text, which nothing can precede and which keep their counts. Every
 order has three discounts from its own counts of counts (modified Kneser-Ney). Interpolated
 probabilities and the back-off weights of contexts are kept in arrays sorted by a 64-bit hash and
 broadcast. A document's perplexity is that of its characters; each language rejects documents
-outside its own band, which reaches a number of interquartile ranges beyond the quartiles of the
-log-perplexity of its texts, copies counting once.
+outside its own band, which reaches three interquartile ranges (the usual fence for far outliers)
+beyond the quartiles of the log-perplexity of its texts, copies counting once.
 
-The model keeps all n-grams, so it grows with the texts. Only a caller that gives ``most_entries``
-gets a smaller one: where an order has more, those below the smallest sufficient count go, and their
-mass stays with the back-off weights. Counts, discounts and totals are always those of all texts.
+The model keeps all n-grams, so it grows with the texts, on the driver and in the broadcast. Texts
+with more than ``most_entries`` distinct n-grams of an order are refused with an error; none is dropped.
 
 Edge cases: a null text has no words; documents without characters have a null perplexity and fail
-the base rule; a null language is a language of its own; very long texts are counted and scored in
+the base rule; a null language is a language of its own; ties at a quartile share a bin; very long texts are counted and scored in
 bounded pieces; repeated rows count each; an empty table gives an empty result; input columns named
 like an output column are replaced.
 """
@@ -39,6 +39,10 @@ _WINDOW = 8
 SYMBOLS = "#*$%&|<>"
 _BLANKS = " \t\n\x0b\x0c\r"
 _BINS = 1000
+#: Distinct n-grams of an order that the driver and a broadcast may hold, at some 30 bytes each.
+MOST_ENTRIES = 1 << 25
+#: Interquartile ranges from a quartile to the end of a band.
+REACH = 3.0
 METRICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -169,8 +173,16 @@ def count_grams(texts: DataFrame) -> DataFrame:
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, keys, counts = -1, np.empty(0, np.int64), np.empty(0, np.int64)
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def fold() -> None:
+            nonlocal held, keys, counts
+            keys, at = np.unique(np.concatenate([keys, *(k for k, _ in held)]), return_inverse=True)
+            counts = np.bincount(at, np.concatenate([counts, *(c for _, c in held)]), len(keys)).astype(np.int64)
+            held = []
 
         def done() -> Iterator[pa.RecordBatch]:
+            fold()
             for lo in range(0, len(keys), 50_000):
                 yield pa.RecordBatch.from_arrays([pa.array(keys[lo : lo + 50_000]), pa.array(counts[lo : lo + 50_000])], ["key", "n"])
 
@@ -179,8 +191,9 @@ def count_grams(texts: DataFrame) -> DataFrame:
                 if bucket != current:
                     yield from done()
                     current, keys, counts = bucket, keys[:0], counts[:0]
-                keys, at = np.unique(np.concatenate([keys, np.frombuffer(k, "<i8")]), return_inverse=True)
-                counts = np.bincount(at, np.concatenate([counts, np.frombuffer(c, "<i8")])).astype(np.int64)
+                held.append((np.frombuffer(k, "<i8"), np.frombuffer(c, "<i8")))
+                if sum(len(x) for x, _ in held) > max(1_000_000, len(keys)):  # so that each fold doubles what is held at least
+                    fold()
         yield from done()
 
     sent = texts.select("text").mapInArrow(count, "bucket int, keys binary, counts binary")
@@ -199,7 +212,7 @@ def discounts(counts_of_counts: dict[int, int]) -> tuple[float, float, float]:
     return tuple(float(np.clip(d, 0.05, i - 0.05)) for i, d in ((1, d1), (2, d2), (3, d3)))
 
 
-def fit(texts: DataFrame, most_entries: int | None = None) -> KneserNey:
+def fit(texts: DataFrame, most_entries: int = MOST_ENTRIES) -> KneserNey:
     """A modified Kneser-Ney model of the column ``text`` of all rows."""
     grams = written(count_grams(texts), "grams")
     empty = np.empty(0, np.uint64)
@@ -208,17 +221,17 @@ def fit(texts: DataFrame, most_entries: int | None = None) -> KneserNey:
     for order in range(ORDER, 0, -1):
         if order < ORDER:
             suffix = F.col("key").bitwiseAND(F.lit((1 << (16 * order)) - 1))
-            grams = written(grams.groupBy(suffix.alias("key")).agg(F.count("*").alias("n")), "grams")
-        histogram = {r["n"]: r["count"] for r in grams.groupBy(F.least("n", F.lit(10_000)).alias("n")).count().collect()}
+            starts = F.shiftrightunsigned("key", 16 * (order - 1)) == _BEGIN
+            grams = grams.groupBy(suffix.alias("key")).agg(F.count("*").alias("before"), F.sum("n").alias("times"))
+            grams = written(grams.select("key", F.when(starts, F.col("times")).otherwise(F.col("before")).alias("n")), "grams")
+        histogram = {r["n"]: r["count"] for r in grams.groupBy(F.least("n", F.lit(5)).alias("n")).count().collect()}
+        if sum(histogram.values()) > most_entries:
+            raise ValueError(f"more than {most_entries} distinct n-grams of order {order}: a larger bound needs a larger driver and larger executors")
         d1, d2, d3 = discounts(histogram)
-        cut, left = 1, sum(histogram.values())
-        while most_entries is not None and left > most_entries and cut < 10_000:
-            left -= histogram.get(cut, 0)
-            cut += 1
         context = F.shiftrightunsigned("key", 16)
         totals = grams.groupBy(context.alias("context")).agg(F.sum("n").alias("total"))
         share = (F.col("n") - F.when(F.col("n") == 1, d1).when(F.col("n") == 2, d2).otherwise(d3)) / F.col("total")
-        rows = grams.where(F.col("n") >= cut).join(totals, context == F.col("context")).select("key", "context", share.alias("share")).toPandas()
+        rows = grams.join(totals, context == F.col("context")).select("key", "context", share.alias("share")).toPandas()
         key, ctx = rows["key"].to_numpy(np.int64).view(np.uint64), rows["context"].to_numpy(np.int64).view(np.uint64)
         alpha = rows["share"].to_numpy(np.float64)
         contexts, at = np.unique(ctx, return_inverse=True)
@@ -290,36 +303,36 @@ def rate(docs: DataFrame, model: KneserNey, text_col: str = "text") -> DataFrame
     return docs.mapInArrow(scan, schema)
 
 
-def bands(rated: DataFrame, lang_col: str = "lang", reach: float = 4.0, text_hash: str | None = None) -> DataFrame:
-    """(band_lang, low, high): each language's band of log-perplexity, from a histogram of all its documents.
+def bands(rated: DataFrame, lang_col: str = "lang", reach: float = REACH, text_hash: str | None = None) -> DataFrame:
+    """(__dk_lang, low, high): each language's band of log-perplexity, from a histogram of all its documents.
 
     With ``text_hash``, a column that copies share, each text counts once, so that a large group of
     copies doesn't move the band.
     """
-    marks = [F.col(lang_col).alias("band_lang"), F.floor(F.col("log_perplexity") * _BINS).alias("bin")]
+    marks = [F.col(lang_col).alias("__dk_lang"), F.floor(F.col("log_perplexity") * _BINS).alias("bin")]
     known = rated.where("log_perplexity is not null")
     known = known.select(*marks, F.col(text_hash).alias("hash")).distinct() if text_hash else known.select(*marks)
-    bins = known.groupBy("band_lang", "bin").count()
-    running = Window.partitionBy("band_lang").orderBy("bin")
-    whole = Window.partitionBy("band_lang")
+    bins = known.groupBy("__dk_lang", "bin").count()
+    running = Window.partitionBy("__dk_lang").orderBy("bin")
+    whole = Window.partitionBy("__dk_lang")
     share = bins.withColumn("share", F.sum("count").over(running) / F.sum("count").over(whole))
 
     def quartile(q: float):
         return F.min(F.when(F.col("share") >= q, (F.col("bin") + 0.5) / _BINS))
 
-    found = share.groupBy("band_lang").agg(quartile(0.25).alias("q1"), quartile(0.75).alias("q3"))
+    found = share.groupBy("__dk_lang").agg(quartile(0.25).alias("q1"), quartile(0.75).alias("q3"))
     spread = F.greatest(F.col("q3") - F.col("q1"), F.lit(0.02))
-    return found.select("band_lang", (F.col("q1") - reach * spread).alias("low"), (F.col("q3") + reach * spread).alias("high"))
+    return found.select("__dk_lang", (F.col("q1") - reach * spread).alias("low"), (F.col("q3") + reach * spread).alias("high"))
 
 
-def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", reach: float = 4.0, most_entries: int | None = None, carry: list[str] | None = None) -> DataFrame:
+def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", reach: float = REACH, most_entries: int = MOST_ENTRIES, carry: list[str] | None = None) -> DataFrame:
     """Rows of ``docs`` (the columns ``carry``; all by default) with metrics, ``log_perplexity``, ``base_failed`` and ``kept``."""
     model = fit(docs.select(F.col(text_col).alias("text")), most_entries)
-    out = [c for c in (carry or docs.columns) if c not in (*METRICS, "log_perplexity", "base_failed", "kept")]
+    out = [c for c in (carry or docs.columns) if c not in (*METRICS, "log_perplexity", "low", "high", "base_failed", "kept")]
     rated = rate(docs.select(*dict.fromkeys([*out, lang_col, text_col])), model, text_col).withColumn("__dk_text", F.xxhash64(text_col))
     rated = written(rated.select(*dict.fromkeys([*out, lang_col]), *METRICS, "log_perplexity", "__dk_text"), "rated")
     band = written(bands(rated, lang_col, reach, "__dk_text"), "bands")
-    joined = rated.join(band, F.col(lang_col).eqNullSafe(F.col("band_lang")), "left")
+    joined = rated.join(band, F.col(lang_col).eqNullSafe(F.col("__dk_lang")), "left")
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     inside = F.coalesce((F.col("log_perplexity") >= F.col("low")) & (F.col("log_perplexity") <= F.col("high")), F.lit(False))
     return joined.select(*out, *METRICS, "log_perplexity", "low", "high", failed.alias("base_failed"), (~failed & inside).alias("kept"))
