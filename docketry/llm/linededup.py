@@ -7,10 +7,13 @@ key is missed. Only keys that the twice-seen filter holds are shuffled, grouped
 digest, counted exactly, and given the document that keeps them. Pass two rewrites the documents
 that lose a line.
 
-The filters' size follows the number of keys up to ``max_bits``; beyond that more keys are
-suspected and shuffled for the exact count, and the result stays the same.
+The filters' size follows the number of keys. They are cut into segments by the leading bits of the
+digests, and both bits of a key are in its segment. Filters of at most ``max_bits`` are broadcast to
+the tasks that probe them; beyond that every key is sent to the task that has its segment, which
+suspects the same keys.
 
-Edge cases: a null text is one empty line; a document is a row, so repeated rows count each; of
+Edge cases: a null text is one empty line; very long texts are read whole; equal lines (ties) of the
+keeping document all stay; a document is a row, so repeated rows count each; of
 rows with the largest id all keep their lines; a null id is smaller than any other, and rows equal
 in id and text are treated alike; an empty table gives an empty result; input columns named like
 an output column are replaced.
@@ -51,10 +54,15 @@ def _digest(key: bytes) -> bytes:
     return hashlib.blake2b(key, digest_size=_DIGEST).digest()
 
 
-def _positions(digests: np.ndarray, bits: int) -> np.ndarray:
-    """Filter bits of digests given as rows of two words; double hashing over a power of two."""
+def _segments(digests: np.ndarray, segments: int) -> np.ndarray:
+    """The segment of each digest, by its leading bits."""
+    return (digests[:, 0] >> np.uint64(40)).astype(np.int64) * segments >> 24
+
+
+def _positions(digests: np.ndarray) -> np.ndarray:
+    """(probes, digests): the bits of each digest within its segment; double hashing over a power of two."""
     first, step = digests[:, 0], digests[:, 1] | np.uint64(1)
-    return np.concatenate([(first + np.uint64(i) * step) & np.uint64(bits - 1) for i in range(_PROBES)])
+    return np.stack([(first + np.uint64(i) * step) & np.uint64((1 << _SEGMENT) - 1) for i in range(_PROBES)])
 
 
 def _words(blob: bytes) -> np.ndarray:
@@ -79,8 +87,8 @@ def _line_digests(docs: DataFrame, least: int) -> DataFrame:
     return docs.mapInArrow(scan, schema)
 
 
-def twice_seen(lines: DataFrame, bits: int) -> np.ndarray:
-    """The twice-seen filter as bytes of eight bits, merged segment by segment from all tasks."""
+def twice_seen(lines: DataFrame, segments: int) -> DataFrame:
+    """(segment, bits) of the twice-seen filter, packed bits by segment, merged from all tasks; untouched segments are left out."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -91,8 +99,8 @@ def twice_seen(lines: DataFrame, bits: int) -> np.ndarray:
             if held:
                 once, count = np.unique(np.concatenate(held), return_counts=True)
                 # The low bit tells a position that this task alone has set twice.
-                local = ((once & np.uint64((1 << _SEGMENT) - 1)) << np.uint64(1) | (count > 1)).astype("<u4")
-                segment = (once >> np.uint64(_SEGMENT)).astype(np.int64)
+                local = ((once & ((1 << _SEGMENT) - 1)) << 1 | (count > 1)).astype("<u4")
+                segment = once >> _SEGMENT
                 cuts = np.flatnonzero(np.diff(segment)) + 1
                 parts = [p.tobytes() for p in np.split(local, cuts)]
                 heads = segment[np.concatenate([[0], cuts])].astype(np.int32)
@@ -105,7 +113,8 @@ def twice_seen(lines: DataFrame, bits: int) -> np.ndarray:
         for batch in batches:
             for blob in batch.column("lines").to_pylist():
                 if blob:
-                    held.append(_positions(_words(blob), bits))
+                    digests = _words(blob)
+                    held.append((_segments(digests, segments) << _SEGMENT | _positions(digests).astype(np.int64)).ravel())
                     n += len(held[-1])
                     if n > 4_000_000:
                         yield from flush()
@@ -133,31 +142,29 @@ def twice_seen(lines: DataFrame, bits: int) -> np.ndarray:
         yield from done()
 
     schema = "segment int, bits binary"
-    merged = lines.select("lines").mapInArrow(build, schema).repartition("segment").sortWithinPartitions("segment").mapInArrow(merge, schema)
-    out = np.zeros(bits >> 3, np.uint8)
-    for row in merged.toLocalIterator():
-        lo = row["segment"] << (_SEGMENT - 3)
-        part = np.frombuffer(row["bits"], np.uint8)
-        out[lo : lo + len(part)] = part[: len(out) - lo]
-    return out
+    return lines.select("lines").mapInArrow(build, schema).repartition("segment").sortWithinPartitions("segment").mapInArrow(merge, schema)
+
+
+def _hits(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether all probes (rows of ``at``) of each digest are set in packed bits."""
+    return ((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(bool).all(axis=0)
 
 
-def _suspects(lines: DataFrame, filter_bytes: np.ndarray) -> DataFrame:
-    """(digest, id, mark) of the keys that the twice-seen filter holds."""
-    shared = lines.sparkSession.sparkContext.broadcast(filter_bytes)
-    bits = len(filter_bytes) << 3
-    id_field = lines.schema["id"]
+def _suspects(lines: DataFrame, filters: DataFrame, segments: int) -> DataFrame:
+    """(digest, id, mark) of the keys that the twice-seen filter holds; the whole filter is broadcast."""
+    per = 1 << (_SEGMENT - 3)
+    whole = np.zeros(segments * per, np.uint8)
+    for row in filters.toLocalIterator():
+        whole[row["segment"] * per : (row["segment"] + 1) * per] = np.frombuffer(row["bits"], np.uint8)
+    shared = lines.sparkSession.sparkContext.broadcast(whole)
 
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = shared.value
         for batch in batches:
             blobs = [b or b"" for b in batch.column("lines").to_pylist()]
             digests = _words(b"".join(blobs))
             if not len(digests):
                 continue
-            at = _positions(digests, bits)
-            hit = ((seen[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
-            hit = hit.reshape(_PROBES, -1).all(axis=0)
+            hit = _hits(shared.value, _segments(digests, segments) << _SEGMENT | _positions(digests).astype(np.int64))
             row = np.repeat(np.arange(len(blobs)), [len(b) // _DIGEST for b in blobs])[hit]
             keys = np.ascontiguousarray(digests[hit]).tobytes()
             for lo in range(0, len(row), 20_000):
@@ -165,10 +172,45 @@ def _suspects(lines: DataFrame, filter_bytes: np.ndarray) -> DataFrame:
                 found = pa.array([keys[i * _DIGEST : (i + 1) * _DIGEST] for i in range(lo, lo + len(rows))], pa.binary())
                 yield pa.RecordBatch.from_arrays([found, batch.column("id").take(rows), batch.column("mark").take(rows)], ["digest", "id", "mark"])
 
-    schema = T.StructType([T.StructField("digest", T.BinaryType()), id_field, T.StructField("mark", T.BinaryType())])
+    schema = T.StructType([T.StructField("digest", T.BinaryType()), lines.schema["id"], T.StructField("mark", T.BinaryType())])
     return lines.mapInArrow(probe, schema)
 
 
+def _suspects_by_segment(lines: DataFrame, filters: DataFrame, segments: int) -> DataFrame:
+    """(digest, id, mark) as ``_suspects`` gives them, with every key sent to where its segment is; nothing is broadcast."""
+    id_type = lines.schema["id"].dataType
+    keyed = T.StructType([T.StructField("segment", T.IntegerType()), T.StructField("bits", T.BinaryType()), T.StructField("id", id_type), T.StructField("mark", T.BinaryType())])
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            blobs = [b or b"" for b in batch.column("lines").to_pylist()]
+            all_keys, row = b"".join(blobs), np.repeat(np.arange(len(blobs)), [len(b) // _DIGEST for b in blobs])
+            segment = _segments(_words(all_keys), segments).astype(np.int32)
+            for lo in range(0, len(row), 20_000):
+                rows = pa.array(row[lo : lo + 20_000])
+                keys = pa.array([all_keys[i * _DIGEST : (i + 1) * _DIGEST] for i in range(lo, lo + len(rows))], pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(segment[lo : lo + 20_000]), keys, batch.column("id").take(rows), batch.column("mark").take(rows)], keyed.names)
+
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, bits = -1, None
+        for batch in batches:
+            segment, kind = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("segment", "kind"))
+            for lo in range(0, len(segment), 4096):
+                cuts = [lo, *(lo + 1 + np.flatnonzero(np.diff(segment[lo : lo + 4096]) | np.diff(kind[lo : lo + 4096]))), min(lo + 4096, len(segment))]
+                for a, b in zip(cuts, cuts[1:], strict=False):
+                    piece = batch.slice(a, b - a)
+                    if not kind[a]:
+                        current, bits = segment[a], np.frombuffer(piece.column("bits")[0].as_py(), np.uint8)
+                    elif segment[a] == current:
+                        hit = _hits(bits, _positions(_words(b"".join(piece.column("bits").to_pylist()))).astype(np.int64))
+                        yield pa.RecordBatch.from_arrays([piece.column(c).filter(pa.array(hit)) for c in ("bits", "id", "mark")], ["digest", "id", "mark"])
+
+    keys = lines.mapInArrow(part, keyed).withColumn("kind", F.lit(1))
+    held = filters.select("segment", "bits", F.lit(None).cast(id_type).alias("id"), F.lit(None).cast("binary").alias("mark"), F.lit(0).alias("kind"))
+    schema = T.StructType([T.StructField("digest", T.BinaryType()), lines.schema["id"], T.StructField("mark", T.BinaryType())])
+    return held.unionByName(keys).repartition("segment").sortWithinPartitions("segment", "kind").mapInArrow(probe, schema)
+
+
 def dedup_lines(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -188,10 +230,10 @@ def dedup_lines(
     docs = docs.drop(*[c for c in OUTPUTS if c in docs.columns])
     mark = F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit(""))))
     lines = written(_line_digests(docs.select(F.col(id_col).alias("id"), mark.alias("mark"), F.col(text_col).alias("text")), least_chars), "lines")
-    n_keys = lines.agg(F.sum(F.octet_length("lines"))).first()[0] or 0
-    wanted = max(1 << _SEGMENT, bits_per_key * (n_keys // _DIGEST))
-    bits = min(1 << (int(wanted) - 1).bit_length(), max(max_bits, 1 << _SEGMENT))
-    suspects = _suspects(lines, twice_seen(lines, bits))
+    n_keys = (lines.agg(F.sum(F.octet_length("lines"))).first()[0] or 0) // _DIGEST
+    segments = min(1 << 24, max(1, -(-bits_per_key * n_keys >> _SEGMENT)))
+    probe = _suspects if segments << _SEGMENT <= max_bits else _suspects_by_segment
+    suspects = written(probe(lines, written(twice_seen(lines, segments), "filters"), segments), "suspects")
     confirmed = (
         suspects.groupBy("digest")
         .agg(F.count("*").alias("n"), F.max("id").alias("keeper"))

@@ -38,20 +38,21 @@ FROM hits h JOIN best b ON h.source IS NOT DISTINCT FROM b.source AND h.draw = b
 """
 
 OP4 = r"""
-WITH split AS (
-  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+WITH rows AS (SELECT row_number() OVER () AS row, doc_id, text FROM documents),
+split AS (
+  SELECT row, doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
          generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
-  FROM documents),
-stripped AS (SELECT doc_id, line, pos, trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS raw FROM split),
-keyed AS (SELECT doc_id, line, pos, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM stripped),
+  FROM rows),
+stripped AS (SELECT row, doc_id, line, pos, trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS raw FROM split),
+keyed AS (SELECT row, doc_id, line, pos, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM stripped),
 repeated AS (
-  SELECT key, max(doc_id) AS keeper FROM keyed WHERE len(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+  SELECT key, max(doc_id) AS keeper FROM keyed WHERE len(key) >= 20 GROUP BY key HAVING count(DISTINCT row) >= 3),
 judged AS (
-  SELECT k.doc_id, k.line, k.pos, r.key IS NOT NULL AND k.doc_id <> r.keeper AS gone
+  SELECT k.row, k.doc_id, k.line, k.pos, r.key IS NOT NULL AND k.doc_id IS DISTINCT FROM r.keeper AS gone
   FROM keyed k LEFT JOIN repeated r ON k.key = r.key)
 SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE gone)::BIGINT AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
-FROM judged GROUP BY doc_id
+FROM judged GROUP BY row, doc_id
 """
 
 ORACLES = {"op4_line_dedup": OP4, "op9_mixing": OP9}

@@ -56,11 +56,12 @@ def test_many_lines_and_a_hot_one(make_docs):
     assert result(linededup.dedup_lines(make_docs(rows, 7))) == brute(rows)
 
 
-def test_an_overfull_filter_changes_nothing(make_docs, monkeypatch):
-    """With a filter far too small all keys are suspected, and the exact count still decides."""
-    monkeypatch.setattr(linededup, "_SEGMENT", 8)
-    got = linededup.dedup_lines(make_docs(ROWS * 3, 5), max_bits=256)
-    assert result(got) == brute(ROWS * 3)
+@pytest.mark.parametrize("bits", [{"max_bits": 0}, {"max_bits": 0, "bits_per_key": 1 << 16}, {"bits_per_key": 1 << 16}])
+def test_filters_that_are_not_broadcast_give_the_same(make_docs, bits):
+    """Keys that are sent to their segments, one or many, are judged as those of broadcast filters."""
+    rng = np.random.default_rng(0)
+    rows = ROWS * 3 + [(100 + i, "\n".join(f"this line has the number {int(n)} in its text" for n in rng.integers(0, 400, 8)), "en", "a") for i in range(150)]
+    assert result(linededup.dedup_lines(make_docs(rows, 5), **bits)) == brute(rows)
 
 
 def test_two_documents_are_the_least(make_docs):
