@@ -2,6 +2,7 @@ from __future__ import annotations
 
 from collections import Counter, defaultdict
 
+import pyarrow.parquet as pq
 import pytest
 
 from docketry.llm import mixing, sharding
@@ -34,6 +35,26 @@ def test_a_cell_beyond_memory_is_shuffled_in_pieces(make_docs):
     assert sorted(r["position"] for r in got) == list(range(305))
 
 
+@pytest.mark.parametrize("bounds", [{"bucket_bytes": 300}, {"bucket_bytes": 300, "task_bytes": 1000}, {"task_bytes": 100}])
+def test_bounds_follow_the_bytes(make_docs, bounds):
+    rows = [(i, prose(5, i), "en", "a") for i in range(200)]
+    got = sharding.external_shuffle(make_docs(rows), **bounds).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in got) == sorted((i, t) for i, t, *_ in rows)
+    assert [r["position"] for r in got] == list(range(200))  # tasks have runs of positions, in order
+
+
+def test_a_shards_files_are_in_slot_order(spark, make_docs, tmp_path):
+    rows = [(i, prose(5, i), "en", "a") for i in range(200)]
+    sharding.write_shards(sharding.external_shuffle(make_docs(rows), shards=3, bucket_bytes=500), str(tmp_path / "out"))
+    found = 0
+    for shard in range(3):
+        files = sorted((tmp_path / "out" / f"shard={shard}").glob("part-*.parquet"))
+        slots = [s for f in files for s in pq.read_table(f)["slot"].to_pylist()]
+        assert len(files) > 1 and slots == list(range(len(slots)))
+        found += len(slots)
+    assert found == 200
+
+
 def test_empty(make_docs):
     assert sharding.external_shuffle(make_docs([])).count() == 0
     assert mixing.mix(make_docs([])).count() == 0
