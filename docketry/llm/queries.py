@@ -97,10 +97,10 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's share of the mix."""
-    from .mixing import mix
+    from .mixing import decide
 
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    return mix(docs).select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).cast("long").alias("taken"))
+    return decide(docs).select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).cast("long").alias("taken"))
 
 
 def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
