@@ -17,17 +17,17 @@ def _signature(edges: DataFrame) -> tuple:
     return tuple(row)
 
 
-def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """(vertex, component) for each vertex of the undirected edges (a, b) of longs.
 
-    The component is its smallest vertex. Self loops and nulls are ignored. Raises if the labels
-    still move after ``rounds`` rounds.
+    The component is its smallest vertex. Self loops and nulls are ignored. Rounds go on until no
+    label moves: by the method's law a number that grows with the square of the vertices' logarithm.
     """
     now = checkpoint(
         edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     )
     sign = _signature(now)
-    for _ in range(rounds):
+    while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), F.least("u", "m").alias("m"))
         large = both.join(low, F.col("u") == F.col("w")).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
@@ -40,4 +40,3 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
             roots = after.select(F.col("v").alias("vertex"), F.col("v").alias("component")).distinct()
             return children.unionByName(roots)
         now, sign = after, new
-    raise RuntimeError(f"the components were not settled after {rounds} rounds")

@@ -4,7 +4,7 @@ Each text gets a 64-bit fingerprint. Distinct fingerprints meet in buckets: the
 into six blocks, at most three differing bits leave three blocks alike, so a fingerprint is put
 into the twenty buckets of its block triples and no link is missed. In a bucket, the Hamming
 distances of every fingerprint to a fixed set of reference fingerprints (the pivots) are computed
-once; by the triangle inequality a pair whose distances to any pivot differ by more than the
+once for each run of buckets that a task holds, for fingerprints that are not alone in all of them; by the triangle inequality a pair whose distances to any pivot differ by more than the
 radius is no link and is discarded, and only the pairs that survive all pivots are verified.
 Large buckets report a spanning forest instead of all links, which loses no component; a bucket
 beyond one task's bound is split into chunks that meet pairwise in separate tasks.
@@ -137,9 +137,13 @@ def _bucket_links(rows: DataFrame, radius: int, bound: int | None) -> DataFrame:
                 )
 
         def solve(key: np.ndarray, fp: np.ndarray) -> Iterator[pa.RecordBatch]:
-            table = np.bitwise_count(fp[:, None] ^ refs[None, :]).astype(np.int16)
             starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
             lengths = np.diff(np.concatenate([starts, [len(key)]]))
+            many = np.repeat(lengths > 1, lengths)  # what is alone in its bucket needs no distances
+            key, fp, lengths = key[many], fp[many], lengths[lengths > 1]
+            starts = np.cumsum(lengths) - lengths
+            once, at = np.unique(fp, return_inverse=True)
+            table = np.bitwise_count(once[:, None] ^ refs[None, :]).astype(np.int16)[at]
             small = np.repeat((lengths > 1) & (lengths <= _SMALL), lengths)
             if small.any():
                 yield from out(0, *_links_of_pairs(key[small], fp[small], table[small], radius, _SMALL))
