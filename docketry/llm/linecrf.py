@@ -6,14 +6,14 @@ trained on documents whose lines all carry the document's label. A document's qu
 of its lines' marginal probabilities of being good, weighted by their length, from the
 forward-backward recursion, put through a logistic curve fitted on the training documents.
 
-The model is fitted on at most ``most_docs`` labelled documents, those with the smallest seeded
-hashes of their ids, and at most ``most_lines`` lines of the first 200,000 characters of each; scores
-always use whole texts.
+The model is fitted on a sample of whole labelled documents, at most ``most_docs`` with at most
+``most_lines`` lines together; tasks make the lines' features, and only those are gathered. Scores use
+whole texts. A long text is scored in blocks of lines, so that its features are never held at once.
 
 Edge cases: a text that is null or has no word has no lines and gets the smoothed share of good
 documents among such training texts, 0 without any; labels that are null or not 0 or 1 teach
-nothing, and without any usable label all scores are 0.5; repeated rows count each; an empty table
-gives an empty result; input columns named like an output column are replaced.
+nothing, and without any usable label all scores are 0.5; repeated rows are scored each and teach
+once; equal hashes (ties) are taken for equal rows; an empty table gives an empty result; input columns named like an output column are replaced.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import utf8_bytes
+from .common import utf8_bytes, written
 
 _LOWER, _UPPER, _DIGIT, _BLANK, _SYMBOL, _BANG, _BAR, _MARK, _OTHER = range(9)
 #: Steps of a share, and of the log of a number of words.
@@ -46,58 +46,102 @@ def _classes() -> np.ndarray:
 
 _CLASS = _classes()
 _POWER = np.uint64(0x9E3779B97F4A7C15)
+#: Bytes that are hashed at once, and lines whose inputs are held at once.
+_RUN, _LINES = 1 << 18, 1 << 14
+
+
+def _word_codes(buffer: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A hash of each word that is the same wherever it stands; a bounded run of bytes at a time."""
+    code = np.zeros(len(begin), np.uint64)
+    powers = np.cumprod(np.full(_RUN, _POWER, np.uint64))
+    back = np.cumprod(np.full(_RUN, np.uint64(pow(int(_POWER), -1, 1 << 64)), np.uint64))
+    i = 0
+    while i < len(begin):
+        j = int(np.searchsorted(end, begin[i] + _RUN, "right"))
+        if j > i:  # words that end within a run of the first one's beginning
+            lo = begin[i]
+            part = buffer[lo : end[j - 1]].astype(np.uint64)
+            sums = np.concatenate([[np.uint64(0)], np.cumsum(part * powers[: len(part)])])
+            code[i:j] = (sums[end[i:j] - lo] - sums[begin[i:j] - lo]) * back[begin[i:j] - lo]
+            i = j
+            continue
+        shift = back[:1].copy()  # a word longer than a run
+        for lo in range(int(begin[i]), int(end[i]), _RUN):
+            part = buffer[lo : min(lo + _RUN, int(end[i]))].astype(np.uint64)
+            code[i : i + 1] += (part * powers[: len(part)]).sum(dtype=np.uint64) * shift
+            shift *= powers[-1:]
+        i += 1
+    return code
 
 
 class Lines:
-    """The lines with a word of a batch of texts: features, byte lengths, and each line's text."""
+    """The lines with a word of a batch of texts: features, byte lengths, and each line's text.
 
-    def __init__(self, texts: list[bytes]):
+    ``echoes`` has hashes of lines that are known to occur twice in the (only) text, beyond those
+    that the batch itself holds twice; with ``hashes_only`` just ``hashes`` of the lines are made.
+    """
+
+    def __init__(self, texts: list[bytes], echoes: np.ndarray | None = None, hashes_only: bool = False):
         buffer = np.frombuffer(b"".join(t + b"\n" for t in texts) or b"\n", np.uint8)
         ends = np.flatnonzero(buffer == 10)
         starts = np.concatenate([[0], ends[:-1] + 1])
         text_ends = np.cumsum([len(t) + 1 for t in texts]) - 1 if texts else np.empty(0, np.int64)
         kind = _CLASS[buffer]
-        filled = np.add.reduceat((kind != _BLANK).astype(np.int32), starts)
+        filled = np.add.reduceat((kind != _BLANK).view(np.uint8), starts, dtype=np.int32)
         kept = np.flatnonzero(filled > 0)
         self.doc = np.searchsorted(text_ends, ends[kept])
         self.length = filled[kept].astype(np.float64)
-        self.features = self._describe(buffer, kind, starts, kept) if len(kept) else np.zeros((0, WIDTH), np.float32)
+        self.hashes, self.features = np.empty(0, np.uint64), np.zeros((0, WIDTH), np.uint8)
+        if len(kept):
+            self._describe(buffer, kind, starts, kept, echoes, hashes_only)
 
-    def _describe(self, buffer: np.ndarray, kind: np.ndarray, starts: np.ndarray, kept: np.ndarray) -> np.ndarray:
-        counts = np.stack([np.add.reduceat((kind == c).view(np.uint8), starts, dtype=np.int32)[kept] for c in range(9)], axis=1).astype(np.float64)
-        filled = np.maximum(self.length, 1.0)
-        letters = np.maximum(counts[:, _LOWER] + counts[:, _UPPER] + counts[:, _OTHER], 1.0)
+    def _describe(self, buffer: np.ndarray, kind: np.ndarray, starts: np.ndarray, kept: np.ndarray, echoes: np.ndarray | None, hashes_only: bool) -> None:
         word = kind != _BLANK
-        first = word.copy()
-        first[1:] &= ~word[:-1]
-        last = word.copy()
-        last[:-1] &= ~word[1:]
-        begin, end = np.flatnonzero(first), np.flatnonzero(last) + 1
-        powers = np.cumprod(np.full(len(buffer), _POWER, np.uint64))
-        sums = np.concatenate([[np.uint64(0)], np.cumsum(buffer.astype(np.uint64) * powers)])
-        back = np.cumprod(np.full(len(buffer), np.uint64(pow(int(_POWER), -1, 1 << 64)), np.uint64))
-        code = (sums[end] - sums[begin]) * back[begin]  # a word's hash wherever it stands
+        begin = np.flatnonzero(word & np.concatenate([[True], ~word[:-1]]))
+        end = np.flatnonzero(word & np.concatenate([~word[1:], [True]])) + 1
+        code = _word_codes(buffer, begin, end)
         line_at = np.full(len(starts), -1)
         line_at[kept] = np.arange(len(kept))
         line = line_at[np.searchsorted(starts, begin, "right") - 1]
         n_words = np.bincount(line, minlength=len(kept)).astype(np.float64)
+        tops = np.searchsorted(line, np.arange(len(kept)))
+        self.hashes = np.add.reduceat(code * (np.arange(len(line)) - tops[line] + 1).astype(np.uint64), tops)
+        if hashes_only:
+            return
+        counts = np.stack([np.add.reduceat((kind == c).view(np.uint8), starts, dtype=np.int32)[kept] for c in range(9)], axis=1).astype(np.float64)
+        filled = np.maximum(self.length, 1.0)
+        letters = np.maximum(counts[:, _LOWER] + counts[:, _UPPER] + counts[:, _OTHER], 1.0)
         pairs = np.sort((line.astype(np.uint64) << np.uint64(36)) | (code >> np.uint64(28)))
         again = pairs[1:][pairs[1:] == pairs[:-1]] >> np.uint64(36)
         repeats = np.bincount(again.astype(np.int64), minlength=len(kept)) / n_words
         twins = line[1:][(line[1:] == line[:-1]) & (code[1:] == code[:-1])]
         twin = np.bincount(twins, minlength=len(kept)) / n_words
-        whole = np.zeros(len(kept), np.uint64)
-        np.add.at(whole, line, code * (np.arange(len(line), dtype=np.uint64) - np.concatenate([[0], np.cumsum(n_words)[:-1]]).astype(np.uint64)[line] + np.uint64(1)))
-        same = np.sort((self.doc.astype(np.uint64) << np.uint64(36)) | (whole >> np.uint64(28)))
-        twice = np.unique(same[1:][same[1:] == same[:-1]])
-        echoed = np.isin((self.doc.astype(np.uint64) << np.uint64(36)) | (whole >> np.uint64(28)), twice)
-        tops = np.searchsorted(line, np.arange(len(kept)))
+        same = (self.doc.astype(np.uint64) << np.uint64(36)) | (self.hashes >> np.uint64(28))
+        echoed = np.isin(same, twice_in(same))
+        if echoes is not None:
+            echoed |= np.isin(self.hashes >> np.uint64(28), echoes)
         head, tail = kind[begin[tops]], kind[end[np.append(tops[1:], len(line)) - 1] - 1]
         steps = [(counts[:, c] / (letters if c == _UPPER else filled), _SHARE_STEPS) for c in (_UPPER, _DIGIT, _SYMBOL, _BANG, _BAR, _MARK, _OTHER)]
         steps += [(repeats, _SHARE_STEPS), (twin, _SHARE_STEPS), (np.log1p(n_words), _LOG_STEPS), (filled / n_words, _WORD_STEPS)]
         flags = [echoed, head == _UPPER, head == _LOWER, (tail == _MARK), (tail == _BANG)]
-        columns = [values > s for values, of in steps for s in of] + flags
-        return np.stack(columns, axis=1).astype(np.float32)
+        self.features = np.stack([(values > s).view(np.uint8) for values, of in steps for s in of] + [f.view(np.uint8) for f in flags], axis=1)
+
+
+def twice_in(values: np.ndarray) -> np.ndarray:
+    """The values that occur twice or more."""
+    ordered = np.sort(values)
+    return np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
+
+
+def line_blocks(text: bytes, size: int) -> Iterator[bytes]:
+    """``text`` cut at line ends into blocks of about ``size`` bytes; a longer line is a block of its own."""
+    at = 0
+    while at < len(text):
+        cut = text.rfind(b"\n", at, at + size)
+        cut = cut if cut > at else text.find(b"\n", at + 1)
+        cut = len(text) if cut < 0 else cut
+        yield text[at:cut]
+        at = cut + 1
 
 
 WIDTH = 9 * len(_SHARE_STEPS) + len(_LOG_STEPS) + len(_WORD_STEPS) + 5
@@ -110,11 +154,11 @@ def with_neighbours(features: np.ndarray, doc: np.ndarray) -> np.ndarray:
     inner = doc[1:] == doc[:-1] if n else np.empty(0, bool)
     before[1:][inner] = features[:-1][inner]
     after[:-1][inner] = features[1:][inner]
-    top = np.ones(n, np.float32)
+    top = np.ones(n, np.uint8)
     top[1:] = ~inner
-    bottom = np.ones(n, np.float32)
+    bottom = np.ones(n, np.uint8)
     bottom[:-1] = ~inner
-    return np.hstack([features, before, after, top[:, None], bottom[:, None], np.ones((n, 1), np.float32)])
+    return np.hstack([features, before, after, top[:, None], bottom[:, None], np.ones((n, 1), np.uint8)])
 
 
 def _grid(doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -151,23 +195,116 @@ def marginals(emission: np.ndarray, doc: np.ndarray, transition: np.ndarray) ->
     return gamma, pairs, float(np.log(scale).sum() + peak.sum())
 
 
+def long_marginals(emission: np.ndarray, transition: np.ndarray, block: int = 2048) -> np.ndarray:
+    """The line marginals of one long document: all blocks of its lines advance together, then are joined.
+
+    The recursion is a product of two-by-two matrices, so each block's product is made first, the
+    blocks are chained, and the lines of all blocks are filled in from both sides.
+    """
+    n = len(emission)
+    blocks = -(-n // block)
+    local = np.ones((blocks * block, 2))
+    local[:n] = np.exp(emission - emission.max(axis=1, keepdims=True))
+    local = local.reshape(blocks, block, 2)
+    step = np.exp(transition)
+    steps = np.broadcast_to(step, (blocks, 2, 2)).copy()
+    at = np.arange(blocks) * block
+    product = np.broadcast_to(np.eye(2), (blocks, 2, 2)).copy()
+
+    def matrix(t: int) -> np.ndarray:
+        """What line ``t`` of each block multiplies by; lines beyond the document change nothing."""
+        inside = at + t < n
+        out = steps * local[:, t, None, :]
+        out[~inside] = np.eye(2)
+        if t == 0:
+            out[0] = np.diag(local[0, 0])
+        return out
+
+    for t in range(block):
+        product = product @ matrix(t)
+        product /= product.sum(axis=(1, 2), keepdims=True)
+    before, after = np.empty((blocks, 2)), np.empty((blocks, 2))
+    now = np.ones(2)
+    for k in range(blocks):
+        before[k] = now
+        now = now @ product[k]
+        now = now / now.sum()
+    now = np.ones(2)
+    for k in range(blocks - 1, -1, -1):
+        after[k] = now
+        now = product[k] @ now
+        now = now / now.sum()
+    forward = np.empty((blocks, block, 2))
+    now = before
+    for t in range(block):
+        now = (now[:, None, :] @ matrix(t))[:, 0]
+        now = now / now.sum(axis=1, keepdims=True)
+        forward[:, t] = now
+    now = after
+    for t in range(block - 1, -1, -1):
+        forward[:, t] *= now
+        now = (matrix(t) @ now[:, :, None])[:, :, 0]
+        now = now / now.sum(axis=1, keepdims=True)
+    gamma = forward.reshape(-1, 2)[:n]
+    return gamma / gamma.sum(axis=1, keepdims=True)
+
+
 class LineField:
     """Weights of the field and of the logistic curve on top."""
 
     def __init__(self, weights: np.ndarray, transition: np.ndarray, slope: float, offset: float, empty: float):
         self.weights, self.transition, self.slope, self.offset, self.empty = weights, transition, slope, offset, empty
 
+    def _emission(self, features: np.ndarray, doc: np.ndarray) -> np.ndarray:
+        parts = [np.zeros((0, 2))]
+        for lo in range(0, len(doc), _LINES):  # with the neighbours of the first and last line of a run
+            at, end = max(lo - 1, 0), min(lo + _LINES + 1, len(doc))
+            found = with_neighbours(features[at:end], doc[at:end]).astype(np.float64) @ self.weights
+            parts.append(found[lo - at : lo - at + _LINES])
+        return np.concatenate(parts)
+
     def raw(self, lines: Lines, n: int) -> np.ndarray:
         """Length-weighted mean marginals by document; NaN where a document has no lines."""
-        emission = with_neighbours(lines.features, lines.doc).astype(np.float64) @ self.weights
-        gamma, _, _ = marginals(emission, lines.doc, self.transition)
+        gamma, _, _ = marginals(self._emission(lines.features, lines.doc), lines.doc, self.transition)
         weight = np.bincount(lines.doc, lines.length, n)
         with np.errstate(invalid="ignore", divide="ignore"):
             return np.bincount(lines.doc, lines.length * gamma[:, 1], n) / weight
 
-    def score(self, texts: list[bytes]) -> np.ndarray:
-        """Quality of each text."""
-        mean = self.raw(Lines(texts), len(texts))
+    def raw_long(self, text: bytes, block_bytes: int = 1 << 20, block_lines: int = 2048) -> float:
+        """The same for one long text, whose features are made and used a block of lines at a time."""
+        hashes = np.concatenate([np.empty(0, np.uint64), *(Lines([b], hashes_only=True).hashes for b in line_blocks(text, block_bytes))])
+        echoes = twice_in(hashes >> np.uint64(28))
+        del hashes
+        emission, length = [np.zeros((0, 2))], [np.empty(0)]
+        held = np.zeros((0, WIDTH), np.uint8)  # the last two lines before: one still waits for its neighbour
+
+        def send(features: np.ndarray, first: int, last: int) -> None:
+            for lo in range(first, last, _LINES):
+                at, end = max(lo - 1, 0), min(min(lo + _LINES, last) + 1, len(features))
+                found = with_neighbours(features[at:end], np.zeros(end - at, np.int64)).astype(np.float64) @ self.weights
+                emission.append(found[lo - at : min(lo + _LINES, last) - at])
+
+        done = 0
+        for part in line_blocks(text, block_bytes):
+            lines = Lines([part], echoes)
+            length.append(lines.length)
+            features = np.concatenate([held, lines.features])
+            send(features, done, len(features) - 1)
+            held = features[-2:]
+            done = max(len(held) - 1, 0)
+        send(held, done, len(held))
+        weight = np.concatenate(length)
+        if not len(weight):
+            return float("nan")
+        gamma = long_marginals(np.concatenate(emission), self.transition, block_lines)
+        return float((weight * gamma[:, 1]).sum() / weight.sum())
+
+    def score(self, texts: list[bytes], long_bytes: int = 1 << 20) -> np.ndarray:
+        """Quality of each text; texts beyond ``long_bytes`` are scored in blocks of lines."""
+        mean = self.raw(Lines([t if len(t) <= long_bytes else b"" for t in texts]), len(texts))
+        for i, text in enumerate(texts):
+            if len(text) > long_bytes:
+                mean[i] = self.raw_long(text)
         curve = 1.0 / (1.0 + np.exp(-np.clip(self.slope * _logit(mean) + self.offset, -30, 30)))
         return np.where(np.isnan(mean), self.empty, curve)
 
@@ -187,45 +324,33 @@ def _ascend(gradient, start: np.ndarray, steps: int, rate: float) -> np.ndarray:
     return x
 
 
-def _sample(texts: list[bytes], most_lines: int, chunk_bytes: int = 1 << 20) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Inputs, document and length of the first lines of each text, made in chunks so that only they are held."""
-    inputs, docs, lengths, lo, size = [np.zeros((0, 3 * WIDTH + 3), np.float32)], [np.empty(0, np.int64)], [np.empty(0)], 0, 0
-    for i, text in enumerate(texts):
-        size += len(text) + 1
-        if size >= chunk_bytes or i + 1 == len(texts):
-            lines = Lines(texts[lo : i + 1])
-            few = np.arange(len(lines.doc)) - np.searchsorted(lines.doc, lines.doc) < most_lines
-            inputs.append(with_neighbours(lines.features, lines.doc)[few])
-            docs.append(lines.doc[few] + lo)
-            lengths.append(lines.length[few])
-            lo, size = i + 1, 0
-    return np.concatenate(inputs), np.concatenate(docs), np.concatenate(lengths)
-
-
-def train(texts: list[bytes], labels: np.ndarray, most_lines: int = 200, steps: int = 150, ridge: float = 2e-3) -> LineField:
-    """Fit the field and its curve on labelled texts."""
-    inputs, doc, length = _sample(texts, most_lines)
-    empty = np.bincount(doc, minlength=len(texts)) == 0
+def train(features: np.ndarray, doc: np.ndarray, length: np.ndarray, labels: np.ndarray, steps: int = 150, ridge: float = 2e-3) -> LineField:
+    """Fit the field and its curve on labelled documents: their lines' features, document and length."""
+    empty = np.bincount(doc, minlength=len(labels)) == 0
     blank = float(labels[empty].sum() / (empty.sum() + 1)) if empty.any() else 0.0
     if len(set(labels[~empty].tolist())) < 2:
-        return LineField(np.zeros((3 * WIDTH + 3, 2)), np.zeros((2, 2)), 0.0, 0.0, blank if len(texts) else 0.5)
+        return LineField(np.zeros((3 * WIDTH + 3, 2)), np.zeros((2, 2)), 0.0, 0.0, blank if len(labels) else 0.5)
+    inputs = with_neighbours(features, doc)
     truth = np.eye(2, dtype=np.float32)[labels[doc].astype(int)]
     inner = doc[1:] == doc[:-1]
     seen = truth[:-1][inner].T @ truth[1:][inner]
     n, split = len(doc), inputs.shape[1] * 2
+    runs = [slice(lo, lo + _LINES) for lo in range(0, n, _LINES)]
 
     def emissions(x: np.ndarray) -> np.ndarray:
-        return (inputs @ x[:split].reshape(-1, 2).astype(np.float32)).astype(np.float64)
+        weights = x[:split].reshape(-1, 2).astype(np.float32)
+        return np.concatenate([(inputs[r].astype(np.float32) @ weights).astype(np.float64) for r in runs])
 
     def gradient(x: np.ndarray) -> np.ndarray:
         gamma, pairs, _ = marginals(emissions(x), doc, x[split:].reshape(2, 2))
-        up = inputs.T @ (truth - gamma.astype(np.float32)) / n
-        return np.concatenate([up.ravel().astype(np.float64), ((seen - pairs) / n).ravel()]) - ridge * x
+        rest = truth - gamma.astype(np.float32)
+        up = sum((inputs[r].astype(np.float32).T @ rest[r]).astype(np.float64) for r in runs) / n
+        return np.concatenate([up.ravel(), ((seen - pairs) / n).ravel()]) - ridge * x
 
     found = _ascend(gradient, np.zeros(split + 4), steps, 0.05)
     transition = found[split:].reshape(2, 2)
     gamma, _, _ = marginals(emissions(found), doc, transition)
-    mean = np.bincount(doc, length * gamma[:, 1], len(texts))[~empty] / np.bincount(doc, length, len(texts))[~empty]
+    mean = np.bincount(doc, length * gamma[:, 1], len(labels))[~empty] / np.bincount(doc, length, len(labels))[~empty]
     x, y = _logit(mean), labels[~empty].astype(float)
 
     def slope(p: np.ndarray) -> np.ndarray:
@@ -236,19 +361,55 @@ def train(texts: list[bytes], labels: np.ndarray, most_lines: int = 200, steps:
     return LineField(found[:split].reshape(-1, 2), transition, a, b, blank)
 
 
-def fit(labelled: DataFrame, most_docs: int = 4000, seed: int = 3) -> LineField:
-    """Fit on (id, text, label) rows: a bounded sample by seeded hash, gathered by the driver.
+def described(text: bytes, block_bytes: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
+    """Features, packed to bits, and lengths of all lines of a text."""
+    hashes = np.concatenate([np.empty(0, np.uint64), *(Lines([b], hashes_only=True).hashes for b in line_blocks(text, block_bytes))])
+    echoes, rows, lengths = twice_in(hashes >> np.uint64(28)), [], [np.empty(0)]
+    for part in line_blocks(text, block_bytes):
+        lines = Lines([part], echoes)
+        rows.append(np.packbits(lines.features, axis=1))
+        lengths.append(lines.length)
+    return np.concatenate([np.zeros((0, -(-WIDTH // 8)), np.uint8), *rows]), np.concatenate(lengths)
+
+
+def _line_table(rows: DataFrame) -> DataFrame:
+    """(h, label, n, features, lengths) of (h, label, text): what the fit needs of whole texts, some 14 bytes a line."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, text in enumerate(utf8_bytes(batch.column("text"))):
+                features, lengths = described(text or b"")
+                values = [pa.array([len(lengths)], pa.int64()), pa.array([features.tobytes()], pa.binary()), pa.array([lengths.astype("<u4").tobytes()], pa.binary())]
+                yield pa.RecordBatch.from_arrays([batch.column("h").slice(i, 1), batch.column("label").slice(i, 1), *values], ["h", "label", "n", "features", "lengths"])
+
+    return rows.select("h", F.col("label").cast("int").alias("label"), "text").mapInArrow(scan, "h long, label int, n long, features binary, lengths binary")
+
+
+def fit(labelled: DataFrame, most_docs: int = 4000, most_lines: int = 200_000, seed: int = 3) -> LineField:
+    """Fit on (id, text, label) rows: a bounded sample of whole documents, gathered by the driver.
 
-    ``labelled`` is asked for its ids first, so that only the texts of the sample are moved.
+    The sample has the rows with the smallest seeded hashes, ``most_docs`` at most; of these, in that
+    order, those are taken that together have at most ``most_lines`` lines: a document with more than
+    are left is passed over. Rows equal in id, text and label count once.
     """
     usable = labelled.where(F.col("label").isin(0, 1) & F.col("id").isNotNull())
-    order = F.xxhash64(F.lit(seed), F.col("id"))
-    edge = usable.select(order.alias("h")).orderBy("h").limit(most_docs).agg(F.max("h")).first()[0]
+    usable = usable.withColumn("h", F.xxhash64(F.lit(seed), F.col("id"), F.col("text"), F.col("label")))
+    edge = usable.select("h").distinct().orderBy("h").limit(most_docs).agg(F.max("h")).first()[0]
     if edge is None:
-        return train([], np.empty(0))
-    rows = usable.where(order <= F.lit(edge)).select("id", F.encode(F.substring(F.coalesce("text", F.lit("")), 1, 200_000), "UTF-8").alias("text"), "label").toPandas()
-    rows = rows.sort_values(["id", "label"], kind="stable")
-    return train([bytes(t) for t in rows["text"]], rows["label"].to_numpy(np.int64))
+        return train(np.zeros((0, WIDTH), np.uint8), np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64))
+    table = written(_line_table(usable.where(F.col("h") <= F.lit(edge))), "lines")
+    left, chosen = most_lines, []
+    for r in table.groupBy("h").agg(F.first("n").alias("n")).orderBy("h").collect():
+        if r["n"] <= left:
+            chosen.append((r["h"],))
+            left -= r["n"]
+    picked = table.join(F.broadcast(labelled.sparkSession.createDataFrame(chosen, "h long")), "h").groupBy("h").agg(*[F.first(c).alias(c) for c in ("label", "features", "lengths")])
+    rows = picked.toPandas().sort_values("h", kind="stable")
+    lengths = [np.frombuffer(x, "<u4") for x in rows["lengths"]]
+    packed = np.frombuffer(b"".join(rows["features"]), np.uint8).reshape(-1, -(-WIDTH // 8))
+    features = np.unpackbits(packed, axis=1, count=WIDTH)
+    doc = np.repeat(np.arange(len(rows)), [len(x) for x in lengths])
+    return train(features, doc, np.concatenate([np.empty(0), *lengths]), rows["label"].to_numpy(np.int64))
 
 
 def score(docs: DataFrame, field: LineField, text_col: str = "text", batch_bytes: int = 4 << 20) -> DataFrame:

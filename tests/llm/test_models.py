@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import re
+import subprocess
+import sys
 from collections import Counter
 
 import numpy as np
@@ -212,15 +215,85 @@ def test_marginals_equal_enumeration():
     assert np.allclose(gamma, want) and np.allclose(pairs, both) and log_z == pytest.approx(total)
 
 
+def trained(texts, labels):
+    lines = linecrf.Lines(texts)
+    return linecrf.train(lines.features, lines.doc, lines.length, np.array(labels))
+
+
+def test_a_long_text_in_blocks_scores_as_it_does_whole():
+    field = trained([t.encode() for _, t, _ in labelled(40)], [y for *_, y in labelled(40)])
+    text = ("\n".join(t for _, t, _ in labelled(70, 500)) + "\n\n" + "w" * 3000 + "\nlast").encode()
+    want = field.raw(linecrf.Lines([text]), 1)[0]
+    for size in (40, 700, 5000, 1 << 20):
+        assert field.raw_long(text, size, 16) == pytest.approx(want, rel=1e-9)
+        packed, lengths = linecrf.described(text, size)
+        assert (np.unpackbits(packed, axis=1, count=linecrf.WIDTH) == linecrf.Lines([text]).features).all()
+        assert (lengths == linecrf.Lines([text]).length).all()
+    assert field.score([text, b"one"], 100).tolist() == pytest.approx(field.score([text, b"one"]).tolist())
+    assert np.isnan(field.raw_long(b"\n \n", 1))
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 16, 33, 500])
+def test_long_marginals_equal_the_recursion(n):
+    rng = np.random.default_rng(n)
+    emission, transition = rng.normal(size=(n, 2)) * 3, rng.normal(size=(2, 2))
+    want = linecrf.marginals(emission, np.zeros(n, np.int64), transition)[0]
+    assert np.allclose(linecrf.long_marginals(emission, transition, 16), want, atol=1e-12)
+
+
+def test_word_codes_do_not_depend_on_the_run(monkeypatch):
+    text = (prose(50, 1) + " " + "x" * 200 + " " + prose(50, 1) + " " + "x" * 200).encode()
+    buffer = np.frombuffer(text, np.uint8)
+    blank = buffer == 32
+    begin = np.flatnonzero(~blank & np.concatenate([[True], blank[:-1]]))
+    end = np.flatnonzero(~blank & np.concatenate([blank[1:], [True]])) + 1
+    whole = linecrf._word_codes(buffer, begin, end)
+    assert len(set(whole.tolist())) == len(set(text.split()))
+    monkeypatch.setattr(linecrf, "_RUN", 32)
+    assert (linecrf._word_codes(buffer, begin, end) == whole).all()
+
+
+def test_twenty_megabytes_of_short_lines_are_scored_in_bounded_memory():
+    """In a process of its own, whose peak is read at the end."""
+    code = (
+        "import resource, numpy as np; from docketry.llm import linecrf as c;"
+        "f = c.LineField(np.zeros((3 * c.WIDTH + 3, 2)), np.zeros((2, 2)), 1.0, 0.0, 0.0);"
+        "t = b'a b\\n' * 2_500_000 + b'cd ef\\n' * 1_700_000;"
+        "print(f.score([t])[0], resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)"
+    )
+    ran = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300, cwd=os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+    score, peak = ran.stdout.split()
+    assert float(score) == pytest.approx(0.5) and int(peak) < 1000, ran.stderr
+
+
+def test_the_sample_has_whole_documents(spark):
+    rows = [(i, t, y) for i, t, y in labelled(30)] * 3 + [(1000, "\n".join(["good words here"] * 5000), 1)]
+    table = spark.createDataFrame(rows, "id long, text string, label int").repartition(4)
+    field = linecrf.fit(table, most_lines=1000)
+    assert np.array_equal(field.weights, linecrf.fit(table.dropDuplicates().where("id < 1000"), most_lines=1000).weights)
+
+
+@pytest.mark.parametrize("scale", ["0.01"])
+def test_registered_models_on_held_out_documents(spark, scale):
+    from docketry.llm import queries
+
+    sf_dir = f"/root/testdata/sf{scale}"
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scored = queries.op7_quality(spark, sf_dir).join(labels, "doc_id").where("held_out").collect()
+    assert len(scored) > 50 and np.mean([r["predicted"] == r["quality"] for r in scored]) >= 0.97
+    spoken = queries.op8_language(spark, sf_dir).join(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang"), "doc_id").where("held_out and lang is not null").collect()
+    assert len(spoken) > 200 and np.mean([r["lang_pred"] == r["lang"] for r in spoken]) >= 0.98
+
+
 def test_lines_do_not_depend_on_the_batch():
     texts = [t.encode() for _, t, _ in labelled(12)] + [b"", b"\n\n", b"one"]
-    field = linecrf.train(texts, np.array([y for *_, y in labelled(12)] + [0, 0, 1]))
+    field = trained(texts, [y for *_, y in labelled(12)] + [0, 0, 1])
     alone = np.concatenate([field.score([t]) for t in texts])
     assert np.allclose(alone, field.score(texts))
 
 
 def test_one_label_teaches_nothing():
-    field = linecrf.train([b"a b", b"c d"], np.array([1, 1]))
+    field = trained([b"a b", b"c d"], [1, 1])
     assert field.score([b"x y"]).tolist() == [0.5]
 
 
