@@ -44,17 +44,16 @@ def _prose_name(lines: Column) -> Column:
 
 def _labelled(pages: DataFrame, lines: str, step: int, exact: Column, demoted: int) -> list[DataFrame]:
     zero = F.lit(0)
-    prose = pages.where((F.col("doc_type") == "sponsor_letter")).withColumn("value", values.name_udf(_prose_name(F.col(lines)))).withColumn("field", F.lit("applicant_name"))
+    prose = pages.where((F.col("doc_type") == "sponsor_letter")).withColumn("value", values.person_name(_prose_name(F.col(lines)))).withColumn("field", F.lit("applicant_name"))
     exploded = pages.select("*", F.posexplode(lines).alias("line_no", "line"))
-    read = exploded.withColumn("read", values.read_line_udf("line")).withColumn("field", F.col("read.field")).withColumn("value", F.col("read.value"))
+    read = values.with_readings(exploded, "line")
     return [_shape(prose, step, 0, exact, zero, zero, demoted), _shape(read, step, 1, exact, F.col("line_no"), zero, demoted)]
 
 
 def corrections(pages: DataFrame, lines: Column, step: int, exact: Column) -> DataFrame:
     """Readings of manual corrections, above every document."""
     exploded = pages.select("*", F.posexplode(lines).alias("line_no", "line")).where(F.col("line").rlike(r"(?i)manual\s*correct"))
-    read = exploded.select("*", F.posexplode(values.read_corrections_udf("line")).alias("match_no", "read"))
-    read = read.withColumn("field", F.col("read.field")).withColumn("value", F.col("read.value"))
+    read = values.with_corrections(exploded, "line")
     return _shape(read, step, 2, exact, F.col("line_no"), F.col("match_no"), doc_type=F.lit(CORRECTION))
 
 
@@ -70,7 +69,7 @@ def sweep(pages: DataFrame, exact: Column) -> DataFrame:
     found |= {"sponsor_id": values.sponsor_id(blob), "arrival_date": values.iso_date(blob)}
     readings = F.array(*[F.struct(F.lit(f).alias("field"), v.alias("value")) for f, v in found.items()])
     native = pages.select("*", F.explode(readings).alias("read")).withColumn("field", F.col("read.field")).withColumn("value", F.col("read.value"))
-    prose = pages.withColumn("value", values.name_udf(_prose_name(F.col("lines")))).withColumn("field", F.lit("applicant_name"))
+    prose = pages.withColumn("value", values.person_name(_prose_name(F.col("lines")))).withColumn("field", F.lit("applicant_name"))
     return _shape(native, 3, 0, exact, F.lit(0), F.lit(0), 1).unionByName(_shape(prose, 3, 0, exact, F.lit(0), F.lit(0), 1))
 
 

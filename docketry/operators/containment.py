@@ -1,6 +1,6 @@
 """Whether long texts hold any of a set of passages, exactly or nearly.
 
-The passages are a reference set of checked size: they are put in one automaton that each task
+The passages are a reference set of checked size: they are put in one automaton that each worker
 builds once and runs over every text in linear time. No pair of a text and a passage is made
 unless the text holds a run of it.
 """
@@ -8,6 +8,7 @@ unless the text holds a run of it.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from uuid import uuid4
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,49 +28,73 @@ def _passages(passages: DataFrame, key: str, text: str) -> list[tuple[int, str]]
     return [(r[0], r[1]) for r in passages.select(F.col(key).cast("long"), text).where(F.char_length(text) > 0).toLocalIterator()]
 
 
-def _run_around(body: str, end: int, passage: str, at: int) -> bool:
-    """Whether the common run around a block, which starts at ``at`` and ends in the text at ``end``, is long enough."""
-    least = fuzzy.least_run(passage)
-    n = (least + 1) // 2
-    lo, hi = end + 1 - n, end + 1
-    shift = lo - at
-    while lo > max(shift, 0) and hi - lo < least and body[lo - 1] == passage[lo - 1 - shift]:
-        lo -= 1
-    while hi < min(len(body), shift + len(passage)) and hi - lo < least and body[hi] == passage[hi - shift]:
-        hi += 1
-    return hi - lo >= least
+class _Runs:
+    """The longest runs that a text shares with each passage, from hits of the passages' blocks."""
 
+    def __init__(self, body: str):
+        self.body, self.longest, self.seen = body, {}, {}
 
-def held_passages(docs: DataFrame, passages: DataFrame, doc_key: str, doc_text: str, key: str, text: str, near: float | None = None) -> DataFrame:
-    """(doc_key, key, score) of the passages that each text holds: whole, or by ``contains_score`` of at least ``near``.
+    def add(self, item: int, passage: str, end: int, at: int, n: int) -> None:
+        """A block of ``n`` characters that starts at ``at`` in the passage ends at ``end`` in the text."""
+        lo, hi, shift = end + 1 - n, end + 1, end + 1 - n - at
+        if self.seen.get((item, shift), -1) >= hi:  # within a run that is known
+            return
+        while lo > max(shift, 0) and self.body[lo - 1] == passage[lo - 1 - shift]:
+            lo -= 1
+        last = min(len(self.body), shift + len(passage))
+        while hi < last and self.body[hi] == passage[hi - shift]:
+            hi += 1
+        self.seen[item, shift] = hi
+        run = (lo, lo - shift, hi - lo)
+        known = self.longest.get(item)
+        if known is None or (-run[2], run[0], run[1]) < (-known[2], known[0], known[1]):
+            self.longest[item] = run
 
-    A near match must share a run of 35 % of the passage with the text. The automaton has the
-    passage's consecutive blocks of half that length: every such run holds one of them whole, so none
-    is missed, and a block that is hit counts if the run around it is long enough.
-    """
-    listed = docs.sparkSession.sparkContext.broadcast(_passages(passages, key, text))
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import ahocorasick
+#: The automaton of the last set of passages that this worker has searched for.
+_MADE: dict[str, tuple] = {}
+
 
-        machine, whole, runs = ahocorasick.Automaton(), dict(listed.value), {}
-        for item, passage in listed.value:
+def _machine(name: str, passages: list[tuple[int, str]], near: float | None) -> tuple:
+    """(automaton, passages by key, whether there is any), made once a worker for a named set."""
+    import ahocorasick
+
+    if name not in _MADE:
+        machine, whole, runs = ahocorasick.Automaton(), dict(passages), {}
+        for item, passage in passages:
             n = len(passage) if near is None else (fuzzy.least_run(passage) + 1) // 2
             for i in range(0, len(passage) - n + 1, n):
-                runs.setdefault(passage[i : i + n], set()).add((item, i))
+                runs.setdefault(passage[i : i + n], set()).add((item, i, n))
         for run, items in runs.items():
             machine.add_word(run, tuple(items))
         if runs:
             machine.make_automaton()
+        _MADE.clear()
+        _MADE[name] = machine, whole, bool(runs)
+    return _MADE[name]
+
+
+def held_passages(docs: DataFrame, passages: DataFrame, doc_key: str, doc_text: str, key: str, text: str, near: float | None = None) -> DataFrame:
+    """(doc_key, key, score) of the passages that each text holds: whole, or by ``contains_score`` of at least ``near``.
+
+    A near match must share a run of 35 % of the passage with the text. The automaton has the
+    passage's consecutive blocks of half that length: every such run holds one of them whole, so none
+    is missed; the blocks that are hit tell the longest run, and only windows around that are scored.
+    """
+    listed, name = docs.sparkSession.sparkContext.broadcast(_passages(passages, key, text)), uuid4().hex
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machine, whole, runs = _machine(name, listed.value, near)
         for batch in batches:
             ids, items, scores = [], [], []
             for i, body in enumerate(batch.column("text").to_pylist()):
-                found: set[int] = set()
+                found = _Runs(body or "")
                 if body and runs:
                     for end, hits in machine.iter(body):
-                        found.update(item for item, at in hits if item not in found and (near is None or _run_around(body, end, whole[item], at)))
-                for item in sorted(found):
-                    score = 1.0 if near is None else fuzzy.contains_score(body, whole[item], near)
+                        for item, at, n in hits:
+                            found.add(item, whole[item], end, at, n)
+                for item, run in sorted(found.longest.items()):
+                    score = 1.0 if near is None else fuzzy.contains_score(body, whole[item], near, run)
                     if score > 0:
                         ids.append(i)
                         items.append(item)
