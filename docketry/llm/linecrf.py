@@ -19,6 +19,7 @@ once; equal hashes (ties) are taken for equal rows; an empty table gives an empt
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -50,11 +51,16 @@ _POWER = np.uint64(0x9E3779B97F4A7C15)
 _RUN, _LINES = 1 << 18, 1 << 14
 
 
+@lru_cache(maxsize=2)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The powers of the multiplier from the first on, and those of its inverse."""
+    return tuple(np.cumprod(np.full(n, np.uint64(x), np.uint64)) for x in (int(_POWER), pow(int(_POWER), -1, 1 << 64)))
+
+
 def _word_codes(buffer: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     """A hash of each word that is the same wherever it stands; a bounded run of bytes at a time."""
     code = np.zeros(len(begin), np.uint64)
-    powers = np.cumprod(np.full(_RUN, _POWER, np.uint64))
-    back = np.cumprod(np.full(_RUN, np.uint64(pow(int(_POWER), -1, 1 << 64)), np.uint64))
+    powers, back = _powers(_RUN)
     i = 0
     while i < len(begin):
         j = int(np.searchsorted(end, begin[i] + _RUN, "right"))
@@ -363,6 +369,9 @@ def train(features: np.ndarray, doc: np.ndarray, length: np.ndarray, labels: np.
 
 def described(text: bytes, block_bytes: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
     """Features, packed to bits, and lengths of all lines of a text."""
+    if len(text) <= block_bytes:
+        lines = Lines([text])
+        return np.packbits(lines.features, axis=1), lines.length
     hashes = np.concatenate([np.empty(0, np.uint64), *(Lines([b], hashes_only=True).hashes for b in line_blocks(text, block_bytes))])
     echoes, rows, lengths = twice_in(hashes >> np.uint64(28)), [], [np.empty(0)]
     for part in line_blocks(text, block_bytes):
