@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed, text, values
+from ..sources.shared import materialised
 from .typing import authority
 
 COLUMNS = ("case_id", "field", "value", "rank", "exact", "page", "doc_type", "seq")
@@ -32,8 +33,8 @@ def _shape(rows: DataFrame, step: int, kind: int, exact: Column, line: Column, m
     doc_type = F.col("doc_type") if doc_type is None else doc_type
     places = {"step": F.lit(step), "place": F.col("place"), "kind": F.lit(kind), "line": line, "match": match}
     seq = F.struct(*[x.cast("int").alias(name) for name, x in places.items()])
-    return rows.where("value is not null").select(
-        "case_id", "field", "value", _rank(F.col("field"), doc_type, F.col("authority") + demoted).alias("rank"),
+    return rows.where("field is not null and raw is not null").select(
+        "case_id", "field", F.col("raw").alias("value"), _rank(F.col("field"), doc_type, F.col("authority") + demoted).alias("rank"),
         exact.alias("exact"), F.col("number").alias("page"), doc_type.alias("doc_type"), seq.alias("seq"),
     )
 
@@ -44,21 +45,20 @@ def _prose_name(lines: Column) -> Column:
 
 def _labelled(pages: DataFrame, lines: str, step: int, exact: Column, demoted: int) -> list[DataFrame]:
     zero = F.lit(0)
-    prose = pages.where((F.col("doc_type") == "sponsor_letter")).withColumn("value", values.person_name(_prose_name(F.col(lines)))).withColumn("field", F.lit("applicant_name"))
+    prose = pages.where((F.col("doc_type") == "sponsor_letter")).withColumn("raw", _prose_name(F.col(lines))).withColumn("field", F.lit("applicant_name"))
     exploded = pages.select("*", F.posexplode(lines).alias("line_no", "line"))
-    read = values.with_readings(exploded, "line")
+    read = values.with_pairs(exploded, "line")
     return [_shape(prose, step, 0, exact, zero, zero, demoted), _shape(read, step, 1, exact, F.col("line_no"), zero, demoted)]
 
 
-def corrections(pages: DataFrame, lines: Column, step: int, exact: Column) -> DataFrame:
-    """Readings of manual corrections, above every document."""
+def _corrections(pages: DataFrame, lines: Column, step: int, exact: Column) -> DataFrame:
     exploded = pages.select("*", F.posexplode(lines).alias("line_no", "line")).where(F.col("line").rlike(r"(?i)manual\s*correct"))
     read = values.with_corrections(exploded, "line")
     return _shape(read, step, 2, exact, F.col("line_no"), F.col("match_no"), doc_type=F.lit(CORRECTION))
 
 
 def sweep(pages: DataFrame, exact: Column) -> DataFrame:
-    """Values found without a label: entries of closed vocabularies, numbers, dates, names in prose."""
+    """Values found without a label: entries of closed vocabularies, numbers, dates."""
     blob = F.array_join("lines", " ")
     key = text.squash_lower(blob)
     found = {
@@ -68,9 +68,18 @@ def sweep(pages: DataFrame, exact: Column) -> DataFrame:
     }
     found |= {"sponsor_id": values.sponsor_id(blob), "arrival_date": values.iso_date(blob)}
     readings = F.array(*[F.struct(F.lit(f).alias("field"), v.alias("value")) for f, v in found.items()])
-    native = pages.select("*", F.explode(readings).alias("read")).withColumn("field", F.col("read.field")).withColumn("value", F.col("read.value"))
-    prose = pages.withColumn("value", values.person_name(_prose_name(F.col("lines")))).withColumn("field", F.lit("applicant_name"))
-    return _shape(native, 3, 0, exact, F.lit(0), F.lit(0), 1).unionByName(_shape(prose, 3, 0, exact, F.lit(0), F.lit(0), 1))
+    native = pages.select("*", F.explode(readings).alias("read")).withColumn("field", F.col("read.field")).withColumn("raw", F.col("read.value"))
+    return _shape(native, 3, 0, exact, F.lit(0), F.lit(0), 1)
+
+
+def _canonical(rows: DataFrame) -> DataFrame:
+    """Readings whose raw value can be one of their field, in its canonical form."""
+    return rows.withColumn("value", values.normalized(F.col("field"), F.col("value"))).where("value is not null")
+
+
+def corrections(pages: DataFrame, lines: Column, step: int, exact: Column) -> DataFrame:
+    """Readings of manual corrections, above every document."""
+    return _canonical(_corrections(pages, lines, step, exact))
 
 
 def candidates(pages: DataFrame) -> DataFrame:
@@ -79,10 +88,12 @@ def candidates(pages: DataFrame) -> DataFrame:
     exact, never = F.col("source") == "text", F.lit(False)
     second = placed.where(F.size(F.coalesce("second_lines", F.array().cast("array<string>"))) > 0)
     everything = text.all_lines(F.col("lines"), F.col("ocr_lines"), F.col("second_lines"))
-    parts = [*_labelled(placed, "lines", 1, exact, 0), corrections(placed, everything, 1, exact)]
-    parts += [*_labelled(second, "second_lines", 2, never, 1), corrections(second, F.col("second_lines"), 2, never)]
-    parts.append(sweep(placed, exact))
+    parts = [*_labelled(placed, "lines", 1, exact, 0), _corrections(placed, everything, 1, exact)]
+    parts += [*_labelled(second, "second_lines", 2, never, 1), _corrections(second, F.col("second_lines"), 2, never)]
+    prose = placed.withColumn("raw", _prose_name(F.col("lines"))).withColumn("field", F.lit("applicant_name"))
+    parts.append(_shape(prose, 3, 0, exact, F.lit(0), F.lit(0), 1))
     whole = parts[0]
     for part in parts[1:]:
         whole = whole.unionByName(part)
-    return whole
+    # Written, so that the expressions of a value stand over a plain table; what a sweep finds is canonical.
+    return _canonical(materialised(whole, "readings")).unionByName(sweep(placed, exact))
