@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed, values
+from ..sources.shared import materialised
 
 
 def evidence_keys(reason: Column, fee: Column, visa: Column, flags: Column, reviews: Column, approvals: Column) -> Column:
@@ -18,6 +20,30 @@ def evidence_keys(reason: Column, fee: Column, visa: Column, flags: Column, revi
     return F.array(F.concat(way, of_fee, of_visa, of_risk), F.concat(way, of_fee, counts), F.concat(way, of_visa, of_risk), F.concat(way, counts), F.concat(way, of_risk), way)
 
 
+#: Buckets that are looked up in a broadcast map; more are joined.
+MOST_BUCKETS = 1000
+TABLE = "schema int, min_observations int, min_margin double, buckets map<string,map<string,bigint>>"
+
+
+def save_table(table: DataFrame, path: str, least: int = fixed.LEAST_OBSERVATIONS, margin: float = fixed.LEAST_MARGIN) -> None:
+    """Write a fitted table as one JSON record: its version, its settings, and the counts of each truth by bucket."""
+    truths = table.groupBy("bucket").agg(F.map_from_entries(F.collect_list(F.struct("truth", "n"))).alias("by_truth"))
+    record = truths.agg(F.map_from_entries(F.collect_list(F.struct("bucket", "by_truth"))).alias("buckets"))
+    record = record.select(F.lit(1).alias("schema"), F.lit(least).alias("min_observations"), F.lit(float(margin)).alias("min_margin"), "buckets")
+    record.coalesce(1).write.mode("overwrite").json(path)
+
+
+def load_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """(bucket, truth, n) of a saved table; None where there is none, it can't be read, or its version is another."""
+    try:
+        record = spark.read.schema(TABLE).option("multiLine", True).json(path).where("schema = 1 and buckets is not null")
+        if record.isEmpty():
+            return None
+    except AnalysisException:
+        return None
+    return record.select(F.explode("buckets").alias("bucket", "by_truth")).select("bucket", F.explode("by_truth").alias("truth", "n"))
+
+
 def fit(cases: DataFrame, keys: str = "keys", truth: str = "truth", reason: str = "reason") -> DataFrame:
     """(bucket, truth, n) of cases that no note settled; each case feeds all its buckets."""
     open_ = cases.where(values.route(F.col(reason)) != "adjudicator_note")
@@ -29,13 +55,21 @@ def confidence(cases: DataFrame, table: DataFrame, least: int = fixed.LEAST_OBSE
 
     The decision never changes. A case that a note settled takes its route's confidence.
     """
+    settled = values.route(F.col("reason")) == "adjudicator_note"
+    routes = F.create_map(*[F.lit(x) for pair in fixed.ROUTE_CONFIDENCE.items() for x in pair])
+    fallback = F.coalesce(F.try_element_at(routes, values.route(F.col("reason"))), F.lit(fixed.DEFAULT_CONFIDENCE))
     counts = table.groupBy("bucket").agg(F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("truth", "n"))).alias("by_truth"))
-    counts = counts.where(F.col("total") >= least)
-    keyed = cases.where(values.route(F.col("reason")) != "adjudicator_note").select(F.col(case).alias("__case"), "decision", F.posexplode("keys").alias("pos", "bucket"))
+    counts = materialised(counts.where(F.col("total") >= least), "buckets")
+    if counts.count() <= MOST_BUCKETS:
+        entries = F.struct("bucket", F.struct("total", "by_truth").alias("counts"))
+        known = counts.agg(F.map_from_entries(F.collect_list(entries)).alias("__known"))
+        found = F.filter(F.transform("keys", lambda k: F.try_element_at("__known", k)), lambda c: c.isNotNull())
+        looked = cases.crossJoin(F.broadcast(known)).withColumn("__counts", F.when(~settled, F.try_element_at(found, F.lit(1))))  # one row of bounded size
+        share = F.coalesce(F.try_element_at("__counts.by_truth", F.col("decision")), F.lit(0)) / F.col("__counts.total")
+        return looked.withColumn("confidence", F.coalesce(share, fallback)).drop("__known", "__counts")
+    keyed = cases.where(~settled).select(F.col(case).alias("__case"), "decision", F.posexplode("keys").alias("pos", "bucket"))
     hit = keyed.join(counts, "bucket").withColumn("share", F.coalesce(F.try_element_at("by_truth", F.col("decision")), F.lit(0)) / F.col("total"))
     first = hit.groupBy("__case").agg(F.min_by("share", "pos").alias("__share"))
-    routes = F.create_map(*[F.lit(x) for pair in fixed.ROUTE_CONFIDENCE.items() for x in pair])
-    fallback = F.coalesce(F.try_element_at(routes, values.route(F.col("reason"))), F.lit(fixed.DEFAULT_CONFIDENCE))
     return cases.join(first, F.col(case) == F.col("__case"), "left").withColumn("confidence", F.coalesce("__share", fallback)).drop("__case", "__share")
 
 

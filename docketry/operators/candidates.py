@@ -18,9 +18,9 @@ COLUMNS = ("case_id", "field", "value", "rank", "exact", "page", "doc_type", "se
 CORRECTION = "manual_correction"
 
 
-def by_authority(pages: DataFrame) -> DataFrame:
-    """Pages with ``authority`` and ``place``, their order of trust in the case."""
-    ranked = pages.withColumn("authority", authority(F.col("doc_type")))
+def by_authority(pages: DataFrame, rank: Column | None = None) -> DataFrame:
+    """Pages with ``authority`` (by default that of their type) and ``place``, their order of trust in the case."""
+    ranked = pages.withColumn("authority", authority(F.col("doc_type")) if rank is None else rank)
     return ranked.withColumn("place", F.row_number().over(Window.partitionBy("case_id").orderBy("authority", "number")))
 
 

@@ -6,7 +6,24 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed, values
-from .calibrate import outcome, outcome_points
+from .calibrate import outcome, outcome_points, smoothed_rate
+
+
+def population_rates(cases: DataFrame, keys: list[str], flag: Column) -> DataFrame:
+    """(keys, n, flagged, rate, smoothed): how often a flag holds in each population."""
+    counts = cases.groupBy(*keys).agg(F.count("*").alias("n"), F.count_if(flag).alias("flagged"))
+    return counts.withColumns({"rate": F.col("flagged") / F.col("n"), "smoothed": smoothed_rate(F.col("flagged"), F.col("n"))})
+
+
+def top_values(rows: DataFrame, column: str, k: int) -> DataFrame:
+    """(column, n): the ``k`` most frequent values, ties to the smaller one."""
+    return rows.groupBy(column).agg(F.count("*").alias("n")).orderBy(F.desc("n"), column).limit(k)
+
+
+def modal_value(rows: DataFrame, group: str, column: str) -> DataFrame:
+    """(group, modal, n): the most frequent value of each group, ties to the smaller one."""
+    counts = rows.groupBy(group, column).agg(F.count("*").alias("n"))
+    return counts.groupBy(group).agg(F.min_by(column, F.struct(-F.col("n"), column)).alias("modal"), F.max("n").alias("n"))
 
 
 def brier(confidence: Column, correct: Column) -> Column:

@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed, fuzzy, text, values
-from ..operators import calibrate, output, resolve, rules, score, typing
+from ..operators import calibrate, candidates, output, resolve, rules, score, typing
 from ..operators.containment import held_passages
+from ..sources import evidence
 from ..sources.tables import table
 from ..streaming import monitor
 from . import bindings
@@ -104,8 +105,8 @@ def doc_type_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def anchor_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weighted label vote with a margin over the runner-up."""
-    body = text.squash_upper(F.coalesce("text", F.lit("")))
-    docs = table(spark, sf_dir, "documents").select("doc_id", typing.anchor_weights(body, DOC_ANCHORS).alias("w"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", text.squash_upper(F.coalesce("text", F.lit(""))).alias("body"))
+    docs = docs.select("doc_id", typing.anchor_weights(F.col("body"), DOC_ANCHORS).alias("w"))
     ranked = docs.withColumn("w", F.array_sort(F.transform("w", lambda x: F.struct((-x["weight"]).alias("less"), x["kind"].alias("kind")))))
     top, second = -F.col("w")[0]["less"], -F.col("w")[1]["less"]
     clear = (top >= fixed.ANCHOR_LEAST) & (top - second >= fixed.ANCHOR_MARGIN)
@@ -121,8 +122,7 @@ def boilerplate_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def packet_by_authority(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Turns of each conversation in order of trust."""
     pages = bindings.conversation_pages(spark, sf_dir)
-    place = F.row_number().over(Window.partitionBy("case_id").orderBy("authority", "number"))
-    return pages.select(F.col("case_id").alias("conv_id"), F.col("number").alias("turn"), place.alias("place"))
+    return candidates.by_authority(pages, F.col("authority")).select(F.col("case_id").alias("conv_id"), F.col("number").alias("turn"), "place")
 
 
 def note_first(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -257,9 +257,8 @@ def ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
 def population_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rates of a flag inside and outside a population."""
     cases = bindings.labelled_documents(spark, sf_dir)
-    return cases.groupBy("lang", "mail").agg(
-        F.count("*").alias("n"), F.count_if(F.col("toxic") == 1).alias("flagged"), F.round(F.avg(F.col("toxic").cast("double")), 4).alias("rate"), F.round(calibrate.smoothed_rate(F.count_if(F.col("toxic") == 1), F.count("*")), 4).alias("smoothed")
-    )
+    rates = score.population_rates(cases, ["lang", "mail"], F.col("toxic") == 1)
+    return rates.withColumns({c: F.round(c, 4) for c in ("rate", "smoothed")})
 
 
 def recoverable_share(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -296,7 +295,8 @@ def flag_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 def resume_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents still to label, and labelled ones, by language."""
     docs, labels = table(spark, sf_dir, "documents").select("doc_id", "lang"), table(spark, sf_dir, "labels").select("doc_id")
-    rest = docs.join(labels, "doc_id", "left_anti").groupBy("lang").agg(F.count("*").alias("n")).withColumn("state", F.lit("open"))
+    cases, cache = (df.withColumnRenamed("doc_id", "case_id") for df in (docs, labels))
+    rest = evidence.not_yet_cached(cases, cache).groupBy("lang").agg(F.count("*").alias("n")).withColumn("state", F.lit("open"))
     done = docs.join(labels, "doc_id", "left_semi").groupBy("lang").agg(F.count("*").alias("n")).withColumn("state", F.lit("done"))
     return rest.unionByName(done)
 
@@ -331,11 +331,9 @@ def type_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sliding_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events a minute over the last sixty of a kind."""
     running = F.row_number().over(Window.partitionBy("event_type").orderBy("ts", "event_id"))
-    polls = table(spark, sf_dir, "events").select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"), running.alias("count"), F.struct("ts", "event_id").alias("at"))
-    window = Window.partitionBy("event_type").orderBy("ts", "event_id").rowsBetween(-59, 0)
-    seconds = (F.unix_micros("ts") - F.unix_micros(F.first("ts").over(window))) / 1e6
-    grown = F.col("count") - F.first("count").over(window)
-    return polls.select("event_id", F.round(F.when(seconds > 0, grown / seconds * 60), 4).alias("per_minute"))
+    polls = table(spark, sf_dir, "events").select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"), running.alias("count"))
+    rated = monitor.trailing_rate(polls, "ts", "count", ["event_type"], ties=["event_id"])
+    return rated.select("event_id", F.round("per_minute", 4).alias("per_minute"))
 
 
 def stream_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -354,14 +352,12 @@ def stream_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def top_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The twenty most frequent users, ties to the smaller id: a top-k report."""
-    counts = table(spark, sf_dir, "events").groupBy("user_id").agg(F.count("*").alias("n"))
-    return counts.orderBy(F.desc("n"), "user_id").limit(20)
+    return score.top_values(table(spark, sf_dir, "events"), "user_id", 20)
 
 
 def modal_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The most frequent priority of each status."""
-    counts = table(spark, sf_dir, "orders").groupBy("o_orderstatus", "o_orderpriority").agg(F.count("*").alias("n"))
-    return counts.groupBy("o_orderstatus").agg(F.min_by("o_orderpriority", F.struct(-F.col("n"), "o_orderpriority")).alias("modal"), F.max("n").alias("n"))
+    return score.modal_value(table(spark, sf_dir, "orders"), "o_orderstatus", "o_orderpriority")
 
 
 def first_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -382,10 +378,8 @@ def hidden_characters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def hidden_key_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Delimited rows inside a text, parsed into a map and looked up by column."""
-    names = F.array(*[F.lit(n) for n in ("type", "size", "brand")])
     row = F.concat_ws(",", "p_type", F.col("p_size").cast("string"), "p_brand")
-    found = F.nullif(F.regexp_extract(F.concat(F.lit("key: "), row, F.lit(" end")), r"([A-Z]+,\d+,\S+)", 1), F.lit(""))
-    parsed = F.map_from_arrays(names, F.split(found, ","))
+    parsed = values.key_row(F.concat(F.lit("key: "), row, F.lit(" end")), r"([A-Z]+,\d+,\S+)", ("type", "size", "brand"))
     return table(spark, sf_dir, "part").select("p_partkey", F.try_element_at(parsed, F.lit("type")).alias("type"), F.try_element_at(parsed, F.lit("size")).cast("long").alias("size"), F.try_element_at(parsed, F.lit("absent")).alias("absent"))
 
 

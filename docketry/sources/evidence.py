@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from uuid import uuid4
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -57,12 +58,15 @@ def not_yet_cached(cases: DataFrame, cache: DataFrame) -> DataFrame:
 
 
 def read_labels(spark: SparkSession, path: str) -> DataFrame:
-    """A label file with a header, all columns text; of repeated cases one row stays."""
-    return spark.read.option("header", True).csv(path).dropDuplicates(["case_id"])
+    """A label file with a header, all columns text; of repeated cases the last row stays."""
+    rows = spark.read.option("header", True).csv(path)
+    place = F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("r"))
+    last = rows.withColumn("__dk_place", place).groupBy("case_id").agg(F.max_by(F.struct(*rows.columns), "__dk_place").alias("__dk_row"))
+    return last.select("__dk_row.*")
 
 
 def discover(spark: SparkSession, folder: str, glob: str = "*.pdf", recursive: bool = True) -> DataFrame:
-    """(case_id, path, content) of scanned files; the case is the file's stem. Raises on repeated stems when collected."""
+    """(case_id, path, content) of scanned files; the case is the file's stem. ``repeated_cases`` reports stems that occur twice."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", str(recursive).lower()).load(folder)
     stem = F.regexp_replace(F.regexp_extract("path", r"([^/]+)$", 1), r"\.[^.]+$", "")
     return files.select(stem.alias("case_id"), "path", "content")
@@ -74,6 +78,8 @@ def repeated_cases(files: DataFrame) -> DataFrame:
 
 
 Engine = Callable[[str, bytes], list[dict]]
+#: The engines that this worker has made, by scan.
+_ENGINES: dict[str, Engine] = {}
 
 
 def scan(files: DataFrame, make_engine: Callable[[], Engine]) -> DataFrame:
@@ -83,15 +89,15 @@ def scan(files: DataFrame, make_engine: Callable[[], Engine]) -> DataFrame:
     such a file gives one row without a page. Where no engine can be made, every row says so.
     """
     schema = T.StructType([*PAGES.fields, T.StructField("engine_available", T.BooleanType()), T.StructField("error", T.StringType())])
-    names = [f.name for f in PAGES.fields]
+    names, token = [f.name for f in PAGES.fields], uuid4().hex
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        engine, missing = None, None
+        engine, missing = _ENGINES.get(token), None
         for batch in batches:
             rows = []
             if engine is None and missing is None:
                 try:
-                    engine = make_engine()
+                    engine = _ENGINES[token] = make_engine()
                 except Exception as e:  # an engine that isn't installed is a fact about the run
                     missing = f"{type(e).__name__}: {e}"
             for case, content in zip(batch["case_id"], batch["content"], strict=True):
@@ -117,6 +123,12 @@ def write_predictions(predictions: DataFrame, path: str) -> DataFrame:
     return checked.where(F.size("problems") > 0)
 
 
+def subset(cases: DataFrame, labels: DataFrame, n: int) -> tuple[DataFrame, DataFrame]:
+    """The first ``n`` cases in order of their id, and the labels of those cases alone."""
+    few = first_cases(cases, n)
+    return few, labels.join(few.select("case_id"), "case_id", "left_semi")
+
+
 def first_cases(cases: DataFrame, n: int) -> DataFrame:
     """The first ``n`` cases in order of their id, as a subset to work on."""
     return cases.orderBy("case_id").limit(n)

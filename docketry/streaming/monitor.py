@@ -55,9 +55,9 @@ def drifts(profile_row: DataFrame, reference: dict[str, float] = fixed.PROFILE_R
     return profile_row.select(F.explode(F.array(*rows)).alias("r")).select("r.name", "r.value", "r.d.gap", "r.d.alert")
 
 
-def trailing_rate(polls: DataFrame, at: str, count: str, key: list[str] | None = None, polls_back: int = 60) -> DataFrame:
-    """``polls`` with ``per_minute``: growth of a running count over the last polls, null on the first."""
-    window = Window.partitionBy(*(key or [F.lit(0)])).orderBy(at).rowsBetween(-(polls_back - 1), 0)
+def trailing_rate(polls: DataFrame, at: str, count: str, key: list[str] | None = None, polls_back: int = 60, ties: list[str] | None = None) -> DataFrame:
+    """``polls`` with ``per_minute``: growth of a running count over the last polls, null on the first; ``ties`` orders polls of one time."""
+    window = Window.partitionBy(*(key or [F.lit(0)])).orderBy(at, *(ties or [])).rowsBetween(-(polls_back - 1), 0)
     seconds = (F.unix_micros(F.col(at).cast("timestamp")) - F.unix_micros(F.first(at).over(window).cast("timestamp"))) / 1e6
     grown = F.col(count) - F.first(count).over(window)
     return polls.withColumn("per_minute", F.when(seconds > 0, grown / seconds * 60))

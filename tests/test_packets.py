@@ -334,3 +334,28 @@ def test_predictions_are_written_in_order(spark, tmp_path):
     lines = [json.loads(r[0]) for r in spark.read.text(str(tmp_path / "out")).collect()]
     assert sorted(x["case_id"] for x in lines) == ["A", "B"]
     assert lines[0]["confidence"] == 0.1235
+
+
+def test_calibration_tables_are_saved_and_loaded(spark, tmp_path, monkeypatch):
+    table = spark.createDataFrame([("a", "APPROVED", 30), ("a", "DENIED", 10), ("b", "DENIED", 19), ("c", "DENIED", 20)], "bucket string, truth string, n long")
+    calibrate.save_table(table, str(tmp_path / "table"))
+    back = calibrate.load_table(spark, str(tmp_path / "table"))
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, table.collect()))
+    assert calibrate.load_table(spark, str(tmp_path / "none")) is None
+    for name, body in (("old", '{"schema": 2, "buckets": {}}'), ("broken", "{")):
+        (tmp_path / name).write_text(body)
+        assert calibrate.load_table(spark, str(tmp_path / name)) is None
+    cases = [("1", "clean", ["b", "a"], "APPROVED"), ("2", "clean", ["c", "a"], "APPROVED"), ("3", "clean", ["x"], "DENIED"), ("4", "adjudicator_note", ["a"], "APPROVED"), ("5", "other", [], "DENIED")]
+    df = spark.createDataFrame(cases, "case_id string, reason string, keys array<string>, decision string")
+    want = {"1": 0.75, "2": 0.0, "3": 0.84, "4": 0.99, "5": 0.5}
+    for most in (1000, 0):
+        monkeypatch.setattr(calibrate, "MOST_BUCKETS", most)
+        assert {r["case_id"]: r["confidence"] for r in calibrate.confidence(df, back).collect()} == want
+
+
+def test_labels_and_subsets(spark, tmp_path):
+    (tmp_path / "labels.csv").write_text("case_id,adjudication\n" + "".join(f"C{i % 40},{i}\n" for i in range(200)))
+    labels = evidence.read_labels(spark, str(tmp_path / "labels.csv"))
+    assert {r["case_id"]: r["adjudication"] for r in labels.collect()} == {f"C{i}": str(160 + i) for i in range(40)}
+    few, theirs = evidence.subset(spark.createDataFrame([("C3",), ("C1",), ("C2",), ("D",)], "case_id string"), labels, 2)
+    assert sorted(r["case_id"] for r in theirs.collect()) == sorted(r["case_id"] for r in few.collect()) == ["C1", "C2"]
