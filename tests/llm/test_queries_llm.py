@@ -7,11 +7,13 @@ from collections import Counter
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
 from docketry.llm import perplexity, registry
 
+from .conftest import prose
 from .test_line_dedup import brute as brute_lines
 from .test_minhash import survivors
 from .test_models import brute_metrics
@@ -90,6 +92,23 @@ def test_stages_take_odd_rows(spark, make_docs, odd_rows, sf_dir):
         assert stage(spark, plain.limit(0), sf_dir).count() == 0
 
 
+CLASHES = ("low", "high", "__dk_lang", "band_lang", "draw", "target", "source_size", "n_dropped", "log_perplexity", "base_failed", "n_words", "digest", "lines", "bands", "hashes", "weight", "raw.name")
+
+
+def test_stages_give_back_columns_of_clashing_names(spark, make_docs, odd_rows, sf_dir):
+    clean = [(5000 + i, prose(60, i), "en", "ab"[i % 2]) for i in range(30)]
+    docs = make_docs(odd_rows + clean)
+    docs = docs.select("*", *[F.lit(f"kept {c}").alias(c) for c in CLASHES])
+    extra = [c for c in docs.columns if c not in ("doc_id", "text", "lang", "source", "n_chars")]
+    want = {"x", *(f"kept {c}" for c in CLASHES)}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, sf_dir)
+        assert out.columns == docs.columns and out.schema.simpleString() == docs.schema.simpleString()
+        rows = out.select(*[f"`{c}`" for c in extra]).distinct().collect()
+        assert len(rows) == 1 and set(rows[0]) == want, name
+    assert stage(spark, docs.limit(0), sf_dir).count() == 0
+
+
 def test_the_rest_does_not_import_this_subpackage():
     root = os.path.dirname(os.path.abspath(entry.__file__))
     for folder, _, files in os.walk(os.path.join(root, "docketry")):
