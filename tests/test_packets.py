@@ -336,7 +336,7 @@ def test_predictions_are_written_in_order(spark, tmp_path):
     assert lines[0]["confidence"] == 0.1235
 
 
-def test_calibration_tables_are_saved_and_loaded(spark, tmp_path, monkeypatch):
+def test_calibration_tables_are_saved_and_loaded(spark, tmp_path):
     table = spark.createDataFrame([("a", "APPROVED", 30), ("a", "DENIED", 10), ("b", "DENIED", 19), ("c", "DENIED", 20)], "bucket string, truth string, n long")
     calibrate.save_table(table, str(tmp_path / "table"))
     back = calibrate.load_table(spark, str(tmp_path / "table"))
@@ -348,9 +348,7 @@ def test_calibration_tables_are_saved_and_loaded(spark, tmp_path, monkeypatch):
     cases = [("1", "clean", ["b", "a"], "APPROVED"), ("2", "clean", ["c", "a"], "APPROVED"), ("3", "clean", ["x"], "DENIED"), ("4", "adjudicator_note", ["a"], "APPROVED"), ("5", "other", [], "DENIED")]
     df = spark.createDataFrame(cases, "case_id string, reason string, keys array<string>, decision string")
     want = {"1": 0.75, "2": 0.0, "3": 0.84, "4": 0.99, "5": 0.5}
-    for most in (1000, 0):
-        monkeypatch.setattr(calibrate, "MOST_BUCKETS", most)
-        assert {r["case_id"]: r["confidence"] for r in calibrate.confidence(df, back).collect()} == want
+    assert {r["case_id"]: r["confidence"] for r in calibrate.confidence(df, back).collect()} == want
 
 
 def test_labels_and_subsets(spark, tmp_path):
