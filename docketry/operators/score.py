@@ -95,6 +95,14 @@ def recovered_and_invented(cases: DataFrame) -> DataFrame:
     return added.groupBy("flag").agg(F.count_if(F.array_contains("truth", F.col("flag"))).alias("recovered"), F.count_if(~F.array_contains("truth", F.col("flag"))).alias("invented"))
 
 
+def cued(field: Column, blob: Column, cues: dict[str, str] = fixed.EVIDENCE_CUES) -> Column:
+    """Whether a packet's text holds what a field could have been read from; false for null and for other fields."""
+    shown = F.lit(False)
+    for name, pattern in cues.items():
+        shown = F.when(field == name, F.coalesce(blob.rlike(pattern), F.lit(False))).otherwise(shown)
+    return shown
+
+
 def recoverable_share(pairs: DataFrame) -> DataFrame:
     """(field, right, cued, share): of fields whose cue is on the page, how many are right; others leave both sides."""
     cued = pairs.where("cued")

@@ -65,6 +65,22 @@ def classify(pages: DataFrame, out: str = "doc_type") -> DataFrame:
     return found.drop("__kept", "__head", "__body", "__type", "__near", "__vote")
 
 
+def blind_retyping(pages: DataFrame, truth: str = "doc_type") -> DataFrame:
+    """Text pages of a known type, typed anew without their first line: ``truth`` and ``blind``.
+
+    Pages of one line, of no type and of captions alone are left out, as are scanned ones.
+    """
+    known = pages.where((F.col("source") == "text") & (F.size("lines") >= 2) & ~F.coalesce(F.col(truth), F.lit("unknown")).isin("unknown", "passport_image"))
+    return classify(known.withColumn("truth", F.col(truth)).withColumn("lines", F.slice("lines", 2, F.size("lines") - 1)), "blind")
+
+
+def blind_report(retyped: DataFrame) -> DataFrame:
+    """(truth, pages, typed, correct, coverage, precision) of each type; ``precision`` is null where nothing was typed."""
+    typed = F.count_if(F.col("blind") != "unknown")
+    counts = retyped.groupBy("truth").agg(F.count("*").alias("pages"), typed.alias("typed"), F.count_if(F.col("blind") == F.col("truth")).alias("correct"))
+    return counts.withColumns({"coverage": F.col("typed") / F.col("pages"), "precision": F.col("correct") / F.nullif(F.col("typed"), F.lit(0))})
+
+
 def strip_injected(pages: DataFrame) -> DataFrame:
     """Pages without lines that repeat an injected instruction or the page's hidden text."""
     lines = pages.select("case_id", "number", F.posexplode("lines").alias("pos", "line"), F.coalesce("hidden_text", F.lit("")).alias("hidden"))

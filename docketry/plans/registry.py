@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import inspect
 
-from . import oracles, queries
+from . import oracles, packet_oracles, packet_queries, queries
 
 QUERIES = {
-    name: fn for name, fn in vars(queries).items() if inspect.isfunction(fn) and fn.__module__ == queries.__name__ and not name.startswith("_")
+    name: fn
+    for module in (queries, packet_queries)
+    for name, fn in vars(module).items()
+    if inspect.isfunction(fn) and fn.__module__ == module.__name__ and not name.startswith("_")
 }
-ORACLES = dict(oracles.ORACLES)
+ORACLES = oracles.ORACLES | packet_oracles.ORACLES
