@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed, text, values
 from ..operators import candidates, fees, rules, score, typing
+from ..sources.shared import materialised
 from ..sources.tables import table
 from . import bindings, packets
 
@@ -17,7 +18,8 @@ FIELDS = ("applicant_name", "species_code", "home_world", "visa_class", "sponsor
 
 def packet_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole plan: pages stripped and typed, read, resolved, decided and finalized."""
-    decided = packets.decide(packets.typed_pages(bindings.made_pages(spark, sf_dir)))
+    pages = materialised(bindings.made_pages(spark, sf_dir), "made_pages")
+    decided = packets.decide(packets.typed_pages(pages))
     return decided.select("case_id", *fixed.SCORED, "adjudication", "reason")
 
 
