@@ -134,22 +134,22 @@ def longer_reading(first: Column, again: Column) -> Column:
 def reread_panel(pages: DataFrame, read: Callable[[str, int, bool], list[str]]) -> DataFrame:
     """Scanned slips with a canonical line of the flags that a finer reading of their panel states.
 
-    ``read`` maps a case, a page number and whether to use the second engine to lines; the second
-    engine is asked only where the first finds no flag.
+    ``read`` maps a case, a page number (None where the page has none) and whether to use the second
+    engine to lines; the second engine is asked only where the first finds no flag.
     """
     slips = (F.col("doc_type") == "biometric_slip") & (F.col("source") == "ocr")
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            lines = []
-            for case, number in zip(batch["case_id"], batch["number"], strict=True):
-                flags = fuzzy.panel_flags(read(case, int(number), False)) or fuzzy.panel_flags(read(case, int(number), True))
-                lines.append(f"Observed flags: {', '.join(sorted(flags))}" if flags else None)
-            yield pd.DataFrame({"case_id": batch["case_id"], "number": batch["number"], "__panel": lines})
-
-    found = pages.where(slips).select("case_id", "number").mapInPandas(run, "case_id string, number int, __panel string")
-    joined = pages.join(found, ["case_id", "number"], "left")
-    return joined.withColumn("lines", F.when(F.col("__panel").isNotNull(), F.array_append("lines", F.col("__panel"))).otherwise(F.col("lines"))).drop("__panel")
+    @F.pandas_udf("string")
+    def panel(wanted: pd.Series, cases: pd.Series, numbers: pd.Series) -> pd.Series:
+        def line(case: str, number: int | None) -> str | None:
+            flags = fuzzy.panel_flags(read(case, number, False)) or fuzzy.panel_flags(read(case, number, True))
+            return f"Observed flags: {', '.join(sorted(flags))}" if flags else None
+
+        places = (None if pd.isna(n) else int(n) for n in numbers)
+        return pd.Series([line(c, n) if w else None for w, c, n in zip(wanted, cases, places, strict=True)], dtype="object")
+
+    found = pages.withColumn("__panel", panel(F.coalesce(slips, F.lit(False)), "case_id", "number"))
+    return found.withColumn("lines", F.when(F.col("__panel").isNotNull(), F.array_append("lines", F.col("__panel"))).otherwise(F.col("lines"))).drop("__panel")
 
 
 def header_gain(cases: DataFrame, fields: tuple[str, ...] = fixed.SCORED) -> DataFrame:

@@ -82,16 +82,17 @@ def blind_report(retyped: DataFrame) -> DataFrame:
 
 
 def strip_injected(pages: DataFrame) -> DataFrame:
-    """Pages without lines that repeat an injected instruction or the page's hidden text."""
-    lines = pages.select("case_id", "number", F.posexplode("lines").alias("pos", "line"), F.coalesce("hidden_text", F.lit("")).alias("hidden"))
-    lines = lines.withColumn("key", text.squash_upper(F.col("line"))).withColumn("hidden", text.squash_upper(F.col("hidden")))
-    near = [fuzzy.contains_udf(s, fixed.INJECTION_AT)(F.col("key")) > 0 for s in fixed.INJECTIONS]
-    long_enough = (F.char_length("key") >= fixed.ECHO_LEAST) & (F.col("hidden") != "")
-    echo = fuzzy.contains_pair_udf(F.when(long_enough, F.col("hidden")), F.col("key"), F.lit(fixed.ECHO_AT)) > 0
-    kept = lines.where((F.col("key") == "") | ~(near[0] | near[1] | near[2] | near[3] | echo))
-    joined = kept.groupBy("case_id", "number").agg(F.array_sort(F.collect_list(F.struct("pos", "line"))).alias("__left"))
-    left = F.transform(F.coalesce("__left", F.array().cast("array<struct<pos:int,line:string>>")), lambda x: x["line"])
-    return pages.join(joined, ["case_id", "number"], "left").withColumn("lines", left).drop("__left")
+    """Pages without lines that repeat an injected instruction or the page's hidden text.
+
+    A page is judged by itself, whatever its number, and no page moves. Null lines count as empty ones
+    and stay; null ``lines`` are none.
+    """
+    lines = F.coalesce("lines", F.array().cast("array<string>"))
+    keys = F.transform(lines, lambda x: F.coalesce(text.squash_upper(x), F.lit("")))
+    injected = fuzzy.injected_udf(keys, F.coalesce(text.squash_upper(F.col("hidden_text")), F.lit("")))
+    marked = pages.withColumn("__injected", F.when(F.size(lines) > 0, injected))
+    left = F.filter(lines, lambda _, i: ~F.coalesce(F.get("__injected", i), F.lit(False)))
+    return marked.withColumn("lines", left).drop("__injected")
 
 
 def authority(doc_type: Column) -> Column:

@@ -135,10 +135,11 @@ SELECT case_id, applicant_name, species_code, coalesce(home_world, '') AS home_w
   CASE WHEN note IS NOT NULL THEN 'adjudicator_note' WHEN len(denials) > 0 THEN denials[1] WHEN len(reviews) > 0 THEN reviews[1] ELSE 'clean' END AS reason
 FROM buckets""",
     "injected_lines": f"""{_WITH}
-SELECT case_id, 2::INTEGER AS number, concat_ws('|', 'FORM B-13 Biometric Scan Slip', 'Applicant: ' || applicant_name,
+SELECT case_id, CASE WHEN k % 20 <> 15 THEN 2::INTEGER END AS number, concat_ws('|', 'FORM B-13 Biometric Scan Slip', 'Applicant: ' || applicant_name,
   'Observed flags: ' || CASE k % 7 WHEN 0 THEN flags[1] WHEN 1 THEN {_list(fixed.FLAGS)}[k % 8 + 1] || ', ' || {_list(fixed.FLAGS)}[k // 8 % 8 + 1] ELSE 'none' END,
   CASE k % 11 WHEN 0 THEN 'Biohazard screen: positive' WHEN 1 THEN 'Biohazard screen: clear' END) AS "left"
-FROM made WHERE slip AND k % 5 = 0""",
+FROM made WHERE slip AND k % 5 = 0
+UNION ALL SELECT case_id, 2, 'A second page of one number' FROM made WHERE slip AND k % 20 = 10""",
     "blind_report": f"""{_WITH}, {_PAGES},
 retyped AS (
   SELECT kind AS truth, CASE WHEN kind = 'registry_extract' AND k % 13 = 7 OR kind = 'adjudicator_note' AND k % 10 = 8 OR kind = 'fee_receipt' AND k % 4 = 0 THEN 'unknown' ELSE kind END AS blind

@@ -46,9 +46,9 @@ def stream_cache(spark: SparkSession, folder: str, files_per_trigger: int = 16)
 
 
 def write_cache(pages: DataFrame, path: str, mode: str = "append") -> None:
-    """Write pages as a cache, one line a case, pages in order."""
+    """Write pages as a cache, one line a case, pages in order of their number; pages without one come first."""
     page = F.struct(*[F.col(f.name) for f in PAGE.fields])
-    cases = pages.groupBy("case_id").agg(F.array_sort(F.collect_list(page), lambda a, b: a["number"] - b["number"]).alias("pages"))
+    cases = pages.groupBy("case_id").agg(F.array_sort(F.collect_list(page)).alias("pages"))
     cases.write.mode(mode).json(path)
 
 

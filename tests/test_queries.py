@@ -80,3 +80,14 @@ def test_entry_works_without_the_training_data_operators(tmp_path):
             os.remove(f"{copy}/{drop}")
         ran = subprocess.run([sys.executable, "-c", code], cwd=copy, env={**os.environ, "PYTHONPATH": copy}, capture_output=True, text=True, timeout=120)
         assert ran.stdout.split() == [str(len(registry.QUERIES)), str(len(registry.ORACLES)), "False"], ran.stderr
+
+
+@pytest.mark.parametrize("missing", ["xxhash", "tokenizers", "zstandard"])
+def test_entry_works_without_an_optional_package(tmp_path, missing):
+    """The registries are built where a package of the training-data operators isn't installed."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    with open(tmp_path / "sitecustomize.py", "w") as f:
+        f.write(f"import sys\nsys.modules[{missing!r}] = None\n")
+    code = "import __spark_entry__ as e; print(set(e.queries()) >= set(e.registry.QUERIES), set(e.oracle_sql()) >= set(e.registry.ORACLES))"
+    ran = subprocess.run([sys.executable, "-c", code], cwd=root, env={**os.environ, "PYTHONPATH": f"{tmp_path}:{root}"}, capture_output=True, text=True, timeout=120)
+    assert ran.stdout.split() == ["True", "True"], ran.stderr

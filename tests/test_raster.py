@@ -54,13 +54,14 @@ def test_readings(spark):
 
 def test_panel_is_read_again(spark):
     slip = ("A", 1, "biometric_slip", ["x"], "ocr", [], "", [])
-    pages = spark.createDataFrame([slip, ("B", 1, *slip[2:]), ("C", 1, "biometric_slip", ["x"], "text", [], "", [])], PAGES)
+    pages = spark.createDataFrame([slip, ("B", 1, *slip[2:]), ("D", None, *slip[2:]), ("D", None, *slip[2:]), ("C", 1, "biometric_slip", ["x"], "text", [], "", [])], PAGES)
 
     def read(case, number, second):
         return ["Observed flags: active_warrant"] if second == (case == "B") else ["smudge"]
 
-    got = {r["case_id"]: r["lines"] for r in raster.reread_panel(pages, read).collect()}
-    assert got == {"A": ["x", "Observed flags: active_warrant"], "B": ["x", "Observed flags: active_warrant"], "C": ["x"]}
+    rows = raster.reread_panel(pages, read).collect()
+    got = {r["case_id"]: r["lines"] for r in rows}
+    assert len(rows) == 5 and got == {"D": ["x", "Observed flags: active_warrant"], "A": ["x", "Observed flags: active_warrant"], "B": ["x", "Observed flags: active_warrant"], "C": ["x"]}
 
 
 def test_header_gain(spark):
