@@ -55,4 +55,13 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE gone)::BIGINT
 FROM judged GROUP BY row, doc_id
 """
 
-ORACLES = {"op4_line_dedup": OP4, "op9_mixing": OP9}
+OP13 = r"""
+WITH squeezed AS (
+  SELECT doc_id, len(coalesce(text, '')) AS chars, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') AS body FROM documents),
+ranked AS (
+  SELECT doc_id, body, row_number() OVER w AS place, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY body) AS group_size
+  FROM squeezed WINDOW w AS (PARTITION BY body ORDER BY chars DESC, doc_id NULLS LAST))
+SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(body) AS text_sha256 FROM ranked
+"""
+
+ORACLES = {"op13_exact_dedup": OP13, "op4_line_dedup": OP4, "op9_mixing": OP9}

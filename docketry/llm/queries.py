@@ -108,3 +108,10 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .nearest import nearest
 
     return nearest(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 100 == 0)
+
+
+def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's group of equal texts, and the one that stays of it."""
+    from .exact import owners
+
+    return owners(_table(spark, sf_dir, "documents").select("doc_id", "text"))

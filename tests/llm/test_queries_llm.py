@@ -29,12 +29,13 @@ def test_query(spark, sf_dir, tmp_path, documents, name):
     out = registry.QUERIES[name](spark, sf_dir)
     out.write.parquet(str(tmp_path / "out"))
     rows = spark.read.parquet(str(tmp_path / "out"))
-    if name in ("op1_simhash", "op2_quality_rules", "op4_line_dedup", "op5_sharding", "op7_quality", "op8_language", "op9_mixing"):
+    if name in ("op1_simhash", "op2_quality_rules", "op4_line_dedup", "op5_sharding", "op7_quality", "op8_language", "op9_mixing", "op12_fill_in_middle", "op13_exact_dedup"):
         assert Counter(r["doc_id"] for r in rows.select("doc_id").collect()) == Counter(d[0] for d in documents)
     if name in registry.ORACLES:
         con = duckdb.connect()
-        path = f"{sf_dir}/documents.parquet"
-        con.sql(f"create view documents as select * from read_parquet('{path + '/*.parquet' if os.path.isdir(path) else path}')")
+        for table in ("documents", "conversations"):
+            path = f"{sf_dir}/{table}.parquet"
+            con.sql(f"create view {table} as select * from read_parquet('{path + '/*.parquet' if os.path.isdir(path) else path}')")
         sql, got, cols = registry.ORACLES[name], f"'{tmp_path}/out/*.parquet'", ", ".join(sorted(out.columns))
         assert con.sql(f"(select {cols} from ({sql})) except all (select {cols} from {got})").fetchall() == []
         assert con.sql(f"select count(*) from ({sql})").fetchall()[0][0] == rows.count()
@@ -42,7 +43,7 @@ def test_query(spark, sf_dir, tmp_path, documents, name):
 
 def test_all_queries_are_registered(spark):
     names = set(entry.queries())
-    assert {n.split("_")[0] for n in names if n.startswith("op")} >= {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} >= {f"op{i}" for i in range(1, 14)}
     assert "pipeline" in names and set(entry.oracle_sql()) <= names
 
 
