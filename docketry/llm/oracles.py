@@ -55,6 +55,27 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE gone)::BIGINT
 FROM judged GROUP BY row, doc_id
 """
 
+OP12 = r"""
+WITH cut AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS digest,
+         regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units
+  FROM documents),
+drawn AS (
+  SELECT *, len(units) AS n, ('0x' || digest[1:8])::BIGINT % (len(units) + 1) AS x, ('0x' || digest[9:16])::BIGINT % (len(units) + 1) AS y,
+         ('0x' || digest[17:24])::BIGINT % 100 AS third, ('0x' || digest[25:32])::BIGINT % 100 AS fourth
+  FROM cut),
+formed AS (
+  SELECT *, array_to_string(units[1:least(x, y)], '') AS prefix, array_to_string(units[least(x, y) + 1:greatest(x, y)], '') AS middle,
+         array_to_string(units[greatest(x, y) + 1:], '') AS suffix,
+         CASE WHEN text = '' OR regexp_matches(text, '<[PSM]>') OR third >= 50 THEN 'plain' WHEN fourth < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN len(prefix) END AS prefix_chars, CASE WHEN form <> 'plain' THEN len(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM formed
+"""
+
 OP13 = r"""
 WITH squeezed AS (
   SELECT doc_id, len(coalesce(text, '')) AS chars, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') AS body FROM documents),
@@ -64,4 +85,4 @@ ranked AS (
 SELECT doc_id, keep_id, group_size, place = 1 AS kept, sha256(body) AS text_sha256 FROM ranked
 """
 
-ORACLES = {"op13_exact_dedup": OP13, "op4_line_dedup": OP4, "op9_mixing": OP9}
+ORACLES = {"op12_fill_in_middle": OP12, "op13_exact_dedup": OP13, "op4_line_dedup": OP4, "op9_mixing": OP9}

@@ -110,6 +110,17 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 100 == 0)
 
 
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fill-in-middle form, its cuts, and digests of the output and of the text rebuilt from it."""
+    from .infill import fill_in_middle, restored
+
+    made = fill_in_middle(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    rebuilt = restored(F.col("text"), F.col("form"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2(F.col("text"), 256).alias("output_sha256"), F.sha2(rebuilt, 256).alias("restored_sha256")
+    )
+
+
 def op13_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's group of equal texts, and the one that stays of it."""
     from .exact import owners
