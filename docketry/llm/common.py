@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..sources.shared import materialised as written
 from ..sources.shared import shared_dir
 
-__all__ = ["WORD", "checkpoint", "shared_dir", "text_size", "utf8_bytes", "written"]
+__all__ = ["WORD", "checkpoint", "parts", "shared_dir", "text_size", "utf8_bytes", "written"]
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -22,6 +22,13 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def parts(df: DataFrame, task_bytes: int = 64 << 20) -> int:
+    """Partitions for a shuffle of ``df``: by its size as the optimizer knows it, at least as many as the session asks for."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    known = size if size < 1 << 60 else 0  # beyond that the optimizer doesn't know
+    return max(-(-known // task_bytes), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def utf8_bytes(column: pa.ChunkedArray | pa.Array) -> list[bytes | None]:
     """A string column's values as UTF-8 bytes, without decoding them."""
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()

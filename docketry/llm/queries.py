@@ -110,6 +110,13 @@ def op10_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 100 == 0)
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged by rule: its faults, and the cheapest edits that mend its roles."""
+    from .conversations import damaged, repair
+
+    return repair(damaged(_table(spark, sf_dir, "conversations")), present=F.col("present"))
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's fill-in-middle form, its cuts, and digests of the output and of the text rebuilt from it."""
     from .infill import fill_in_middle, restored
