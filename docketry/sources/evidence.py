@@ -29,7 +29,8 @@ PAGES = T.StructType([T.StructField("case_id", T.StringType()), *PAGE.fields])
 LABELS = T.StructType([T.StructField(c, T.StringType()) for c in ("case_id", *fixed.SCORED[:7], "risk_flags", "fee_status", "adjudication")])
 
 
-def _pages(cache: DataFrame) -> DataFrame:
+def pages_of(cache: DataFrame) -> DataFrame:
+    """A row a page of cached records; missing fields are empty."""
     pages = cache.where("case_id is not null").select("case_id", F.explode("pages").alias("p")).select("case_id", "p.*")
     empty = F.array().cast("array<string>")
     return pages.withColumns({"hidden_text": F.coalesce("hidden_text", F.lit(""))} | {c: F.coalesce(c, empty) for c in ("lines", "ocr_lines", "second_lines")})
@@ -37,12 +38,12 @@ def _pages(cache: DataFrame) -> DataFrame:
 
 def read_cache(spark: SparkSession, path: str) -> DataFrame:
     """Pages of an evidence cache of JSON lines; missing fields are empty, a truncated last line is skipped."""
-    return _pages(spark.read.schema(CACHE).option("mode", "DROPMALFORMED").json(path))
+    return pages_of(spark.read.schema(CACHE).option("mode", "DROPMALFORMED").json(path))
 
 
 def stream_cache(spark: SparkSession, folder: str, files_per_trigger: int = 16) -> DataFrame:
     """The same pages as a stream over a folder to which cache files are added."""
-    return _pages(spark.readStream.schema(CACHE).option("mode", "DROPMALFORMED").option("maxFilesPerTrigger", files_per_trigger).json(folder))
+    return pages_of(spark.readStream.schema(CACHE).option("mode", "DROPMALFORMED").option("maxFilesPerTrigger", files_per_trigger).json(folder))
 
 
 def write_cache(pages: DataFrame, path: str, mode: str = "append") -> None:

@@ -42,6 +42,21 @@ def profile(pages: DataFrame) -> DataFrame:
     )
 
 
+def running_profile(records: DataFrame) -> DataFrame:
+    """``profile`` of records (case_id, pages), one a packet: one aggregate, so that a stream can keep it as its state."""
+    pages = F.coalesce("pages", F.array().cast(records.schema["pages"].dataType))
+
+    def count(of) -> Column:
+        return F.sum(F.size(F.filter(pages, of)).cast("long"))
+
+    empty = lambda p: F.size(text.all_lines(p["lines"], p["ocr_lines"], p["second_lines"])) == 0
+    hidden = F.exists(pages, lambda p: F.trim(F.coalesce(p["hidden_text"], F.lit(""))) != "")
+    return records.agg(
+        F.count("*").alias("packets"), F.sum(F.size(pages).cast("long")).alias("pages"), count(lambda p: p["source"] == "ocr").alias("ocr_pages"),
+        count(empty).alias("empty_pages"), F.count_if(hidden).alias("injected_packets"),
+    )
+
+
 def drift(value: Column, reference: float, at: float = fixed.DRIFT_AT) -> Column:
     """A struct of the relative gap to a reference value and whether it is an alert."""
     gap = (value - F.lit(float(reference))) / F.lit(float(reference))
