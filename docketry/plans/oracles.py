@@ -4,6 +4,12 @@ from __future__ import annotations
 
 from .queries import ADJECTIVES, CUES, DOC_ANCHORS, NOUNS
 
+
+
+def _element(value: str, of: str) -> str:
+    return f"(SELECT list_sort(list({value}))[(floor(count(*) * 0.95::DOUBLE))::BIGINT + 1] FROM {of} WHERE {value} IS NOT NULL)"
+
+
 _CASES = """
 lines AS (
   SELECT l_orderkey, min(l_suppkey) AS supplier,
@@ -253,4 +259,12 @@ SELECT user_id, CASE WHEN s >= 3600 THEN (s // 3600) || 'h' || lpad((s % 3600 //
     "vocabulary_score": r"""
 WITH d AS (SELECT doc_id, source, length(array_to_string(regexp_extract_all(regexp_replace(coalesce(text, ''), '[^\x00-\x7F]', '', 'g'), '\b(the|and|les|des|und|der|los|que)\b', 1), ''))::BIGINT AS score FROM documents)
 SELECT source, doc_id AS best, score FROM d QUALIFY row_number() OVER (PARTITION BY source ORDER BY score DESC, doc_id) = 1""",
+    "whole_rate": """
+WITH c AS (SELECT event_id, ts, row_number() OVER (ORDER BY ts, event_id) AS n FROM events),
+s AS (SELECT event_id, (epoch_us(ts) - epoch_us(first_value(ts) OVER w)) / 1000000.0::DOUBLE AS seconds, n - first_value(n) OVER w AS grown FROM c WINDOW w AS (ORDER BY ts, event_id ROWS BETWEEN 59 PRECEDING AND CURRENT ROW))
+SELECT event_id, round(CASE WHEN seconds > 0 THEN grown / seconds * 60 END, 4) AS per_minute FROM s""",
+    "order_statistics": f"""
+SELECT {_element("l_extendedprice", "lineitem")} AS price, {_element("o_orderdate::DATE", "orders")} AS day, {_element("c_name", "customer")} AS name,
+  {_element("event_id", "events")} AS event, {_element("n_nationkey", "nation")}::BIGINT AS nation, NULL::VARCHAR AS region""",
+    "case_lookup": "SELECT lpad(conv_id::VARCHAR, 9, '0') AS case_id, turn, role, md5(text) AS text_md5 FROM conversations WHERE conv_id = (SELECT max(conv_id) FROM conversations)",
 }

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed, fuzzy, text, values
-from ..operators import calibrate, candidates, output, resolve, rules, score, typing
+from ..operators import calibrate, candidates, order, output, resolve, rules, score, typing
 from ..operators.containment import held_passages
 from ..sources import evidence
+from ..sources.shared import shared_dir
 from ..sources.tables import table
 from ..streaming import monitor
 from . import bindings
@@ -330,16 +331,36 @@ def type_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sliding_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events a minute over the last sixty of a kind."""
-    running = F.row_number().over(Window.partitionBy("event_type").orderBy("ts", "event_id"))
-    polls = table(spark, sf_dir, "events").select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"), running.alias("count"))
-    rated = monitor.trailing_rate(polls, "ts", "count", ["event_type"], ties=["event_id"])
+    polls = table(spark, sf_dir, "events").select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    rated = monitor.trailing_rate(polls, "ts", None, ["event_type"], ties=["event_id"])
     return rated.select("event_id", F.round("per_minute", 4).alias("per_minute"))
 
 
+def whole_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events a minute over the last sixty of all: one key, split by time."""
+    polls = table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
+    return monitor.trailing_rate(polls, "ts", ties=["event_id"], block=1000).select("event_id", F.round("per_minute", 4).alias("per_minute"))
+
+
+def order_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The exact 95th percentile, as an element, of prices, days, times, names and stock of other types."""
+    of = lambda name, column: order.order_statistic(table(spark, sf_dir, name), column, 0.95, 20)
+    day = order.order_statistic(table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("date").alias("d")), "d", 0.95, 20)
+    found = [of("lineitem", "l_extendedprice"), day, of("customer", "c_name"), of("events", "event_id"), of("nation", "n_nationkey"), of("region", "r_name")]
+    return spark.createDataFrame([tuple(found)], "price double, day date, name string, event bigint, nation bigint, region string")
+
+
+def case_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages of the last conversation, from a table written for lookups by case."""
+    pages = bindings.conversation_pages(spark, sf_dir).withColumn("case_id", F.lpad(F.col("case_id").cast("string"), 9, "0"))
+    path = f"{shared_dir(spark)}/docketry-cases-{uuid4().hex}"
+    evidence.write_case_table(pages.select("case_id", "number", "doc_type", "text"), path)
+    last = pages.agg(F.max("case_id")).first()[0]
+    return evidence.find_case(spark, path, last or "").select("case_id", F.col("number").alias("turn"), F.col("doc_type").alias("role"), F.md5("text").alias("text_md5"))
+
+
 def stream_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily counts of events, through a stream that reads what is there and ends."""
-    from ..sources.shared import shared_dir
-
     schema = table(spark, sf_dir, "events").schema
     events = spark.readStream.schema(schema).parquet(f"{sf_dir.rstrip('/')}/events.parque[t]")
     counts = monitor.windowed_counts(events.withColumn("ts", F.col("ts").cast("timestamp")), "ts", "event_type", "1 day")

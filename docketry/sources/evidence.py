@@ -53,6 +53,27 @@ def write_cache(pages: DataFrame, path: str, mode: str = "append") -> None:
     cases.write.mode(mode).json(path)
 
 
+#: Bytes of a row group of a table for lookups: what one lookup reads, if the case is not large.
+LOOKUP_GROUP = 4 << 20
+
+
+def write_case_table(pages: DataFrame, path: str, mode: str = "overwrite", group_bytes: int = LOOKUP_GROUP) -> None:
+    """Write pages as a table for lookups: cases lie together in order, row groups are small and have Bloom filters of their cases."""
+    dealt = pages.repartitionByRange("case_id", "number").sortWithinPartitions("case_id", "number")
+    options = {"parquet.bloom.filter.enabled#case_id": "true", "parquet.block.size": str(group_bytes)}
+    dealt.write.mode(mode).options(**options).parquet(path)
+
+
+def find_case(spark: SparkSession, path: str, case: str) -> DataFrame:
+    """The pages of a case; files and row groups whose statistics or Bloom filters exclude it are not read."""
+    return spark.read.parquet(path).where(F.col("case_id") == F.lit(case))
+
+
+def find_cases(spark: SparkSession, path: str, cases: DataFrame) -> DataFrame:
+    """The pages of the cases of a table ``cases`` of any size."""
+    return spark.read.parquet(path).join(cases.select("case_id").distinct(), "case_id", "left_semi")
+
+
 def not_yet_cached(cases: DataFrame, cache: DataFrame) -> DataFrame:
     """Cases that the cache doesn't hold: where an interrupted run goes on."""
     return cases.join(cache.select("case_id").distinct(), "case_id", "left_anti")

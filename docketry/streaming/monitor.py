@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed, text
+from ..operators.order import numbered
 
 _EMPTY = "array<string>"
 
@@ -70,12 +71,25 @@ def drifts(profile_row: DataFrame, reference: dict[str, float] = fixed.PROFILE_R
     return profile_row.select(F.explode(F.array(*rows)).alias("r")).select("r.name", "r.value", "r.d.gap", "r.d.alert")
 
 
-def trailing_rate(polls: DataFrame, at: str, count: str, key: list[str] | None = None, polls_back: int = 60, ties: list[str] | None = None) -> DataFrame:
-    """``polls`` with ``per_minute``: growth of a running count over the last polls, null on the first; ``ties`` orders polls of one time."""
-    window = Window.partitionBy(*(key or [F.lit(0)])).orderBy(at, *(ties or [])).rowsBetween(-(polls_back - 1), 0)
+def trailing_rate(polls: DataFrame, at: str, count: str | None = None, key: list[str] | None = None, polls_back: int = 60, ties: list[str] | None = None, block: int = 100_000) -> DataFrame:
+    """``polls`` with ``per_minute``: growth of a running count over the last polls, null on the first.
+
+    The count is a column, or the number of the poll. ``ties`` orders polls of one time. Polls are
+    numbered by key in order of time and cut into blocks of equally many; each block also gets the last
+    polls of the one before. So no task has more than a block, with one key as with many.
+    """
+    if not 1 <= polls_back <= block:
+        raise ValueError("a block has at least as many polls as are looked back")
+    keys, order, names = key or [], [at, *(ties or [])], polls.columns
+    rows = numbered(polls, keys, order, "__dk_n").withColumn("__dk_block", F.expr(f"(__dk_n - 1) div {block}L"))
+    lent = F.col("__dk_n") > (F.col("__dk_block") + 1) * block - (polls_back - 1)
+    blocks = F.array_compact(F.array(F.struct(F.lit(0).alias("add")), F.when(lent, F.struct(F.lit(1).alias("add")))))
+    dealt = rows.withColumn("__dk_to", F.explode(blocks)).withColumn("__dk_in", F.col("__dk_block") + F.col("__dk_to.add"))
+    window = Window.partitionBy(*keys, "__dk_in").orderBy("__dk_n").rowsBetween(-(polls_back - 1), 0)
     seconds = (F.unix_micros(F.col(at).cast("timestamp")) - F.unix_micros(F.first(at).over(window).cast("timestamp"))) / 1e6
-    grown = F.col(count) - F.first(count).over(window)
-    return polls.withColumn("per_minute", F.when(seconds > 0, grown / seconds * 60))
+    counted = F.col(count or "__dk_n")
+    rated = dealt.withColumn("per_minute", F.when(seconds > 0, (counted - F.first(counted).over(window)) / seconds * 60))
+    return rated.where("__dk_to.add = 0").select(*[F.col(f"`{c}`") for c in names if c != "per_minute"], "per_minute")
 
 
 def windowed_counts(events: DataFrame, at: str, key: str, width: str = "1 hour", slide: str | None = None, late: str = "10 minutes") -> DataFrame:
