@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..sources.shared import materialised
 
 #: Values by which a round of the selection cuts what is left.
-PIVOTS = 255
+PIVOTS = 31
 
 
 def numbered(df: DataFrame, keys: list[str], order: list[str], out: str) -> DataFrame:

@@ -63,7 +63,7 @@ def test_no_task_has_more_than_its_share(spark, monkeypatch):
     assert "__dk_in" in rated._jdf.queryExecution().optimizedPlan().toString()
 
 
-@pytest.mark.parametrize("pivots", [4, 255])
+@pytest.mark.parametrize("pivots", [3, 31])
 def test_order_statistics(spark, pivots):
     rng = random.Random(3)
     values = {
@@ -74,7 +74,7 @@ def test_order_statistics(spark, pivots):
     for kind, of in values.items():
         df = spark.createDataFrame([(v,) for v in [*of, None]], f"v {kind}").repartition(3)
         plain = sorted(of, key=order._sortable)
-        for share in (0.0, 0.5, 0.95, 1.0) if pivots == 255 else (0.95,):
+        for share in (0.0, 0.5, 0.95, 1.0) if pivots == 31 else (0.95,):
             assert order.order_statistic(df, "v", share, pivots=pivots) == plain[min(int(len(of) * share), len(of) - 1)], (kind, share)
     assert order.order_statistic(df, "v", least=1000) is None and order.order_statistic(df.limit(0), "v") is None
     assert str(order.order_statistic(spark.createDataFrame([(float("nan"),), (1.0,)], "v double"), "v", 0.6)) == "nan"
