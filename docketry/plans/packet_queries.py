@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed, text, values
-from ..operators import candidates, fees, rules, score, typing
+from ..operators import candidates, fees, rules, score, similar, typing
 from ..sources.shared import materialised
 from ..sources.tables import table
 from . import bindings, packets
@@ -127,3 +127,14 @@ def rule_arms(spark: SparkSession, sf_dir: str) -> DataFrame:
         biohazard_state=F.when(k % 3 == 0, "adverse").when(k % 3 == 1, "clean"), waiver_visible=k % 7 == 0,
     )
     return decided.select("k", "decision", "reason", *[F.array_join(b, "|").alias(b) for b in ("denials", "reviews", "approvals")])
+
+
+def similar_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damaged names (one letter gone, in some another changed) pulled back to the nearest of a table of all names."""
+    cases = bindings.made_cases(spark, sf_dir)
+    name, at = F.col("applicant_name"), F.col("k") % F.char_length("applicant_name") + 1
+    gone = F.concat(F.substring(name, F.lit(1), at - 1), F.substring(name, at + 1, F.char_length(name)))
+    worn = cases.select("case_id", F.when(F.col("k") % 3 == 0, F.translate(gone, "a", "4")).otherwise(gone).alias("worn"))
+    entries = cases.groupBy(name.alias("entry")).agg(F.min("k").alias("first"))
+    found = similar.nearest_entries(worn, entries, "worn", "entry", "first", 0.8)
+    return worn.join(found, worn["worn"] == found["value"], "left").select("case_id", "worn", "entry", F.round("ratio", 4).alias("ratio"))
