@@ -29,37 +29,48 @@ def _rank(field: Column, doc_type: Column, base: Column) -> Column:
     return F.when(doc_type == CORRECTION, 0).when((field == "applicant_name") & F.map_contains_key(identity, doc_type), F.try_element_at(identity, doc_type)).otherwise(base)
 
 
-def _shape(rows: DataFrame, step: int, kind: int, exact: Column, line: Column, match: Column, demoted: int = 0, doc_type: Column | None = None) -> DataFrame:
-    doc_type = F.col("doc_type") if doc_type is None else doc_type
-    places = {"step": F.lit(step), "place": F.col("place"), "kind": F.lit(kind), "line": line, "match": match}
-    seq = F.struct(*[x.cast("int").alias(name) for name, x in places.items()])
-    return rows.where("field is not null and raw is not null").select(
-        "case_id", "field", F.col("raw").alias("value"), _rank(F.col("field"), doc_type, F.col("authority") + demoted).alias("rank"),
-        exact.alias("exact"), F.col("number").alias("page"), doc_type.alias("doc_type"), seq.alias("seq"),
-    )
-
-
 def _prose_name(lines: Column) -> Column:
     return F.nullif(F.regexp_extract(F.array_join(lines, " "), fixed.PROSE_NAME_PATTERN, 1), F.lit(""))
 
 
-def _labelled(pages: DataFrame, lines: str, step: int, exact: Column, demoted: int) -> list[DataFrame]:
-    zero = F.lit(0)
-    prose = pages.where((F.col("doc_type") == "sponsor_letter")).withColumn("raw", _prose_name(F.col(lines))).withColumn("field", F.lit("applicant_name"))
-    exploded = pages.select("*", F.posexplode(lines).alias("line_no", "line"))
-    read = values.with_pairs(exploded, "line")
-    return [_shape(prose, step, 0, exact, zero, zero, demoted), _shape(read, step, 1, exact, F.col("line_no"), zero, demoted)]
+#: What a page states, before labels are matched: where, and a line, a label with a value, or a field with one.
+_STATED = ("step", "kind", "line_no", "match_no", "exact", "demoted", "line", "label", "field", "raw", "doc_type")
+
+
+def _stated(**have: Column | int | str | bool) -> Column:
+    kinds = {"step": "int", "kind": "int", "line_no": "int", "match_no": "int", "exact": "boolean", "demoted": "int"}
+    value = {name: have.get(name, 0 if name in kinds else None) for name in _STATED}
+    return F.struct(*[(v if isinstance(v, Column) else F.lit(v)).cast(kinds.get(name, "string")).alias(name) for name, v in value.items()])
+
+
+def _each(lines: Column, of) -> Column:
+    return F.transform(F.coalesce(lines, F.array().cast("array<string>")), of)
+
+
+def _lines_stated(lines: Column, step: int, exact: Column, demoted: int) -> Column:
+    """Lines that may be labelled, and the name that a letter's prose states."""
+    letter = F.when(F.col("doc_type") == "sponsor_letter", _prose_name(lines))
+    prose = F.array(_stated(step=step, exact=exact, demoted=demoted, field="applicant_name", raw=letter))
+    return F.concat(prose, _each(lines, lambda x, i: _stated(step=step, kind=1, line_no=i, exact=exact, demoted=demoted, line=x)))
 
 
-def _corrections(pages: DataFrame, lines: Column, step: int, exact: Column) -> DataFrame:
-    exploded = pages.select("*", F.posexplode(lines).alias("line_no", "line")).where(F.col("line").rlike(r"(?i)manual\s*correct"))
-    read = values.with_corrections(exploded, "line")
-    return _shape(read, step, 2, exact, F.col("line_no"), F.col("match_no"), doc_type=F.lit(CORRECTION))
+def _corrections_stated(lines: Column, step: int, exact: Column) -> Column:
+    """Manual corrections, which count as a document of their own."""
 
+    def in_line(line: Column, i: Column) -> Column:
+        labels, raws = (F.regexp_extract_all(line, F.lit(fixed.CORRECTION_PATTERN), F.lit(g)) for g in (1, 2))
+        pairs = F.transform(F.arrays_zip(labels.alias("label"), raws.alias("raw")), lambda p, j: _stated(step=step, kind=2, line_no=i, match_no=j, exact=exact, label=p["label"], raw=p["raw"], doc_type=CORRECTION))
+        return F.when(line.rlike(r"(?i)manual\s*correct"), pairs).otherwise(F.array().cast(_TYPE))
 
-def sweep(pages: DataFrame, exact: Column) -> DataFrame:
-    """Values found without a label: entries of closed vocabularies, numbers, dates."""
-    blob = F.array_join("lines", " ")
+    return F.flatten(_each(lines, in_line))
+
+
+_TYPE = "array<struct<step:int,kind:int,line_no:int,match_no:int,exact:boolean,demoted:int,line:string,label:string,field:string,raw:string,doc_type:string>>"
+
+
+def _swept(lines: Column, exact: Column) -> Column:
+    """Values found without a label, canonical already: entries of closed vocabularies, numbers, dates."""
+    blob = F.array_join(lines, " ")
     key = text.squash_lower(blob)
     found = {
         field: F.element_at(F.concat(F.filter(F.array(*map(F.lit, options)), lambda o: F.contains(key, text.squash_lower(o))), F.array(F.lit(None).cast("string"))), 1)
@@ -67,33 +78,33 @@ def sweep(pages: DataFrame, exact: Column) -> DataFrame:
         if field != "fee_status"
     }
     found |= {"sponsor_id": values.sponsor_id(blob), "arrival_date": values.iso_date(blob)}
-    readings = F.array(*[F.struct(F.lit(f).alias("field"), v.alias("value")) for f, v in found.items()])
-    native = pages.select("*", F.explode(readings).alias("read")).withColumn("field", F.col("read.field")).withColumn("raw", F.col("read.value"))
-    return _shape(native, 3, 0, exact, F.lit(0), F.lit(0), 1)
-
-
-def _canonical(rows: DataFrame) -> DataFrame:
-    """Readings whose raw value can be one of their field, in its canonical form."""
-    return rows.withColumn("value", values.normalized(F.col("field"), F.col("value"))).where("value is not null")
-
-
-def corrections(pages: DataFrame, lines: Column, step: int, exact: Column) -> DataFrame:
-    """Readings of manual corrections, above every document."""
-    return _canonical(_corrections(pages, lines, step, exact))
+    return F.array(*[_stated(step=3, kind=3, exact=exact, demoted=1, field=f, raw=v) for f, v in found.items()])
 
 
 def candidates(pages: DataFrame) -> DataFrame:
-    """All readings of all cases. ``pages`` has case_id, number, doc_type, lines, source, ocr_lines and second_lines."""
-    placed = by_authority(pages)
-    exact, never = F.col("source") == "text", F.lit(False)
-    second = placed.where(F.size(F.coalesce("second_lines", F.array().cast("array<string>"))) > 0)
-    everything = text.all_lines(F.col("lines"), F.col("ocr_lines"), F.col("second_lines"))
-    parts = [*_labelled(placed, "lines", 1, exact, 0), _corrections(placed, everything, 1, exact)]
-    parts += [*_labelled(second, "second_lines", 2, never, 1), _corrections(second, F.col("second_lines"), 2, never)]
-    prose = placed.withColumn("raw", _prose_name(F.col("lines"))).withColumn("field", F.lit("applicant_name"))
-    parts.append(_shape(prose, 3, 0, exact, F.lit(0), F.lit(0), 1))
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    # Written, so that the expressions of a value stand over a plain table; what a sweep finds is canonical.
-    return _canonical(materialised(whole, "readings")).unionByName(sweep(placed, exact))
+    """All readings of all cases. ``pages`` has case_id, number, doc_type, lines, source, ocr_lines and second_lines.
+
+    One pass: pages are ordered in their case once, each gives out all that it states, labels are matched
+    and values brought to their canonical form on that one stream of rows.
+    """
+    placed = by_authority(pages.select("case_id", "number", "doc_type", "lines", "source", "ocr_lines", "second_lines"))
+    exact, never = F.coalesce(F.col("source") == "text", F.lit(False)), F.lit(False)
+    second = F.col("second_lines")
+    everything = text.all_lines(F.col("lines"), F.col("ocr_lines"), second)
+    stated = F.concat(
+        _lines_stated(F.col("lines"), 1, exact, 0), _corrections_stated(everything, 1, exact), _lines_stated(second, 2, never, 1), _corrections_stated(second, 2, never),
+        F.array(_stated(step=3, exact=exact, demoted=1, field="applicant_name", raw=_prose_name(F.col("lines")))), _swept(F.col("lines"), exact),
+    )
+    useful = F.filter(stated, lambda r: r["raw"].isNotNull() | r["line"].isNotNull())
+    rows = placed.select("case_id", "number", F.col("doc_type").alias("on"), "authority", "place", F.explode(useful).alias("r")).select("case_id", "number", "on", "authority", "place", "r.*")
+    pair = F.get(values.label_and_value(F.when(F.col("kind") == 1, F.col("line"))), F.lit(0))
+    read = rows.withColumns({"__pair": pair, "__label": values.label(F.when(F.col("kind") == 2, F.col("label")))})
+    read = read.withColumns({"field": F.coalesce("__pair.field", "__label", "field"), "raw": F.coalesce("__pair.raw", F.when(F.col("kind") != 1, F.col("raw")))}).where("field is not null and raw is not null")
+    # Written, so that the expressions of a value stand over a plain table.
+    read = materialised(read.drop("__pair", "__label", "line", "label"), "readings")
+    swept = F.col("kind") == 3
+    value = F.when(swept, F.col("raw")).otherwise(values.normalized(F.when(~swept, F.col("field")), F.when(~swept, F.col("raw"))))
+    doc_type = F.coalesce("doc_type", "on")
+    seq = F.struct("step", "place", F.when(swept, 0).otherwise(F.col("kind")).alias("kind"), F.col("line_no").alias("line"), F.col("match_no").alias("match"))
+    rank = _rank(F.col("field"), doc_type, F.col("authority") + F.col("demoted"))
+    return read.withColumn("value", value).where("value is not null").select("case_id", "field", "value", rank.alias("rank"), "exact", F.col("number").alias("page"), doc_type.alias("doc_type"), seq.alias("seq"))

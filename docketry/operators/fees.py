@@ -22,23 +22,29 @@ def waiver_code(blob: Column) -> Column:
 
 
 def page_facts(pages: DataFrame) -> DataFrame:
-    """Pages with their whole text and what each states: a fee, an unpaid note."""
-    lines = text.all_lines(F.col("lines"), F.col("ocr_lines"), F.col("second_lines"))
-    facts = pages.withColumn("page_text", F.array_join(lines, " ")).withColumn("authority", authority(F.col("doc_type")))
+    """Pages with their whole text (``page_text``, made unless it is there) and what each states: a fee, an unpaid note."""
+    if "page_text" not in pages.columns:
+        lines = text.all_lines(F.col("lines"), F.col("ocr_lines"), F.col("second_lines"))
+        pages = pages.withColumn("page_text", F.array_join(lines, " "))
+    facts = pages.withColumn("authority", authority(F.col("doc_type")))
     stated = F.nullif(F.lower(F.regexp_extract("page_text", fixed.STATED_FEE_PATTERN, 1)), F.lit(""))
     note = (F.col("doc_type") == "adjudicator_note") & F.col("page_text").rlike(fixed.UNPAID_PATTERN)
     return facts.withColumn("stated_fee", stated).withColumn("unpaid_note", note)
 
 
-def case_facts(facts: DataFrame) -> DataFrame:
-    """One row a case: text of all pages in order, the most trusted stated fee, the unpaid note."""
-    order = F.struct("authority", "number")
+def case_aggregates() -> dict[str, Column]:
+    """Aggregates over ``page_facts`` of a case: text of all pages in order, the most trusted stated fee, the unpaid note."""
     texts = F.transform(F.array_sort(F.collect_list(F.struct("number", "page_text"))), lambda p: p["page_text"])
-    return facts.groupBy("case_id").agg(
-        F.array_join(texts, " ").alias("blob"),
-        F.min_by("stated_fee", F.when(F.col("stated_fee").isNotNull(), order)).alias("stated"),
-        F.coalesce(F.bool_or("unpaid_note"), F.lit(False)).alias("unpaid_note"),
-    )
+    return {
+        "blob": F.array_join(texts, " "),
+        "stated": F.min_by("stated_fee", F.when(F.col("stated_fee").isNotNull(), F.struct("authority", "number"))),
+        "unpaid_note": F.coalesce(F.bool_or("unpaid_note"), F.lit(False)),
+    }
+
+
+def case_facts(facts: DataFrame) -> DataFrame:
+    """One row a case of ``case_aggregates``."""
+    return facts.groupBy("case_id").agg(*[c.alias(name) for name, c in case_aggregates().items()])
 
 
 def ladder(stated: Column, unpaid_note: Column, owed: Column, code: Column, literal: Column) -> Column:

@@ -26,41 +26,68 @@ def reference_date(dates: DataFrame, column: str, since: int = 2000, least: int
     return days.select(F.when(F.col("total") >= least, walked).alias("reference_date"))
 
 
-def note_decision(pages: DataFrame) -> DataFrame:
-    """(case_id, note_decision, note_text): the first page by number, typed a note, that states a decision.
+def note_on_page(all_lines: Column, page_text: Column) -> dict[str, Column]:
+    """Columns that together tell what a note decides: a labelled decision, a damaged one, a bare one.
 
     A labelled decision counts on any note, a damaged one too; a bare decision word only where the
     page bears no mark of a sample or copy.
     """
-    lines = text.all_lines(F.col("lines"), F.col("ocr_lines"), F.col("second_lines"))
-    notes = pages.where("doc_type = 'adjudicator_note'").select("case_id", "number", lines.alias("all_lines"))
-    notes = notes.withColumn("page_text", F.array_join("all_lines", " "))
-    labelled = values.decision_word(F.regexp_extract("page_text", fixed.FINDING_PATTERN, 1))
-    bare = F.element_at(F.concat(F.filter("all_lines", lambda x: x.rlike(fixed.BARE_DECISION_PATTERN)), F.array(F.lit(None).cast("string"))), 1)
-    bare = F.when(~F.col("page_text").rlike(fixed.DECOY_PATTERN), values.decision_word(F.trim(bare)))
-    found = notes.withColumn("labelled", labelled)
-    found = found.withColumn("damaged", fuzzy.decision_udf(F.when(F.col("labelled").isNull(), F.col("page_text"))))
-    found = found.withColumn("decision", F.coalesce("labelled", "damaged", bare)).where("decision is not null")
-    first = found.groupBy("case_id").agg(F.min_by(F.struct("decision", "page_text"), "number").alias("note"))
-    return first.select("case_id", F.col("note.decision").alias("note_decision"), F.col("note.page_text").alias("note_text"))
+    labelled = values.decision_word(F.regexp_extract(page_text, fixed.FINDING_PATTERN, 1))
+    bare = F.element_at(F.concat(F.filter(all_lines, lambda x: x.rlike(fixed.BARE_DECISION_PATTERN)), F.array(F.lit(None).cast("string"))), 1)
+    bare = F.when(~page_text.rlike(fixed.DECOY_PATTERN), values.decision_word(F.trim(bare)))
+    return {"__labelled": labelled, "__bare": bare}
+
+
+def _all_lines() -> Column:
+    return text.all_lines(F.col("lines"), F.col("ocr_lines"), F.col("second_lines"))
+
+
+def page_signals(pages: DataFrame) -> DataFrame:
+    """Pages with ``all_lines``, ``page_text`` and what each says: ``decision`` (of a note), ``hazard`` and ``embargoed``."""
+    whole = pages.withColumn("all_lines", _all_lines()).withColumn("page_text", F.array_join("all_lines", " "))
+    is_note = F.col("doc_type") == "adjudicator_note"
+    notes = {name: F.when(is_note, c) for name, c in note_on_page(F.col("all_lines"), F.col("page_text")).items()}
+    noted = whole.withColumns(notes).withColumn("__damaged", fuzzy.decision_udf(F.when(is_note & F.col("__labelled").isNull(), F.col("page_text"))))
+    word = F.nullif(F.lower(F.regexp_extract("page_text", fixed.BIOHAZARD_PATTERN, 1)), F.lit(""))
+    clean = F.exists(F.array(*map(F.lit, fixed.BIOHAZARD_CLEAN)), lambda p: F.startswith(word, p))
+    red = F.contains(F.translate(F.lower("page_text"), " ", "_"), F.lit("biohazard_red"))
+    status = F.upper(F.regexp_extract("page_text", fixed.REGISTRY_STATUS_PATTERN, 1))
+    said = {
+        "decision": F.coalesce("__labelled", "__damaged", "__bare"),
+        "hazard": F.when(red, "adverse").when(word.isNotNull(), F.when(clean, "clean").otherwise("adverse")),
+        "embargoed": F.startswith(status, F.lit("EMBARGO")),
+    }
+    return noted.withColumns(said).drop("__labelled", "__bare", "__damaged")
+
+
+def case_signals() -> dict[str, Column]:
+    """Aggregates over the signals of a case's pages: the first note by number, the most trusted word on the hazard, any embargo."""
+    decided, hazard = F.col("decision").isNotNull(), F.col("hazard").isNotNull()
+    return {
+        "note": F.min_by(F.struct("decision", "page_text"), F.when(decided, F.col("number"))),
+        "biohazard": F.min_by("hazard", F.when(hazard, F.struct(authority(F.col("doc_type")), "number"))),
+        "embargo": F.bool_or("embargoed"),
+    }
+
+
+def _of_case(pages: DataFrame, name: str) -> DataFrame:
+    return page_signals(pages).groupBy("case_id").agg(case_signals()[name].alias(name))
+
+
+def note_decision(pages: DataFrame) -> DataFrame:
+    """(case_id, note_decision, note_text): the first page by number, typed a note, that states a decision."""
+    noted = _of_case(pages, "note").where("note is not null")
+    return noted.select("case_id", F.col("note.decision").alias("note_decision"), F.col("note.page_text").alias("note_text"))
 
 
 def biohazard(pages: DataFrame) -> DataFrame:
     """(case_id, biohazard): clean or adverse by the most trusted page that says."""
-    lines = text.all_lines(F.col("lines"), F.col("ocr_lines"), F.col("second_lines"))
-    texts = pages.select("case_id", F.struct(authority(F.col("doc_type")), "number").alias("order"), F.array_join(lines, " ").alias("t"))
-    word = F.nullif(F.lower(F.regexp_extract("t", fixed.BIOHAZARD_PATTERN, 1)), F.lit(""))
-    clean = F.exists(F.array(*map(F.lit, fixed.BIOHAZARD_CLEAN)), lambda p: F.startswith(word, p))
-    red = F.contains(F.translate(F.lower("t"), " ", "_"), F.lit("biohazard_red"))
-    state = F.when(red, "adverse").when(word.isNotNull(), F.when(clean, "clean").otherwise("adverse"))
-    return texts.withColumn("state", state).where("state is not null").groupBy("case_id").agg(F.min_by("state", "order").alias("biohazard"))
+    return _of_case(pages, "biohazard").where("biohazard is not null")
 
 
 def registry_embargo(pages: DataFrame) -> DataFrame:
     """(case_id, embargo): whether any page states a registry status of embargo."""
-    lines = text.all_lines(F.col("lines"), F.col("ocr_lines"), F.col("second_lines"))
-    status = F.upper(F.regexp_extract(F.array_join(lines, " "), fixed.REGISTRY_STATUS_PATTERN, 1))
-    return pages.groupBy("case_id").agg(F.bool_or(F.startswith(status, F.lit("EMBARGO"))).alias("embargo"))
+    return _of_case(pages, "embargo")
 
 
 def _given(value: Column) -> Column:

@@ -21,9 +21,9 @@ def record_facts(pages: DataFrame) -> DataFrame:
     pages = materialised(pages, "typed")
     found = materialised(candidates.candidates(pages), "candidates")
     record = resolve.records(resolve.resolve(found))
-    facts = fees.case_facts(fees.page_facts(pages))
-    cases = facts.join(record, "case_id", "left").join(rules.note_decision(pages), "case_id", "left")
-    cases = cases.join(rules.biohazard(pages), "case_id", "left").join(rules.registry_embargo(pages), "case_id", "left")
+    said = {**fees.case_aggregates(), **rules.case_signals()}
+    facts = fees.page_facts(rules.page_signals(pages)).groupBy("case_id").agg(*[c.alias(name) for name, c in said.items()])
+    cases = facts.join(record, "case_id", "left").withColumns({"note_decision": F.col("note.decision"), "note_text": F.col("note.page_text")}).drop("note")
     owed, code = fees.amount(F.col("blob")), fees.waiver_code(F.col("blob"))
     cases = cases.withColumn("waiver_visible", code.isNotNull())
     cases = cases.withColumn("fee", fees.ladder(F.col("stated"), F.col("unpaid_note"), owed, code, F.col("fee_status")))
