@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed, text, values
-from ..sources.shared import materialised
+from ..sources.shared import materialised, tasks_for
 from .typing import authority
 
 COLUMNS = ("case_id", "field", "value", "rank", "exact", "page", "doc_type", "seq")
@@ -87,7 +87,8 @@ def candidates(pages: DataFrame) -> DataFrame:
     One pass: pages are ordered in their case once, each gives out all that it states, labels are matched
     and values brought to their canonical form on that one stream of rows.
     """
-    placed = by_authority(pages.select("case_id", "number", "doc_type", "lines", "source", "ocr_lines", "second_lines"))
+    pages = pages.select("case_id", "number", "doc_type", "lines", "source", "ocr_lines", "second_lines")
+    placed = by_authority(pages.repartition(tasks_for(pages), "case_id"))
     exact, never = F.coalesce(F.col("source") == "text", F.lit(False)), F.lit(False)
     second = F.col("second_lines")
     everything = text.all_lines(F.col("lines"), F.col("ocr_lines"), second)

@@ -166,6 +166,10 @@ FROM cued WHERE shown GROUP BY field""",
   UNION ALL SELECT case_id, 'visa_class', visa_class, 2, 1, 'intake_form' FROM made
   UNION ALL SELECT case_id, 'visa_class', 'TRANSIT-7', 0, 1, 'manual_correction' FROM made WHERE k % 15 = 2)
 SELECT case_id, field, value, rank::INTEGER AS rank, page::INTEGER AS page, doc_type FROM rows_""",
+    "second_readings": f"""{_WITH}
+SELECT case_id, 'home_world' AS field, home_world AS value, 3::INTEGER AS rank, false AS exact, 1::INTEGER AS page FROM made WHERE k % 12 = 3 AND home_world IS NOT NULL""",
+    "worn_types": f"""{_WITH}, {_PAGES}
+SELECT kind AS made_type, kind AS doc_type, count(*) AS n FROM pages_of GROUP BY kind""",
     "labelled_lines": f"{_WITH}\n{_FORM_FIELDS}",
     "normalized_fields": f"{_WITH}\n{_CANONICAL}",
     "coerced_values": """

@@ -17,8 +17,8 @@ FIELDS = ("applicant_name", "species_code", "home_world", "visa_class", "sponsor
 
 
 def packet_decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole plan: pages stripped and typed, read, resolved, decided and finalized."""
-    pages = materialised(bindings.made_pages(spark, sf_dir), "made_pages")
+    """The whole plan over worn pages with second readings: stripped and typed, read, resolved, decided and finalized."""
+    pages = materialised(bindings.made_pages(spark, sf_dir, worn=True), "made_pages")
     decided = packets.decide(packets.typed_pages(pages))
     return decided.select("case_id", *fixed.SCORED, "adjudication", "reason")
 
@@ -54,6 +54,18 @@ def ranked_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("case_id", "field", "value", "rank", "page", "doc_type")
 
 
+def second_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What only another reading of a page has, below the first reading in rank."""
+    found = candidates.candidates(bindings.made_pages(spark, sf_dir, worn=True)).where("seq.step = 2 and field = 'home_world'")
+    return found.select("case_id", "field", "value", "rank", "exact", "page")
+
+
+def worn_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Types of worn pages, by title, content, near title or labels, against what they were made as."""
+    typed = typing.classify(bindings.made_pages(spark, sf_dir, worn=True))
+    return typed.groupBy("made_type", "doc_type").agg(F.count("*").alias("n"))
+
+
 def labelled_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labels and values of all form lines."""
     forms = bindings.made_pages(spark, sf_dir).where("made_type = 'intake_form'")

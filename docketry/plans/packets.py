@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed, text
 from ..operators import calibrate, candidates, fees, output, resolve, rules, typing
-from ..sources.shared import materialised
+from ..sources.shared import materialised, tasks_for
 
 
 def typed_pages(pages: DataFrame) -> DataFrame:
@@ -22,7 +22,7 @@ def record_facts(pages: DataFrame) -> DataFrame:
     found = materialised(candidates.candidates(pages), "candidates")
     record = resolve.records(resolve.resolve(found))
     said = {**fees.case_aggregates(), **rules.case_signals()}
-    facts = fees.page_facts(rules.page_signals(pages)).groupBy("case_id").agg(*[c.alias(name) for name, c in said.items()])
+    facts = fees.page_facts(rules.page_signals(pages.repartition(tasks_for(pages), "case_id"))).groupBy("case_id").agg(*[c.alias(name) for name, c in said.items()])
     cases = facts.join(record, "case_id", "left").withColumns({"note_decision": F.col("note.decision"), "note_text": F.col("note.page_text")}).drop("note")
     owed, code = fees.amount(F.col("blob")), fees.waiver_code(F.col("blob"))
     cases = cases.withColumn("waiver_visible", code.isNotNull())

@@ -29,3 +29,10 @@ def materialised(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     path = f"{shared_dir(df.sparkSession)}/docketry-{name}-{uuid.uuid4().hex}"
     df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def tasks_for(df: DataFrame, task_bytes: int = 16 << 20) -> int:
+    """Partitions for a shuffle of ``df`` before costly work: by its size as the optimizer knows it, at least as many as the session asks for."""
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    known = size if size < 1 << 60 else 0  # beyond that the optimizer doesn't know
+    return max(-(-known // task_bytes), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
