@@ -26,15 +26,10 @@ targets AS (
 rated AS (
   SELECT s.doc_id, s.source, s.size, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0 END AS rate,
          md5('11:' || coalesce(s.doc_id::VARCHAR, '')) AS digest
-  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
-drawn AS (SELECT *, rate - floor(rate) AS fraction, unnest(range(1, 26)) AS draw FROM rated),
-hits AS (SELECT *, ('0x' || substr(digest, draw, 8))::BIGINT / 4294967296.0::DOUBLE < fraction AS hit FROM drawn),
-sums AS (
-  SELECT source, draw, abs(sum(CASE WHEN hit THEN size ELSE 0 END)::DOUBLE - any_value(fraction) * any_value(source_size)) AS miss
-  FROM hits GROUP BY source, draw),
-best AS (SELECT source, draw FROM sums QUALIFY row_number() OVER (PARTITION BY source ORDER BY miss, draw) = 1)
-SELECT h.doc_id, h.size, h.source_size, h.target, (h.size * (floor(h.rate) + CASE WHEN h.hit THEN 1 ELSE 0 END))::BIGINT AS taken
-FROM hits h JOIN best b ON h.source IS NOT DISTINCT FROM b.source AND h.draw = b.draw
+  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+  (size * (floor(rate) + CASE WHEN ('0x' || substr(digest, 1, 8))::BIGINT / 4294967296.0::DOUBLE < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM rated
 """
 
 OP4 = r"""

@@ -91,15 +91,30 @@ def test_targets(spark, make_docs, odd_rows):
         assert r["copies"] in (int(rate), int(rate) + 1)
 
 
-def test_many_documents_come_near_their_target(make_docs):
+def test_sources_come_near_their_targets_as_one_draw_does(make_docs):
+    """Within four standard deviations of independent trials with the fraction as their probability."""
     rows = [(i, prose(10 + i % 30, i), "en", f"s{i % 4}") for i in range(4000)]
-    taken, target = defaultdict(int), {}
+    taken, target, spread = defaultdict(int), {}, defaultdict(float)
     for r in mixing.mix(make_docs(rows)).collect():
+        rate = r["target"] / r["source_size"]
         taken[r["source"]] += int(r["size"]) * r["copies"]
         target[r["source"]] = r["target"]
+        spread[r["source"]] += (rate % 1) * (1 - rate % 1) * int(r["size"]) ** 2
+    assert all(abs(taken[s] - target[s]) <= 4 * spread[s] ** 0.5 + 1e-6 for s in target)
     assert all(abs(taken[s] / target[s] - 1) < 0.08 for s in target)
 
 
+def test_a_document_has_the_chance_of_its_fraction(make_docs):
+    """Over seeds, each document is drawn as often as its source's fraction says, whatever its size."""
+    rows = [(i, prose(1 + i, i), "en", f"s{i % 3}") for i in range(30)]
+    docs, drawn, rate = make_docs(rows, partitions=1), defaultdict(int), {}
+    for seed in range(40):
+        for r in mixing.decide(docs, seed=seed).collect():
+            rate[r["doc_id"]] = r["target"] / r["source_size"]
+            drawn[r["doc_id"]] += r["copies"] - int(rate[r["doc_id"]])
+    assert all(abs(drawn[i] / 40 - x % 1) < 4.5 * (0.25 / 40) ** 0.5 for i, x in rate.items())
+
+
 def test_emit(make_docs):
     rows = [(i, prose(10, i), "en", "a") for i in range(50)]
     docs = make_docs(rows)
