@@ -7,6 +7,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed, values
+from ..sources.shared import materialised
+
+#: Buckets, of some 200 bytes each, whose table is broadcast; keys of a case.
+BROADCAST_BUCKETS, KEYS = 50_000, 6
 
 
 def evidence_keys(reason: Column, fee: Column, visa: Column, flags: Column, reviews: Column, approvals: Column) -> Column:
@@ -50,15 +54,25 @@ def fit(cases: DataFrame, keys: str = "keys", truth: str = "truth", reason: str
 def confidence(cases: DataFrame, table: DataFrame, least: int = fixed.LEAST_OBSERVATIONS, case: str = "case_id") -> DataFrame:
     """``cases`` with ``confidence``: the share of the first bucket with enough cases, else the route's, else the default.
 
-    The decision never changes. A case that a note settled takes its route's confidence.
+    The decision never changes. A case that a note settled takes its route's confidence. While there
+    are at most ``BROADCAST_BUCKETS`` buckets with enough cases, which is counted, cases don't move.
     """
     settled = values.route(F.col("reason")) == "adjudicator_note"
     routes = F.create_map(*[F.lit(x) for pair in fixed.ROUTE_CONFIDENCE.items() for x in pair])
     fallback = F.coalesce(F.try_element_at(routes, values.route(F.col("reason"))), F.lit(fixed.DEFAULT_CONFIDENCE))
     counts = table.groupBy("bucket").agg(F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("truth", "n"))).alias("by_truth"))
-    counts = counts.where(F.col("total") >= least)
+    counts = materialised(counts.where(F.col("total") >= least), "buckets")
+    share = lambda by_truth, total: F.coalesce(F.try_element_at(by_truth, F.col("decision")), F.lit(0)) / total
+    if counts.count() <= BROADCAST_BUCKETS:
+        found = cases
+        for i in range(KEYS):
+            of = F.broadcast(counts.select(F.col("bucket").alias(f"__b{i}"), F.struct("by_truth", "total").alias(f"__c{i}")))
+            found = found.join(of, F.get("keys", F.lit(i)) == F.col(f"__b{i}"), "left")
+        shares = [share(F.col(f"__c{i}.by_truth"), F.col(f"__c{i}.total")) for i in range(KEYS)]
+        judged = found.withColumn("confidence", F.coalesce(F.when(~settled, F.coalesce(*shares)), fallback))
+        return judged.drop(*[f"__{x}{i}" for i in range(KEYS) for x in "bc"])
     keyed = cases.where(~settled).select(F.col(case).alias("__case"), "decision", F.posexplode("keys").alias("pos", "bucket"))
-    hit = keyed.join(counts, "bucket").withColumn("share", F.coalesce(F.try_element_at("by_truth", F.col("decision")), F.lit(0)) / F.col("total"))
+    hit = keyed.join(counts, "bucket").withColumn("share", share(F.col("by_truth"), F.col("total")))
     first = hit.groupBy("__case").agg(F.min_by("share", "pos").alias("__share"))
     return cases.join(first, F.col(case) == F.col("__case"), "left").withColumn("confidence", F.coalesce("__share", fallback)).drop("__case", "__share")
 

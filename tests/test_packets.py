@@ -374,3 +374,19 @@ def test_labels_and_subsets(spark, tmp_path):
     assert {r["case_id"]: r["adjudication"] for r in labels.collect()} == {f"C{i}": str(160 + i) for i in range(40)}
     few, theirs = evidence.subset(spark.createDataFrame([("C3",), ("C1",), ("C2",), ("D",)], "case_id string"), labels, 2)
     assert sorted(r["case_id"] for r in theirs.collect()) == sorted(r["case_id"] for r in few.collect()) == ["C1", "C2"]
+
+
+def test_confidence_beyond_the_broadcast_bound(spark, monkeypatch):
+    """Both ways of looking a case up agree, settled and unknown cases included."""
+    cases = spark.createDataFrame(
+        [(i, ["clean", "adjudicator_note", "stale_application"][i % 3], ["APPROVED", "DENIED"][i % 2], [f"a{i % 7}", f"b{i % 2}", "c", "d", "e", "f"]) for i in range(40)],
+        "case_id long, reason string, decision string, keys array<string>",
+    )
+    table = spark.createDataFrame([("a1", "APPROVED", 9), ("a2", "DENIED", 500), ("a2", "APPROVED", 100), ("b1", "APPROVED", 300), ("c", "DENIED", 90)], "bucket string, truth string, n long")
+    near = calibrate.confidence(cases, table)
+    assert "SortMergeJoin" not in near._jdf.queryExecution().executedPlan().toString()
+    want = {r["case_id"]: r["confidence"] for r in near.collect()}
+    monkeypatch.setattr(calibrate, "BROADCAST_BUCKETS", 0)
+    got = calibrate.confidence(cases, table)
+    assert {r["case_id"]: r["confidence"] for r in got.collect()} == want and len(set(want.values())) > 3
+    assert near.columns == got.columns
