@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import fixed, fuzzy, text
 from ..functions.values import lexicon_support
@@ -73,8 +77,39 @@ def records(resolved: DataFrame, fields: tuple[str, ...] = fixed.SCORED) -> Data
     return resolved.groupBy("case_id").pivot("field", list(fields)).agg(F.first("value"))
 
 
+def count_identities(rows: DataFrame, case: str, order: str, name: str, at: float = fixed.IDENTITY_AT) -> DataFrame:
+    """(case, n_names): how many different names each case has; every name is compared with the first of each one before it.
+
+    Of spellings that are equal squashed the first stays, by a partial aggregate: another one can't differ
+    from all before it. The rest is sorted by case and order and streamed; a task holds the first names of
+    the case that it is at, nothing else, however many rows the case has. Null names are left out.
+    """
+    kind = rows.schema[case].dataType
+    named = rows.where(F.col(name).isNotNull()).select(F.col(case).alias("case"), F.col(order).alias("order"), F.col(name).alias("name"), text.squash_lower(F.col(name)).alias("key"))
+    firsts = named.groupBy("case", "key").agg(F.min("order").alias("order"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, found, done = None, [], []
+        for batch in batches:
+            kinds = batch.column("case").type
+            for of, key in zip(batch.column("case").to_pylist(), batch.column("key").to_pylist(), strict=True):
+                if not found or of != now:
+                    if found:
+                        done.append((now, len(found)))
+                    now, found = of, []
+                if all(fuzzy.ratio(key, first) < at for first in found):
+                    found.append(key)
+            if done:
+                yield pa.RecordBatch.from_arrays([pa.array([d[0] for d in done], kinds), pa.array([d[1] for d in done], pa.int32())], [case, "n_names"])
+                done = []
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array([now], kinds), pa.array([len(found)], pa.int32())], [case, "n_names"])
+
+    schema = T.StructType([T.StructField(case, kind), T.StructField("n_names", T.IntegerType())])
+    return firsts.repartition("case").sortWithinPartitions("case", "order").select("case", "key").mapInArrow(run, schema)
+
+
 def identity_conflict(found: DataFrame) -> DataFrame:
     """(case_id, n_names, conflict): labelled names of the case, clustered in the order they are seen."""
     names = found.where((F.col("field") == "applicant_name") & (F.col("seq.step") == 1) & (F.col("doc_type") != CORRECTION))
-    listed = names.groupBy("case_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("seq", "value"))), lambda x: x["value"]).alias("names"))
-    return listed.select("case_id", fuzzy.identities_udf("names").alias("n_names")).withColumn("conflict", F.col("n_names") > 1)
+    return count_identities(names, "case_id", "seq", "value").withColumn("conflict", F.col("n_names") > 1)

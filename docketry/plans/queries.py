@@ -427,5 +427,4 @@ def vocabulary_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 def identity_conflict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations whose turns open with different words: each name is compared with the first of every one before it."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.substring_index("text", " ", 2).alias("name"))
-    listed = turns.groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", "name"))), lambda x: x["name"]).alias("names"))
-    return listed.select("conv_id", fuzzy.identities_udf("names").alias("n_names"))
+    return resolve.count_identities(turns, "conv_id", "turn", "name")

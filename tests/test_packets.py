@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from docketry.functions import fixed, text
+from docketry.functions import fixed, fuzzy, text
 from docketry.operators import calibrate, candidates, fees, output, resolve, rules, score, typing
 from docketry.plans import packets
 from docketry.sources import evidence
@@ -390,3 +391,16 @@ def test_confidence_beyond_the_broadcast_bound(spark, monkeypatch):
     got = calibrate.confidence(cases, table)
     assert {r["case_id"]: r["confidence"] for r in got.collect()} == want and len(set(want.values())) > 3
     assert near.columns == got.columns
+
+
+def test_identities_of_a_hot_case(spark):
+    """Counts equal the plain clustering in order; a case of many rows holds only its first names."""
+    rng = random.Random(5)
+    names = ["Mira Solvara", "Mira S0lvara", "MIRA solvara", "Zed Qorix", "Zedd Qorix", "Ann Lee", "", "--", "Bo"]
+    rows = [(case, i, rng.choice(names)) for case in (1, 2, 3, None) for i in range(rng.randrange(1, 12))] + [(9, i, rng.choice(names[:5])) for i in range(20_000)] + [(4, 0, None)]
+    rng.shuffle(rows)
+    got = resolve.count_identities(spark.createDataFrame(rows, "case long, at long, name string").repartition(4), "case", "at", "name").collect()
+    cases = {}
+    for case, _, name in sorted((r for r in rows if r[2] is not None), key=lambda r: r[1]):
+        cases.setdefault(case, []).append(name)
+    assert {r["case"]: r["n_names"] for r in got} == {case: fuzzy.identities(listed) for case, listed in cases.items()}

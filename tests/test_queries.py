@@ -11,6 +11,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from docketry.functions import fuzzy
 from docketry.plans import bindings, registry
 from docketry.sources import evidence
 from docketry.streaming import monitor
@@ -47,6 +48,14 @@ def test_damaged_names_are_pulled_back(spark, sf_dir):
     assert found.where("snapped = p_name").count() > 0.9 * found.count()
 
 
+def test_identities_against_plain_clustering(spark, sf_dir):
+    cases = {}
+    for r in spark.read.parquet(f"{sf_dir}/conversations.parquet").orderBy("conv_id", "turn").collect():
+        cases.setdefault(r["conv_id"], []).append(" ".join(r["text"].split(" ")[:2]))
+    got = {r["conv_id"]: r["n_names"] for r in registry.QUERIES["identity_conflict"](spark, sf_dir).collect()}
+    assert got == {case: fuzzy.identities(names) for case, names in cases.items()}
+
+
 def test_stream_of_a_cache_equals_the_batch(spark, sf_dir, tmp_path):
     pages = bindings.conversation_pages(spark, sf_dir).select("case_id", F.col("number").cast("int").alias("number"), "doc_type", "lines", "source", "ocr_lines", "hidden_text", "second_lines")
     pages = pages.withColumn("case_id", F.col("case_id").cast("string"))
