@@ -1,16 +1,18 @@
 """Line dedup with two Bloom filters.
 
 Pass one reads the texts and keeps 16 bytes for each long line of a document. Two Bloom filters,
-one of keys seen at least once and one of keys seen at least twice, are built from those by tasks
-and merged: a bit that two tasks set, or one task sets twice, is a twice-seen bit, so no repeated
-key is missed. Only keys that the twice-seen filter holds are shuffled, grouped by their full
-digest, counted exactly, and given the document that keeps them. Pass two rewrites the documents
-that lose a line.
-
-The filters' size follows the number of keys. They are cut into segments by the leading bits of the
-digests, and both bits of a key are in its segment. Filters of at most ``max_bits`` are broadcast to
-the tasks that probe them; beyond that every key is sent to the task that has its segment, which
-suspects the same keys.
+one of keys seen at least once and one of keys seen at least twice, are cut into segments by the
+leading bits of the digests; both bits of a key are in its segment. The documents of a task are a
+block, or several of bounded size. A block sends each segment the distinct positions that it sets,
+four bytes each, and which of them it sets more than once, so that a line that every document holds
+moves once a block. A task a segment merges these: a bit that two blocks set, or one block sets
+twice, is a twice-seen bit, so no repeated key is missed. Each block gets back the twice-seen ones of
+its own positions, where its keys are probed. The keys stay where they were written, in buckets by
+block. Only keys that the twice-seen filter holds are shuffled, grouped by their full digest, counted
+exactly, and given the document that keeps them. Pass two rewrites the documents that lose a line.
+
+This is the way at every size: nothing is broadcast, and no task holds more than a segment, with four
+bytes for each block that sets a position of it, or a block.
 
 Edge cases: a null text is one empty line; very long texts are read whole; equal lines (ties) of the
 keeping document all stay; a document is a row, so repeated rows count each; of
@@ -22,21 +24,25 @@ an output column are replaced.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import utf8_bytes, written
+from .common import parts, shared_dir, utf8_bytes, written
 
 OUTPUTS = ("n_lines", "n_dropped")
 _DIGEST = 16
 _PROBES = 2
-#: log2 of the bits of a filter segment; tasks merge segments, 128 KB each.
+#: log2 of the bits of a filter segment.
 _SEGMENT = 20
+#: Buckets of a table, as many as Spark allows unless told otherwise; more blocks share them.
+_BUCKETS = 100_000
 
 
 def line_key(line: bytes) -> bytes:
@@ -69,146 +75,127 @@ def _words(blob: bytes) -> np.ndarray:
     return np.frombuffer(blob, "<u8").reshape(-1, 2)
 
 
-def _line_digests(docs: DataFrame, least: int) -> DataFrame:
-    """Per document: id, digest of the text, and the distinct digests of its long lines, packed."""
+def _line_digests(docs: DataFrame, least: int, block_keys: int) -> DataFrame:
+    """Per document with a long line: its block, id, digest of the text, and the distinct digests of its long lines, packed."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held = TaskContext.get().partitionId() << 32, 0
         for batch in batches:
-            packed = []
-            for text in utf8_bytes(batch.column("text")):
+            packed, blocks, rows = [], [], []
+            for row, text in enumerate(utf8_bytes(batch.column("text"))):
                 keys = {k for k in map(line_key, (text or b"").split(b"\n")) if _long_enough(k, least)}
+                if not keys:
+                    continue
+                if held >= block_keys:
+                    block, held = block + 1, 0
+                held += len(keys)
                 packed.append(b"".join(sorted(map(_digest, keys))))
+                blocks.append(block)
+                rows.append(row)
+            at = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("mark"), pa.array(packed, pa.binary())], ["id", "mark", "lines"]
+                [pa.array(blocks, pa.int64()), batch.column("id").take(at), batch.column("mark").take(at), pa.array(packed, pa.binary())],
+                ["block", "id", "mark", "lines"],
             )
 
     id_type = docs.schema["id"].dataType
-    schema = T.StructType([T.StructField("id", id_type), T.StructField("mark", T.BinaryType()), T.StructField("lines", T.BinaryType())])
-    return docs.mapInArrow(scan, schema)
+    fields = [("block", T.LongType()), ("id", id_type), ("mark", T.BinaryType()), ("lines", T.BinaryType())]
+    return docs.mapInArrow(scan, T.StructType([T.StructField(*f) for f in fields]))
+
+
+def _in_buckets(lines: DataFrame, buckets: int) -> tuple[DataFrame, str]:
+    """``lines`` written once below the shared folder in buckets by block, so that a meeting by block doesn't move them; the table's name."""
+    spark, name = lines.sparkSession, f"docketry_lines_{uuid.uuid4().hex}"
+    lines.write.bucketBy(buckets, "block").option("path", f"{shared_dir(spark)}/{name}").saveAsTable(name)
+    return spark.table(name), name
 
 
-def twice_seen(lines: DataFrame, segments: int) -> DataFrame:
-    """(segment, bits) of the twice-seen filter, packed bits by segment, merged from all tasks; untouched segments are left out."""
+def set_positions(lines: DataFrame, segments: int) -> DataFrame:
+    """(segment, block, bits): the distinct positions that a block sets in a segment, as 32-bit numbers.
+
+    The low bit tells a position that the block sets more than once.
+    """
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
-        n = 0
+        current = None
 
         def flush() -> Iterator[pa.RecordBatch]:
-            nonlocal held, n
+            nonlocal held
             if held:
                 once, count = np.unique(np.concatenate(held), return_counts=True)
-                # The low bit tells a position that this task alone has set twice.
                 local = ((once & ((1 << _SEGMENT) - 1)) << 1 | (count > 1)).astype("<u4")
                 segment = once >> _SEGMENT
                 cuts = np.flatnonzero(np.diff(segment)) + 1
                 parts = [p.tobytes() for p in np.split(local, cuts)]
                 heads = segment[np.concatenate([[0], cuts])].astype(np.int32)
-                for lo in range(0, len(parts), 64):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(heads[lo : lo + 64]), pa.array(parts[lo : lo + 64], pa.binary())], ["segment", "bits"]
-                    )
-            held, n = [], 0
+                for lo in range(0, len(parts), 4096):
+                    bits = pa.array(parts[lo : lo + 4096], pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array(heads[lo : lo + 4096]), pa.array([current] * len(bits), pa.int64()), bits], ["segment", "block", "bits"])
+            held = []
 
         for batch in batches:
-            for blob in batch.column("lines").to_pylist():
-                if blob:
-                    digests = _words(blob)
-                    held.append((_segments(digests, segments) << _SEGMENT | _positions(digests).astype(np.int64)).ravel())
-                    n += len(held[-1])
-                    if n > 4_000_000:
-                        yield from flush()
+            for block, blob in zip(batch.column("block").to_pylist(), batch.column("lines").to_pylist(), strict=True):
+                if block != current:
+                    yield from flush()
+                    current = block
+                digests = _words(blob)
+                held.append((_segments(digests, segments) << _SEGMENT | _positions(digests).astype(np.int64)).ravel())
         yield from flush()
 
+    return lines.select("block", "lines").mapInArrow(build, "segment int, block long, bits binary")
+
+
+def twice_seen(positions: DataFrame, tasks: int) -> DataFrame:
+    """(block, segment, bits): of the positions that a block sets, those of the twice-seen filter."""
+
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, once, twice = -1, None, None
+        current, held = -1, []
 
         def done() -> Iterator[pa.RecordBatch]:
-            if current >= 0:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([current], pa.int32()), pa.array([np.packbits(twice, bitorder="little").tobytes()], pa.binary())],
-                    ["segment", "bits"],
-                )
-
-        for batch in batches:
-            for segment, blob in zip(batch.column("segment").to_pylist(), batch.column("bits").to_pylist(), strict=True):
-                if segment != current:
-                    yield from done()
-                    current, once, twice = segment, np.zeros(1 << _SEGMENT, bool), np.zeros(1 << _SEGMENT, bool)
+            once, twice = np.zeros(1 << _SEGMENT, bool), np.zeros(1 << _SEGMENT, bool)
+            for _, blob in held:
                 local = np.frombuffer(blob, "<u4")
                 at = local >> 1
                 twice[at] |= once[at] | (local & 1).astype(bool)
                 once[at] = True
-        yield from done()
-
-    schema = "segment int, bits binary"
-    return lines.select("lines").mapInArrow(build, schema).repartition("segment").sortWithinPartitions("segment").mapInArrow(merge, schema)
-
-
-def _hits(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Whether all probes (rows of ``at``) of each digest are set in packed bits."""
-    return ((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(bool).all(axis=0)
+            answers = []
+            for block, blob in held:
+                at = np.frombuffer(blob, "<u4") >> 1
+                if len(at := at[twice[at]]):
+                    answers.append((block, at.tobytes()))
+            for lo in range(0, len(answers), 4096):
+                blocks, bits = zip(*answers[lo : lo + 4096], strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(blocks, pa.int64()), pa.array([current] * len(bits), pa.int32()), pa.array(bits, pa.binary())], ["block", "segment", "bits"])
 
+        for batch in batches:
+            for segment, block, blob in zip(*(batch.column(c).to_pylist() for c in ("segment", "block", "bits")), strict=True):
+                if segment != current:
+                    yield from done()
+                    current, held = segment, []
+                held.append((block, blob))
+        yield from done()
 
-def _suspects(lines: DataFrame, filters: DataFrame, segments: int) -> DataFrame:
-    """(digest, id, mark) of the keys that the twice-seen filter holds; the whole filter is broadcast."""
-    per = 1 << (_SEGMENT - 3)
-    whole = np.zeros(segments * per, np.uint8)
-    for row in filters.toLocalIterator():
-        whole[row["segment"] * per : (row["segment"] + 1) * per] = np.frombuffer(row["bits"], np.uint8)
-    shared = lines.sparkSession.sparkContext.broadcast(whole)
+    return positions.repartition(tasks, "segment").sortWithinPartitions("segment").mapInArrow(merge, "block long, segment int, bits binary")
 
-    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            blobs = [b or b"" for b in batch.column("lines").to_pylist()]
-            digests = _words(b"".join(blobs))
-            if not len(digests):
-                continue
-            hit = _hits(shared.value, _segments(digests, segments) << _SEGMENT | _positions(digests).astype(np.int64))
-            row = np.repeat(np.arange(len(blobs)), [len(b) // _DIGEST for b in blobs])[hit]
-            keys = np.ascontiguousarray(digests[hit]).tobytes()
-            for lo in range(0, len(row), 20_000):
-                rows = pa.array(row[lo : lo + 20_000])
-                found = pa.array([keys[i * _DIGEST : (i + 1) * _DIGEST] for i in range(lo, lo + len(rows))], pa.binary())
-                yield pa.RecordBatch.from_arrays([found, batch.column("id").take(rows), batch.column("mark").take(rows)], ["digest", "id", "mark"])
 
+def suspected(lines: DataFrame, twice: DataFrame, segments: int) -> DataFrame:
+    """(digest, id, mark) of the keys that the twice-seen filter holds, probed block by block."""
     schema = T.StructType([T.StructField("digest", T.BinaryType()), lines.schema["id"], T.StructField("mark", T.BinaryType())])
-    return lines.mapInArrow(probe, schema)
-
 
-def _suspects_by_segment(lines: DataFrame, filters: DataFrame, segments: int) -> DataFrame:
-    """(digest, id, mark) as ``_suspects`` gives them, with every key sent to where its segment is; nothing is broadcast."""
-    id_type = lines.schema["id"].dataType
-    keyed = T.StructType([T.StructField("segment", T.IntegerType()), T.StructField("bits", T.BinaryType()), T.StructField("id", id_type), T.StructField("mark", T.BinaryType())])
+    def probe(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        blobs = rows.column("lines").to_pylist()
+        digests = _words(b"".join(blobs))
+        found = [np.frombuffer(b, "<u4").astype(np.int64) | s << _SEGMENT for s, b in zip(answers.column("segment").to_pylist(), answers.column("bits").to_pylist(), strict=True)]
+        held = np.concatenate([np.empty(0, np.int64), *found])
+        at = _segments(digests, segments) << _SEGMENT | _positions(digests).astype(np.int64)
+        hit = np.isin(at, held).all(axis=0)
+        of = pa.array(np.repeat(np.arange(len(blobs)), [len(b) // _DIGEST for b in blobs])[hit])
+        keys = np.ascontiguousarray(digests[hit]).tobytes()
+        found = pa.array([keys[i : i + _DIGEST] for i in range(0, len(keys), _DIGEST)], pa.binary())
+        return pa.table([found, rows.column("id").take(of), rows.column("mark").take(of)], names=["digest", "id", "mark"])
 
-    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            blobs = [b or b"" for b in batch.column("lines").to_pylist()]
-            all_keys, row = b"".join(blobs), np.repeat(np.arange(len(blobs)), [len(b) // _DIGEST for b in blobs])
-            segment = _segments(_words(all_keys), segments).astype(np.int32)
-            for lo in range(0, len(row), 20_000):
-                rows = pa.array(row[lo : lo + 20_000])
-                keys = pa.array([all_keys[i * _DIGEST : (i + 1) * _DIGEST] for i in range(lo, lo + len(rows))], pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(segment[lo : lo + 20_000]), keys, batch.column("id").take(rows), batch.column("mark").take(rows)], keyed.names)
-
-    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, bits = -1, None
-        for batch in batches:
-            segment, kind = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("segment", "kind"))
-            for lo in range(0, len(segment), 4096):
-                cuts = [lo, *(lo + 1 + np.flatnonzero(np.diff(segment[lo : lo + 4096]) | np.diff(kind[lo : lo + 4096]))), min(lo + 4096, len(segment))]
-                for a, b in zip(cuts, cuts[1:], strict=False):
-                    piece = batch.slice(a, b - a)
-                    if not kind[a]:
-                        current, bits = segment[a], np.frombuffer(piece.column("bits")[0].as_py(), np.uint8)
-                    elif segment[a] == current:
-                        hit = _hits(bits, _positions(_words(b"".join(piece.column("bits").to_pylist()))).astype(np.int64))
-                        yield pa.RecordBatch.from_arrays([piece.column(c).filter(pa.array(hit)) for c in ("bits", "id", "mark")], ["digest", "id", "mark"])
-
-    keys = lines.mapInArrow(part, keyed).withColumn("kind", F.lit(1))
-    held = filters.select("segment", "bits", F.lit(None).cast(id_type).alias("id"), F.lit(None).cast("binary").alias("mark"), F.lit(0).alias("kind"))
-    schema = T.StructType([T.StructField("digest", T.BinaryType()), lines.schema["id"], T.StructField("mark", T.BinaryType())])
-    return held.unionByName(keys).repartition("segment").sortWithinPartitions("segment", "kind").mapInArrow(probe, schema)
+    return lines.groupBy("block").cogroup(twice.groupBy("block")).applyInArrow(probe, schema)
 
 
 def dedup_lines(
@@ -218,22 +205,25 @@ def dedup_lines(
     least_chars: int = 20,
     least_docs: int = 3,
     bits_per_key: int = 16,
-    max_bits: int = 1 << 29,
+    block_keys: int = 1 << 21,
 ) -> DataFrame:
     """Rows of ``docs`` with the repeated lines gone from the text, and ``n_lines`` and ``n_dropped``.
 
     A key of at least ``least_chars`` code points found in at least ``least_docs`` documents stays
-    only in the document with the largest id. ``least_docs`` must be two or more.
+    only in the document with the largest id. ``least_docs`` must be two or more. ``block_keys`` keys,
+    of 16 bytes, are held by a task at once, or those of one document.
     """
     if least_docs < 2:
         raise ValueError("a repeated line is in two documents at least")
     docs = docs.drop(*[c for c in OUTPUTS if c in docs.columns])
     mark = F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit(""))))
-    lines = written(_line_digests(docs.select(F.col(id_col).alias("id"), mark.alias("mark"), F.col(text_col).alias("text")), least_chars), "lines")
+    chosen = docs.select(F.col(id_col).alias("id"), mark.alias("mark"), F.col(text_col).alias("text"))
+    lines, name = _in_buckets(_line_digests(chosen, least_chars, block_keys), min(_BUCKETS, parts(docs, 1 << 30)))
     n_keys = (lines.agg(F.sum(F.octet_length("lines"))).first()[0] or 0) // _DIGEST
     segments = min(1 << 24, max(1, -(-bits_per_key * n_keys >> _SEGMENT)))
-    probe = _suspects if segments << _SEGMENT <= max_bits else _suspects_by_segment
-    suspects = written(probe(lines, written(twice_seen(lines, segments), "filters"), segments), "suspects")
+    tasks = max(n_keys * 4 * _PROBES >> 26, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    suspects = written(suspected(lines, twice_seen(set_positions(lines, segments), tasks), segments), "suspects")
+    docs.sparkSession.sql(f"DROP TABLE {name}")  # the catalog's entry
     confirmed = (
         suspects.groupBy("digest")
         .agg(F.count("*").alias("n"), F.max("id").alias("keeper"))

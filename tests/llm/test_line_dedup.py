@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from docketry.llm import linededup
 
@@ -56,12 +57,34 @@ def test_many_lines_and_a_hot_one(make_docs):
     assert result(linededup.dedup_lines(make_docs(rows, 7))) == brute(rows)
 
 
-@pytest.mark.parametrize("bits", [{"max_bits": 0}, {"max_bits": 0, "bits_per_key": 1 << 16}, {"bits_per_key": 1 << 16}])
-def test_filters_that_are_not_broadcast_give_the_same(make_docs, bits):
-    """Keys that are sent to their segments, one or many, are judged as those of broadcast filters."""
+@pytest.mark.parametrize("bounds", [{"block_keys": 1}, {"block_keys": 20, "bits_per_key": 1 << 16}, {"bits_per_key": 1 << 16}, {"bits_per_key": 1}])
+def test_blocks_and_segments_of_any_size_give_the_same(make_docs, bounds):
     rng = np.random.default_rng(0)
     rows = ROWS * 3 + [(100 + i, "\n".join(f"this line has the number {int(n)} in its text" for n in rng.integers(0, 400, 8)), "en", "a") for i in range(150)]
-    assert result(linededup.dedup_lines(make_docs(rows, 5), **bits)) == brute(rows)
+    assert result(linededup.dedup_lines(make_docs(rows, 5), **bounds)) == brute(rows)
+
+
+def keyed(docs, block_keys):
+    chosen = docs.select(F.col("doc_id").alias("id"), F.unhex(F.md5("text")).alias("mark"), "text")
+    return linededup._in_buckets(linededup._line_digests(chosen, 20, block_keys), 32)[0]
+
+
+def test_only_suspected_keys_move(make_docs):
+    """The keys are read in place; of 2,000 that are there once hardly any is suspected."""
+    rows = [(i, "\n".join([LINE, *(f"line {j} of document {i} is found nowhere else" for j in range(10))]), "en", "a") for i in range(200)]
+    lines = keyed(make_docs(rows, 4), 300)
+    found = linededup.suspected(lines, linededup.twice_seen(linededup.set_positions(lines, 1), 8), 1)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(block") == 1  # the answers; the other side is bucketed
+    assert plan.count("Exchange hashpartitioning(segment") == 1
+    assert 200 <= found.count() < 210
+
+
+def test_a_line_of_all_documents_moves_once_a_block(make_docs):
+    lines = keyed(make_docs([(i, LINE, "en", "a") for i in range(400)], 4), 50)
+    sent = linededup.set_positions(lines, 1).collect()
+    assert len(sent) == len({r["block"] for r in sent}) == 8
+    assert sum(len(r["bits"]) for r in sent) == 8 * 2 * 4
 
 
 def test_two_documents_are_the_least(make_docs):
