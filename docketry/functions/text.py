@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -43,6 +45,11 @@ def loose_upper(text: Column) -> Column:
     return F.translate(F.upper(text), " '", "")
 
 
+def first_contained(key: Column, options: Column, of: Callable[[Column], Column] = lambda option: option) -> Column:
+    """The first of an array of options whose squashed text, ``of`` it, a squashed key holds; null where it holds none."""
+    return F.get(F.filter(options, lambda option: F.contains(key, of(option))), F.lit(0))
+
+
 def clean_lines(lines: Column) -> Column:
     """Lines without white space at the ends, blank lines and page boilerplate."""
     return F.filter(F.transform(lines, trimmed), lambda x: (x != "") & ~x.rlike(fixed.BOILERPLATE_PATTERN))

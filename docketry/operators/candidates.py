@@ -73,7 +73,7 @@ def _swept(lines: Column, exact: Column) -> Column:
     blob = F.array_join(lines, " ")
     key = text.squash_lower(blob)
     found = {
-        field: F.element_at(F.concat(F.filter(F.array(*map(F.lit, options)), lambda o: F.contains(key, text.squash_lower(o))), F.array(F.lit(None).cast("string"))), 1)
+        field: text.first_contained(key, F.array(*map(F.lit, options)), text.squash_lower)
         for field, options in fixed.VOCABULARIES.items()
         if field != "fee_status"
     }

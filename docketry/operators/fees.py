@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed, text
-from .typing import authority
+from .typing import authority, first_stated
 
 
 def amount(blob: Column) -> Column:
@@ -37,7 +37,7 @@ def case_aggregates() -> dict[str, Column]:
     texts = F.transform(F.array_sort(F.collect_list(F.struct("number", "page_text"))), lambda p: p["page_text"])
     return {
         "blob": F.array_join(texts, " "),
-        "stated": F.min_by("stated_fee", F.when(F.col("stated_fee").isNotNull(), F.struct("authority", "number"))),
+        "stated": first_stated(F.col("stated_fee"), "authority", "number"),
         "unpaid_note": F.coalesce(F.bool_or("unpaid_note"), F.lit(False)),
     }
 

@@ -49,7 +49,7 @@ def best_rotation(readings: DataFrame, vocabulary: str) -> DataFrame:
     ``readings`` has a row for each angle with its lines; ``vocabulary`` is a pattern.
     """
     hits = F.regexp_extract_all(F.array_join("lines", " "), F.lit(f"({vocabulary})"), F.lit(1))
-    score = F.aggregate(hits, F.lit(0), lambda a, x: a + F.char_length(x))
+    score = F.aggregate(hits, F.lit(0).cast("long"), lambda a, x: a + F.char_length(x))
     scored = readings.withColumn("score", score)
     return scored.groupBy("case_id", "number").agg(F.max_by("angle", F.struct("score", -F.col("angle"))).alias("angle"), F.max("score").alias("score"))
 

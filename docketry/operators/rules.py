@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed, fuzzy, text, values
-from .typing import authority
+from .typing import authority, first_stated
 
 
 def reference_date(dates: DataFrame, column: str, since: int = 2000, least: int = 20, share: float = 0.95) -> DataFrame:
@@ -62,10 +62,10 @@ def page_signals(pages: DataFrame) -> DataFrame:
 
 def case_signals() -> dict[str, Column]:
     """Aggregates over the signals of a case's pages: the first note by number, the most trusted word on the hazard, any embargo."""
-    decided, hazard = F.col("decision").isNotNull(), F.col("hazard").isNotNull()
+    decided = F.col("decision").isNotNull()
     return {
         "note": F.min_by(F.struct("decision", "page_text"), F.when(decided, F.col("number"))),
-        "biohazard": F.min_by("hazard", F.when(hazard, F.struct(authority(F.col("doc_type")), "number"))),
+        "biohazard": first_stated(F.col("hazard"), authority(F.col("doc_type")), "number"),
         "embargo": F.bool_or("embargoed"),
     }
 

@@ -52,6 +52,23 @@ def anchor_weights(body: Column, anchors: dict = fixed.ANCHORS) -> Column:
     return F.array(*rows)
 
 
+def clear_winner(weights: Column) -> Column:
+    """A struct of the heaviest of ``anchor_weights``, ties to the smaller name, its weight and its margin over the next.
+
+    There is no kind unless the weight is enough and clear of the next.
+    """
+    ranked = F.array_sort(F.transform(weights, lambda x: F.struct((-x["weight"]).alias("less"), x["kind"].alias("kind"))))
+    first, second = F.get(ranked, F.lit(0)), F.get(ranked, F.lit(1))
+    weight, margin = -first["less"], second["less"] - first["less"]
+    clear = (weight >= fixed.ANCHOR_LEAST) & (margin >= fixed.ANCHOR_MARGIN)
+    return F.struct(F.when(clear, first["kind"]).alias("kind"), weight.alias("weight"), margin.alias("margin"))
+
+
+def first_stated(value: Column, *order: Column | str) -> Column:
+    """An aggregate: the value of the first row in that order that has one."""
+    return F.min_by(value, F.when(value.isNotNull(), F.struct(*order)))
+
+
 def classify(pages: DataFrame, out: str = "doc_type") -> DataFrame:
     """``pages`` with their type. Approximate stages run only on pages that the exact ones leave open."""
     kept = typing_lines(F.col("lines"), F.col("second_lines") if "second_lines" in pages.columns else None)

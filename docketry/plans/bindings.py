@@ -94,20 +94,20 @@ def conversation_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _one_of(options, at) -> Column:
+def one_of(options, at) -> Column:
     return F.get(F.array(*map(F.lit, options)), at.cast("int"))
 
 
 def made_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A case a customer: every field from the customer's number, so that what a plan reads off its pages is known."""
     k = F.col("c_custkey")
-    name = F.concat(_one_of(fixed.NAMES, k % 144), F.lit(" "), _one_of(fixed.NAMES, (k * 7 + 3) % 144))
+    name = F.concat(one_of(fixed.NAMES, k % 144), F.lit(" "), one_of(fixed.NAMES, (k * 7 + 3) % 144))
     number = F.lpad((k * 31 % 10_000).cast("string"), 4, "0")
-    first, second = _one_of(fixed.FLAGS, k % 8), _one_of(fixed.FLAGS, F.floor(k / 8) % 8)
+    first, second = one_of(fixed.FLAGS, k % 8), one_of(fixed.FLAGS, F.floor(k / 8) % 8)
     return table(spark, sf_dir, "customer").select(
         k.alias("k"), F.concat(F.lit("MIB-"), F.lpad(k.cast("string"), 6, "0")).alias("case_id"), name.alias("applicant_name"),
-        _one_of(fixed.SPECIES, k % 12).alias("species_code"), F.when(k % 29 != 0, _one_of(fixed.WORLDS, k % 13)).alias("home_world"),
-        _one_of(fixed.VISAS, k % 5).alias("visa_class"), _one_of(fixed.PURPOSES, k % 10).alias("declared_purpose"),
+        one_of(fixed.SPECIES, k % 12).alias("species_code"), F.when(k % 29 != 0, one_of(fixed.WORLDS, k % 13)).alias("home_world"),
+        one_of(fixed.VISAS, k % 5).alias("visa_class"), one_of(fixed.PURPOSES, k % 10).alias("declared_purpose"),
         F.when(k % 9 == 0, None).when(k % 17 == 0, fixed.REVOKED_SPONSORS[0]).otherwise(F.concat(F.lit("SPN-"), number)).alias("sponsor_id"),
         F.when(k % 23 != 0, F.date_add(F.lit("2025-01-01").cast("date"), (k * 13 % 420).cast("int"))).cast("string").alias("arrival_date"),
         F.when(k % 3 != 0, F.when(k % 7 == 0, first).when(k % 7 == 1, F.concat(first, F.lit(", "), second)).otherwise("none")).alias("flags"),
@@ -129,7 +129,7 @@ def made_pages(spark: SparkSession, sf_dir: str, worn: bool = False) -> DataFram
     label = lambda name, of: F.concat(F.lit(f"{name}: "), of)
     scanned = k % 5 == 0
     echoed = scanned & (k % 10 == 5)
-    decision = _one_of(("DENIED", "NEEDS REVIEW", "APPROVED"), F.floor(k / 10) % 3)
+    decision = one_of(("DENIED", "NEEDS REVIEW", "APPROVED"), F.floor(k / 10) % 3)
     form = [
         bad(k % 21 == 4, F.lit("FORM I-8090: Extraterrestrial Work Authorization Intake"), F.lit("F0RM I-809O: Extraterrestria1 W0rk Auth0rization 1ntake")),
         bad(smudged, label("Applicant", F.col("applicant_name")), label("App1icant", F.col("applicant_name"))),

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..functions import fixed
-from .packet_queries import FIELDS, RECEIVED
+from .packet_queries import FIELDS, FINDINGS, PANEL_FLAGS, RECEIVED, VOTED
 
 
 def _list(options) -> str:
@@ -37,7 +37,7 @@ hazards AS (
   SELECT case_id, CASE WHEN list_contains(flags, 'biohazard_red') OR k % 11 = 0 THEN 'adverse' WHEN k % 11 = 1 THEN 'clean' END AS biohazard
   FROM made WHERE slip)"""
 
-_WITH = f"WITH {_PARTS}"
+WITH_MADE = f"WITH {_PARTS}"
 
 _PAGES = """
 pages_of AS (
@@ -128,19 +128,19 @@ _CANONICAL = "\n  UNION ALL ".join(
 )
 
 ORACLES = {
-    "packet_decisions": f"""{_WITH}, {_DECIDED}
+    "packet_decisions": f"""{WITH_MADE}, {_DECIDED}
 SELECT case_id, applicant_name, species_code, coalesce(home_world, '') AS home_world, visa_class, coalesce(sponsor_id, '{fixed.SENTINEL_SPONSOR}') AS sponsor_id,
   coalesce(arrival_date, '{fixed.SENTINEL_DATE}') AS arrival_date, declared_purpose, CASE WHEN len(flags) = 0 THEN 'none' ELSE array_to_string(flags, '|') END AS risk_flags,
   fee AS fee_status, CASE WHEN note IS NOT NULL THEN note WHEN len(denials) > 0 THEN 'DENIED' WHEN len(reviews) > 0 THEN 'NEEDS_REVIEW' ELSE 'APPROVED' END AS adjudication,
   CASE WHEN note IS NOT NULL THEN 'adjudicator_note' WHEN len(denials) > 0 THEN denials[1] WHEN len(reviews) > 0 THEN reviews[1] ELSE 'clean' END AS reason
 FROM buckets""",
-    "injected_lines": f"""{_WITH}
+    "injected_lines": f"""{WITH_MADE}
 SELECT case_id, CASE WHEN k % 20 <> 15 THEN 2::INTEGER END AS number, concat_ws('|', 'FORM B-13 Biometric Scan Slip', 'Applicant: ' || applicant_name,
   'Observed flags: ' || CASE k % 7 WHEN 0 THEN flags[1] WHEN 1 THEN {_list(fixed.FLAGS)}[k % 8 + 1] || ', ' || {_list(fixed.FLAGS)}[k // 8 % 8 + 1] ELSE 'none' END,
   CASE k % 11 WHEN 0 THEN 'Biohazard screen: positive' WHEN 1 THEN 'Biohazard screen: clear' END) AS "left"
 FROM made WHERE slip AND k % 5 = 0
 UNION ALL SELECT case_id, 2, 'A second page of one number' FROM made WHERE slip AND k % 20 = 10""",
-    "blind_report": f"""{_WITH}, {_PAGES},
+    "blind_report": f"""{WITH_MADE}, {_PAGES},
 retyped AS (
   SELECT kind AS truth, CASE WHEN kind = 'registry_extract' AND k % 13 = 7 OR kind = 'adjudicator_note' AND k % 10 = 8 OR kind = 'fee_receipt' AND k % 4 = 0 THEN 'unknown' ELSE kind END AS blind
   FROM pages_of WHERE NOT (kind = 'biometric_slip' AND k % 5 = 0))
@@ -148,7 +148,7 @@ SELECT truth, count(*) AS pages, count(*) FILTER (WHERE blind <> 'unknown') AS t
   round(count(*) FILTER (WHERE blind <> 'unknown') / count(*), 4) AS coverage,
   round(count(*) FILTER (WHERE blind = truth) / nullif(count(*) FILTER (WHERE blind <> 'unknown'), 0), 4) AS "precision"
 FROM retyped GROUP BY truth""",
-    "recoverable_fields": f"""{_WITH}, truths AS ({_READ_FIELDS}),
+    "recoverable_fields": f"""{WITH_MADE}, truths AS ({_READ_FIELDS}),
 cued AS (
   SELECT t.field, t.k, CASE t.field
     WHEN 'home_world' THEN m.home_world IS NOT NULL OR m.k % 13 IN (5, 6, 7)
@@ -158,7 +158,7 @@ cued AS (
   FROM truths t JOIN made m USING (case_id))
 SELECT field, count(*) FILTER (WHERE k % 7 <> 3) AS "right", count(*) AS cued, round(count(*) FILTER (WHERE k % 7 <> 3) / count(*), 4) AS share
 FROM cued WHERE shown GROUP BY field""",
-    "ranked_candidates": f"""{_WITH}, rows_ AS (
+    "ranked_candidates": f"""{WITH_MADE}, rows_ AS (
   SELECT case_id, 'applicant_name' AS field, applicant_name AS value, 3 AS rank, 1 AS page, 'intake_form' AS doc_type FROM made
   UNION ALL SELECT case_id, 'applicant_name', applicant_name, 1, 2, 'biometric_slip' FROM made WHERE slip
   UNION ALL SELECT case_id, 'applicant_name', applicant_name, 4, 4, 'registry_extract' FROM made WHERE k % 13 IN (5, 6)
@@ -166,23 +166,28 @@ FROM cued WHERE shown GROUP BY field""",
   UNION ALL SELECT case_id, 'visa_class', visa_class, 2, 1, 'intake_form' FROM made
   UNION ALL SELECT case_id, 'visa_class', 'TRANSIT-7', 0, 1, 'manual_correction' FROM made WHERE k % 15 = 2)
 SELECT case_id, field, value, rank::INTEGER AS rank, page::INTEGER AS page, doc_type FROM rows_""",
-    "second_readings": f"""{_WITH}
+    "second_readings": f"""{WITH_MADE}
 SELECT case_id, 'home_world' AS field, home_world AS value, 3::INTEGER AS rank, false AS exact, 1::INTEGER AS page FROM made WHERE k % 12 = 3 AND home_world IS NOT NULL""",
-    "worn_types": f"""{_WITH}, {_PAGES}
+    "worn_types": f"""{WITH_MADE}, {_PAGES}
 SELECT kind AS made_type, kind AS doc_type, count(*) AS n FROM pages_of GROUP BY kind""",
-    "labelled_lines": f"{_WITH}\n{_FORM_FIELDS}",
-    "normalized_fields": f"{_WITH}\n{_CANONICAL}",
+    "labelled_lines": f"{WITH_MADE}\n{_FORM_FIELDS}",
+    "normalized_fields": f"{WITH_MADE}\n{_CANONICAL}",
     "coerced_values": """
 SELECT c_custkey, CASE WHEN c_custkey % 4 < 3 THEN 'SPN-' || lpad((c_custkey % 10000)::VARCHAR, 4, '0') END AS sponsor, 'MIB-' || lpad(c_custkey::VARCHAR, 6, '0') AS case_no,
   ['APPROVED', 'DENIED', 'NEEDS_REVIEW', 'NEEDS_REVIEW', 'NEEDS_REVIEW', NULL][c_custkey % 6 + 1] AS decision,
   ['', 'active_warrant|sponsor_mismatch', 'biohazard_red'][c_custkey % 3 + 1] AS flags
 FROM customer""",
-    "stated_fees": f"""{_WITH}
+    "stated_fees": f"""{WITH_MADE}
 SELECT case_id, CASE WHEN k % 4 = 2 THEN 'unpaid' END AS stated, false AS unpaid_note, CASE k % 4 WHEN 0 THEN 1250.0::DOUBLE WHEN 1 THEN 0.0::DOUBLE END AS amount,
   CASE WHEN k % 8 = 5 THEN 'W-' || k END AS code
 FROM made""",
-    "biohazard_states": f"{_WITH}, {_STATES} SELECT * FROM hazards WHERE biohazard IS NOT NULL",
-    "registry_signals": f"{_WITH} SELECT case_id, embargo FROM made",
-    "note_decisions": f"{_WITH} SELECT case_id, note AS note_decision FROM made WHERE note IS NOT NULL",
+    "biohazard_states": f"{WITH_MADE}, {_STATES} SELECT * FROM hazards WHERE biohazard IS NOT NULL",
+    "registry_signals": f"{WITH_MADE} SELECT case_id, embargo FROM made",
+    "note_decisions": f"{WITH_MADE} SELECT case_id, note AS note_decision FROM made WHERE note IS NOT NULL",
     "rule_arms": _ARMS,
+    "flag_panels": f"""
+WITH p AS (SELECT c_custkey, {_list(PANEL_FLAGS)}[c_custkey % 7 + 1] AS a, {_list(PANEL_FLAGS)}[c_custkey // 7 % 7 + 1] AS b FROM customer)
+SELECT c_custkey, CASE WHEN c_custkey % 6 IN (0, 4) THEN '' WHEN c_custkey % 4 = 0 THEN array_to_string(list_sort(list_distinct([a, b])), '|') ELSE a END AS flags FROM p""",
+    "label_votes": f"SELECT c_custkey, CASE WHEN c_custkey % 7 >= 3 THEN {_list(VOTED)}[c_custkey // 7 % 6 + 1] END AS kind FROM customer",
+    "damaged_findings": f"SELECT c_custkey, nullif({_list(said or '' for _, said in FINDINGS)}[c_custkey % 6 + 1], '') AS decision FROM customer",
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import fixed, text, values
+from ..functions import fixed, fuzzy, text, values
 from ..operators import candidates, fees, rules, score, similar, typing
 from ..sources.shared import materialised
 from ..sources.tables import table
@@ -13,6 +13,16 @@ from . import bindings, packets
 
 #: The day that stands for the date of receipt in ``rule_arms``.
 RECEIVED = "2026-06-01"
+#: Flags on made panels; the name of the one left out holds a word that ends a panel.
+PANEL_FLAGS = tuple(f for f in fixed.FLAGS if f != "illegible_biometrics")
+#: Findings as they are found on damaged notes, with what each states.
+FINDINGS = (
+    ("Finding. DENIED on all counts", "DENIED"), ("F1ND1NG APPROVED", "APPROVED"), ("remarks; FINDING NEEDS REVEW", "NEEDS_REVIEW"),
+    ("the FIND1NG: D3NIED today", "DENIED"), ("Nothing was settled", None), ("FINDING: see overleaf", None),
+)
+#: Labels on made pages without a title or readable content; the last three kinds of page are left open.
+VOTED = ("intake_form", "biometric_slip", "registry_extract", "fee_receipt", "adjudicator_note", "sponsor_letter")
+UNCLEAR = ("CASEID", "WAIVERCODE 11 FINDING", "")
 FIELDS = ("applicant_name", "species_code", "home_world", "visa_class", "sponsor_id", "arrival_date", "declared_purpose")
 
 
@@ -150,3 +160,35 @@ def similar_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     entries = cases.groupBy(name.alias("entry")).agg(F.min("k").alias("first"))
     found = similar.nearest_entries(worn, entries, "worn", "entry", "first", 0.8)
     return worn.join(found, worn["worn"] == found["value"], "left").select("case_id", "worn", "entry", F.round("ratio", 4).alias("ratio"))
+
+
+def flag_panels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flags that damaged panels state: letters gone, a damaged or lost label, a panel cut out, lines that follow it."""
+    k = F.col("c_custkey")
+    worn = lambda flag: F.overlay(F.upper(flag), F.lit("0"), F.lit(4))
+    first, second = bindings.one_of(PANEL_FLAGS, k % 7), bindings.one_of(PANEL_FLAGS, F.floor(k / 7) % 7)
+    both = lambda of: F.when(k % 4 == 0, F.concat(of(first), F.lit(", "), of(second))).otherwise(of(first))
+    said = lambda label, of: F.array(F.lit("Scan of panel 3"), F.concat(F.lit(label), of))
+    lines = (
+        F.when(k % 6 == 0, said("Observed flags: ", F.lit("none")))
+        .when(k % 6 == 1, said("Observed flags: ", both(worn)))
+        .when(k % 6 == 2, said("Observd f1ags: ", both(F.upper)))
+        .when(k % 6 == 3, F.array(both(worn)))
+        .when(k % 6 == 4, said("Observed flags: ", F.lit("white out")))
+        .otherwise(F.concat(said("Observed flags: ", both(F.upper)), F.array(F.lit("Scan image on file, active warrant desk"))))
+    )
+    return table(spark, sf_dir, "customer").select("c_custkey", F.array_join(fuzzy.panel_udf(lines), "|").alias("flags"))
+
+
+def label_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forms by their damaged labels alone; some pages have too few, or those of two forms."""
+    k = F.col("c_custkey")
+    labels = [F.lit(" 12 ".join(f"{t[:3]}Q{t[4:]}" for t, _ in fixed.ANCHORS[kind][:3])) for kind in VOTED]
+    shown = F.when(k % 7 < 3, bindings.one_of(UNCLEAR, k % 7)).otherwise(F.get(F.array(*labels), (F.floor(k / 7) % 6).cast("int")))
+    return table(spark, sf_dir, "customer").select("c_custkey", fuzzy.anchor_udf(text.squash_upper(F.concat(F.lit("7 "), shown))).alias("kind"))
+
+
+def damaged_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What damaged notes decide, by the place of their damaged label."""
+    shown = bindings.one_of([found for found, _ in FINDINGS], F.col("c_custkey") % 6)
+    return table(spark, sf_dir, "customer").select("c_custkey", fuzzy.decision_udf(shown).alias("decision"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import fixed, fuzzy, text, values
-from ..operators import calibrate, candidates, order, output, resolve, rules, score, typing
+from ..operators import calibrate, candidates, order, output, raster, resolve, rules, score, typing
 from ..operators.containment import held_passages
 from ..sources import evidence
 from ..sources.shared import shared_dir
@@ -108,10 +108,7 @@ def anchor_vote(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weighted label vote with a margin over the runner-up."""
     docs = table(spark, sf_dir, "documents").select("doc_id", text.squash_upper(F.coalesce("text", F.lit(""))).alias("body"))
     docs = docs.select("doc_id", typing.anchor_weights(F.col("body"), DOC_ANCHORS).alias("w"))
-    ranked = docs.withColumn("w", F.array_sort(F.transform("w", lambda x: F.struct((-x["weight"]).alias("less"), x["kind"].alias("kind")))))
-    top, second = -F.col("w")[0]["less"], -F.col("w")[1]["less"]
-    clear = (top >= fixed.ANCHOR_LEAST) & (top - second >= fixed.ANCHOR_MARGIN)
-    return ranked.select("doc_id", F.when(clear, F.col("w")[0]["kind"]).alias("kind"), top.alias("weight"), (top - second).alias("margin"))
+    return docs.select("doc_id", typing.clear_winner(F.col("w")).alias("won")).select("doc_id", "won.*")
 
 
 def boilerplate_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,8 +128,7 @@ def note_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     labelled = F.nullif(F.regexp_extract("text", r"([A-Z][a-z]+)\.\n", 1), F.lit(""))
     bare = F.nullif(F.regexp_extract("text", r"^([A-Z][a-z]+)", 1), F.lit(""))
     pages = bindings.conversation_pages(spark, sf_dir).withColumn("stated", F.coalesce(labelled, bare))
-    order = F.when(F.col("stated").isNotNull(), F.struct("authority", "number"))
-    return pages.groupBy(F.col("case_id").alias("conv_id")).agg(F.min_by("stated", order).alias("stated"))
+    return pages.groupBy(F.col("case_id").alias("conv_id")).agg(typing.first_stated(F.col("stated"), "authority", "number").alias("stated"))
 
 
 def authority_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,16 +151,14 @@ def prefer_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lexicon_support(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of each part's name that the vocabulary (adjectives crossed with nouns) knows."""
-    known = F.array(*map(F.lit, ADJECTIVES + NOUNS))
-    support = F.size(F.filter(F.split("p_name", r"\s+"), lambda t: F.array_contains(known, t)))
+    support = values.lexicon_support(F.lit("applicant_name"), F.col("p_name"), ADJECTIVES + NOUNS)
     return table(spark, sf_dir, "part").select("p_partkey", support.cast("long").alias("support"))
 
 
 def snap_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first noun that a part's squashed name and type hold."""
     key = text.squash_lower(F.concat("p_name", F.lit(" "), F.col("p_type")))
-    hits = F.filter(F.array(*map(F.lit, NOUNS)), lambda o: F.contains(key, o))
-    return table(spark, sf_dir, "part").select("p_partkey", F.when(F.size(hits) > 0, hits[0]).alias("noun"))
+    return table(spark, sf_dir, "part").select("p_partkey", text.first_contained(key, F.array(*map(F.lit, NOUNS))).alias("noun"))
 
 
 def snap_fuzzy(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -183,8 +177,8 @@ def sweep_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     body = F.coalesce(F.col("text"), F.lit(""))
     docs = table(spark, sf_dir, "documents").select("doc_id", text.squash_lower(body).alias("key"), values.iso_date(body).alias("date"), F.nullif(F.regexp_extract(body, r"\b(\d{4})\b", 1), F.lit("")).alias("number"))
     joined = docs.crossJoin(F.broadcast(nations))  # one row: the whole vocabulary
-    hits = F.filter("nations", lambda n: F.contains(F.col("key"), n["key"]))
-    return joined.select("doc_id", F.when(F.size(hits) > 0, hits[0]["n_nationkey"]).alias("nation"), "date", "number")
+    first = text.first_contained(F.col("key"), F.col("nations"), lambda n: n["key"])
+    return joined.select("doc_id", first["n_nationkey"].alias("nation"), "date", "number")
 
 
 def flag_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -418,10 +412,10 @@ def run_durations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def vocabulary_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Length of all vocabulary hits of a document, as an orientation score, and the best of a source."""
-    hits = F.regexp_extract_all(text.ascii_only(F.coalesce("text", F.lit(""))), F.lit(r"\b(the|and|les|des|und|der|los|que)\b"), F.lit(1))
-    length = F.aggregate(hits, F.lit(0).cast("long"), lambda a, x: a + F.char_length(x))
-    docs = table(spark, sf_dir, "documents").select("doc_id", "source", length.alias("score"))
-    return docs.groupBy("source").agg(F.max_by("doc_id", F.struct("score", -F.col("doc_id"))).alias("best"), F.max("score").alias("score"))
+    lines = F.array(text.ascii_only(F.coalesce("text", F.lit(""))))
+    docs = table(spark, sf_dir, "documents").select(F.col("source").alias("case_id"), F.lit(1).alias("number"), F.col("doc_id").alias("angle"), lines.alias("lines"))
+    best = raster.best_rotation(docs, r"\b(?:the|and|les|des|und|der|los|que)\b")
+    return best.select(F.col("case_id").alias("source"), F.col("angle").alias("best"), "score")
 
 
 def identity_conflict(spark: SparkSession, sf_dir: str) -> DataFrame:
