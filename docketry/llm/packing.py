@@ -4,8 +4,10 @@ A document's ids are cut into pieces whose lengths are powers of two: as many of
 fit, then the binary digits of what is left, largest first. Each piece is a sequence of its own in
 the bucket of its length, so no sequence crosses documents and none is padded.
 
-Edge cases: a null or empty text is the end id alone, one piece of one token; repeated rows are
-packed each; an empty table gives an empty result; very long texts are encoded in bounded pieces.
+Edge cases: a null or empty text is the end id alone, one piece of one token; rows with a null id are
+packed like any other; repeated rows are packed each; equal lengths (ties) are sequences of one bucket
+with numbers of their own; an empty table gives an empty result; very long texts are encoded in bounded
+pieces; only the id and the text are read, so other columns can't clash with those of the result.
 """
 
 from __future__ import annotations
