@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..operators import calibrate, fees, rules
+from ..sources.shared import tasks_for
 from ..sources.tables import table
 
 #: Days after which a case of these tables is stale; the orders span years, not months.
@@ -98,13 +99,19 @@ def one_of(options, at) -> Column:
     return F.get(F.array(*map(F.lit, options)), at.cast("int"))
 
 
+def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customers' numbers, dealt to as many tasks as a shuffle has: a small file is one task, the work on what is made of a row is not small."""
+    keys = table(spark, sf_dir, "customer").select("c_custkey")
+    return keys.repartition(tasks_for(keys))
+
+
 def made_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A case a customer: every field from the customer's number, so that what a plan reads off its pages is known."""
     k = F.col("c_custkey")
     name = F.concat(one_of(fixed.NAMES, k % 144), F.lit(" "), one_of(fixed.NAMES, (k * 7 + 3) % 144))
     number = F.lpad((k * 31 % 10_000).cast("string"), 4, "0")
     first, second = one_of(fixed.FLAGS, k % 8), one_of(fixed.FLAGS, F.floor(k / 8) % 8)
-    return table(spark, sf_dir, "customer").select(
+    return customers(spark, sf_dir).select(
         k.alias("k"), F.concat(F.lit("MIB-"), F.lpad(k.cast("string"), 6, "0")).alias("case_id"), name.alias("applicant_name"),
         one_of(fixed.SPECIES, k % 12).alias("species_code"), F.when(k % 29 != 0, one_of(fixed.WORLDS, k % 13)).alias("home_world"),
         one_of(fixed.VISAS, k % 5).alias("visa_class"), one_of(fixed.PURPOSES, k % 10).alias("declared_purpose"),
@@ -166,11 +173,10 @@ def made_pages(spark: SparkSession, sf_dir: str, worn: bool = False) -> DataFram
         F.when(has, F.struct(F.lit(i).alias("number"), F.lit(kind).alias("made_type"), F.array_compact(F.array(*lines)).alias("lines")))
         for i, (kind, has, lines) in enumerate(parts, 1)
     ]
-    pages = made_cases(spark, sf_dir).select("k", "case_id", F.explode(F.array_compact(F.array(*page))).alias("page")).select("k", "case_id", "page.*")
+    world = F.array_compact(F.array(F.when(k % 12 == 3, label("Home World", F.col("home_world"))))).alias("world")
+    pages = made_cases(spark, sf_dir).select("k", "case_id", world, F.explode(F.array_compact(F.array(*page))).alias("page")).select("k", "case_id", "world", "page.*")
     on_slip = F.col("made_type") == "biometric_slip"
     if worn:
-        world = made_cases(spark, sf_dir).select("case_id", F.array_compact(F.array(F.when(k % 12 == 3, label("Home World", F.col("home_world"))))).alias("world"))
-        pages = pages.join(world, "case_id")
         again = F.when(F.col("made_type") == "intake_form", F.col("world")).when(on_slip & scanned, F.slice("lines", 1, 2)).otherwise(none)
         other = F.when((F.col("made_type") == "fee_receipt") & (k % 16 == 2), F.array(F.lit("Fee Status: unpaid"), F.lit("MIB Fee Receipt"))).otherwise(none)
     else:

@@ -177,7 +177,7 @@ def flag_panels(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(k % 6 == 4, said("Observed flags: ", F.lit("white out")))
         .otherwise(F.concat(said("Observed flags: ", both(F.upper)), F.array(F.lit("Scan image on file, active warrant desk"))))
     )
-    return table(spark, sf_dir, "customer").select("c_custkey", F.array_join(fuzzy.panel_udf(lines), "|").alias("flags"))
+    return bindings.customers(spark, sf_dir).select("c_custkey", F.array_join(fuzzy.panel_udf(lines), "|").alias("flags"))
 
 
 def label_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
