@@ -185,7 +185,7 @@ def label_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("c_custkey")
     labels = [F.lit(" 12 ".join(f"{t[:3]}Q{t[4:]}" for t, _ in fixed.ANCHORS[kind][:3])) for kind in VOTED]
     shown = F.when(k % 7 < 3, bindings.one_of(UNCLEAR, k % 7)).otherwise(F.get(F.array(*labels), (F.floor(k / 7) % 6).cast("int")))
-    return table(spark, sf_dir, "customer").select("c_custkey", fuzzy.anchor_udf(text.squash_upper(F.concat(F.lit("7 "), shown))).alias("kind"))
+    return bindings.customers(spark, sf_dir).select("c_custkey", fuzzy.anchor_udf(text.squash_upper(F.concat(F.lit("7 "), shown))).alias("kind"))
 
 
 def damaged_findings(spark: SparkSession, sf_dir: str) -> DataFrame:

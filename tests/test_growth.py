@@ -26,3 +26,20 @@ def test_panels_are_read_once_a_distinct_panel(monkeypatch):
 def test_customers_are_dealt_to_the_tasks_of_a_shuffle(spark, sf_dir):
     assert spark.read.parquet(f"{sf_dir}/customer.parquet").rdd.getNumPartitions() == 1
     assert bindings.customers(spark, sf_dir).rdd.getNumPartitions() >= 4
+
+
+def test_a_text_without_a_long_run_is_not_matched(monkeypatch):
+    calls = counted(monkeypatch, "longest_run")
+    assert fuzzy.contains_score("NOTHINGOFTHEKINDISWRITTENHERE", "WAIVERCODE", 0.7) == 0.0
+    assert fuzzy.contains_score("THEWAIVERCODEIS", "WAIVERCODE", 0.7) == 1.0
+    assert calls == []
+    assert fuzzy.contains_score("THEWAIVFRCODEIS", "WAIVERCODE", 0.7) == 0.9
+    whole = "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"  # a shifted window of a long token is above 0.97 before it
+    assert fuzzy.contains_score("--" + whole, whole, 0.7) == 35 / 36
+    assert len(calls) == 2
+
+
+def test_bodies_are_voted_on_once_a_distinct_body(monkeypatch):
+    calls = counted(monkeypatch, "anchor_vote")
+    assert fuzzy.anchor_udf.func(pd.Series(["FEESTATUS 12 WAIVERCODE", None] * 50)).tolist() == ["fee_receipt", None] * 50
+    assert len(calls) == 1
