@@ -43,3 +43,9 @@ def test_bodies_are_voted_on_once_a_distinct_body(monkeypatch):
     calls = counted(monkeypatch, "anchor_vote")
     assert fuzzy.anchor_udf.func(pd.Series(["FEESTATUS 12 WAIVERCODE", None] * 50)).tolist() == ["fee_receipt", None] * 50
     assert len(calls) == 1
+
+
+def test_findings_are_read_once_a_distinct_text(monkeypatch):
+    calls = counted(monkeypatch, "decision_after_label")
+    assert fuzzy.decision_udf.func(pd.Series(["F1NDING DENIED", None] * 50)).tolist() == ["DENIED", None] * 50
+    assert len(calls) == 1
