@@ -46,8 +46,12 @@ def loose_upper(text: Column) -> Column:
 
 
 def first_contained(key: Column, options: Column, of: Callable[[Column], Column] = lambda option: option) -> Column:
-    """The first of an array of options whose squashed text, ``of`` it, a squashed key holds; null where it holds none."""
-    return F.get(F.filter(options, lambda option: F.contains(key, of(option))), F.lit(0))
+    """The first of an array of options whose squashed text, ``of`` it, a squashed key holds; null where it holds none.
+
+    The key is bound first: an expression inside the filter would be evaluated for every option.
+    """
+    first = lambda bound: F.get(F.filter(options, lambda option: F.contains(bound, of(option))), F.lit(0))
+    return F.get(F.transform(F.array(key), first), F.lit(0))
 
 
 def clean_lines(lines: Column) -> Column:

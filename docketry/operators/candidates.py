@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import fixed, text, values
+from ..functions import fixed, fuzzy, text, values
 from ..sources.shared import materialised, tasks_for
 from .typing import authority
 
@@ -71,13 +71,13 @@ _TYPE = "array<struct<step:int,kind:int,line_no:int,match_no:int,exact:boolean,d
 def _swept(lines: Column, exact: Column) -> Column:
     """Values found without a label, canonical already: entries of closed vocabularies, numbers, dates."""
     blob = F.array_join(lines, " ")
-    key = text.squash_lower(blob)
-    found = {
-        field: text.first_contained(key, F.array(*map(F.lit, options)), text.squash_lower)
-        for field, options in fixed.VOCABULARIES.items()
-        if field != "fee_status"
-    }
-    found |= {"sponsor_id": values.sponsor_id(blob), "arrival_date": values.iso_date(blob)}
+    options = {field: F.array(*[F.struct(F.lit(o).alias("name"), F.lit(fuzzy.squash(o)).alias("key")) for o in of]) for field, of in fixed.VOCABULARIES.items() if field != "fee_status"}
+
+    def listed(key: Column) -> Column:
+        return F.struct(*[text.first_contained(key, of, lambda o: o["key"])["name"].alias(field) for field, of in options.items()])
+
+    named = F.get(F.transform(F.array(text.squash_lower(blob)), listed), F.lit(0))
+    found = {field: named[field] for field in options} | {"sponsor_id": values.sponsor_id(blob), "arrival_date": values.iso_date(blob)}
     return F.array(*[_stated(step=3, kind=3, exact=exact, demoted=1, field=f, raw=v) for f, v in found.items()])
 
 

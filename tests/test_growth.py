@@ -5,7 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import functions as F
 
-from docketry.functions import fuzzy
+from docketry.functions import fuzzy, text
 from docketry.plans import bindings
 from docketry.sources.shared import tasks_for
 
@@ -49,3 +49,23 @@ def test_findings_are_read_once_a_distinct_text(monkeypatch):
     calls = counted(monkeypatch, "decision_after_label")
     assert fuzzy.decision_udf.func(pd.Series(["F1NDING DENIED", None] * 50)).tolist() == ["DENIED", None] * 50
     assert len(calls) == 1
+
+
+def test_a_join_is_not_taken_for_the_product_of_its_sides(spark, tmp_path):
+    rows = spark.range(100_000).select(F.col("id"), F.lit("x" * 50).alias("text"))
+    rows.write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    assert tasks_for(rows.join(rows.withColumnRenamed("text", "other"), "id").join(rows.withColumnRenamed("text", "third"), "id")) == 4
+
+
+def test_pages_of_a_case_come_from_one_scan(spark, sf_dir):
+    plan = bindings.made_pages(spark, sf_dir, worn=True)._jdf.queryExecution().optimizedPlan()
+    assert plan.collectLeaves().size() == 1
+
+
+def test_a_swept_key_is_bound_once_for_all_options(spark):
+    options = F.array(F.lit("ab"), F.lit("cd"))
+    seen = spark.range(1).select(text.first_contained(F.lower(F.concat(F.lit("X"), F.col("id").cast("string"), F.lit("CD"))), options).alias("x"))
+    filtered = seen._jdf.queryExecution().optimizedPlan().toString().split("lambdafunction(Contains(")
+    assert seen.first()["x"] == "cd"
+    assert len(filtered) == 2 and not filtered[1].startswith("lower")
