@@ -61,6 +61,25 @@ def prefer_clean(found: DataFrame, chosen: DataFrame, approximate: bool = True)
     return _replace(chosen, clean)
 
 
+def best_and_clean(found: DataFrame) -> DataFrame:
+    """``prefer_clean(found, best_by_authority(found), approximate=False)`` with one shuffle of the readings and no join.
+
+    A twin has the key of the chosen value, so it is enough to keep of each key its best reading and its
+    first exact one; the key with the best reading of all is the chosen one's.
+    """
+    inexact, has_seq = ~F.col("exact"), F.col("seq").isNotNull()
+    best = F.struct("rank", inexact.alias("inexact"), "page", "seq", "value", "doc_type")
+    clean = F.when(F.col("exact") & has_seq, F.struct("seq", "value", "rank", "page", "doc_type"))
+    dealt = found.repartition("case_id", "field").withColumn("key", text.squash_lower(F.col("value")))
+    keyed = dealt.groupBy("case_id", "field", "key").agg(F.min(best).alias("best"), F.min(clean).alias("clean"))
+    chosen = keyed.groupBy("case_id", "field").agg(F.min(F.struct("best", "key", "clean")).alias("won")).select("case_id", "field", "won.*")
+    damaged = (F.col("best.doc_type") != CORRECTION) & F.col("best.inexact") & F.col("field").isin(*VOTED)
+    taken = damaged & F.col("case_id").isNotNull() & F.col("key").isNotNull() & F.col("clean").isNotNull()
+    of = lambda c: F.when(taken, F.col(f"clean.{c}")).otherwise(F.col(f"best.{c}")).alias(c)
+    exact = F.when(taken, F.lit(True)).otherwise(~F.col("best.inexact")).alias("exact")
+    return chosen.select("case_id", "field", of("value"), of("rank"), exact, of("page"), of("doc_type"), of("seq"))
+
+
 def _replace(chosen: DataFrame, won: DataFrame) -> DataFrame:
     joined = chosen.join(won.select("case_id", "field", "won"), ["case_id", "field"], "left")
     columns = ("value", "rank", "exact", "page", "doc_type", "seq")

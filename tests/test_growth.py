@@ -6,6 +6,8 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from docketry.functions import fuzzy, text
+from docketry.operators import resolve
+from docketry.operators.candidates import CORRECTION
 from docketry.plans import bindings
 from docketry.sources.shared import tasks_for
 
@@ -69,3 +71,19 @@ def test_a_swept_key_is_bound_once_for_all_options(spark):
     filtered = seen._jdf.queryExecution().optimizedPlan().toString().split("lambdafunction(Contains(")
     assert seen.first()["x"] == "cd"
     assert len(filtered) == 2 and not filtered[1].startswith("lower")
+
+
+def test_best_and_clean_equals_the_joined_plan(spark):
+    rows = []
+    for case in (None, *range(1, 60)):
+        for field in ("sponsor_id", "risk_flags", None):
+            for i in range((case or 5) % 9):
+                value = ("A-1", "a1", "B 2", None, "b2", "")[((case or 0) * i + i) % 6]
+                exact = None if i == 7 else (i + (case or 0)) % 2 == 0
+                rows.append((case, field, value, ((case or 0) * 7 + i * 5) % 3, exact, i, CORRECTION if i == 6 else "form", (i,)))
+    found = spark.createDataFrame(rows, "case_id long, field string, value string, rank int, exact boolean, page int, doc_type string, seq struct<line:int>")
+    joined = resolve.prefer_clean(found, resolve.best_by_authority(found), approximate=False)
+    made = resolve.best_and_clean(found)
+    assert made.columns == joined.columns
+    assert sorted(map(str, made.collect())) == sorted(map(str, joined.collect()))
+    assert "Join" not in made._jdf.queryExecution().optimizedPlan().toString()
