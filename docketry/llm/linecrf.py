@@ -394,16 +394,27 @@ def _line_table(rows: DataFrame) -> DataFrame:
     return rows.select("h", F.col("label").cast("int").alias("label"), "text").mapInArrow(scan, "h long, label int, n long, features binary, lengths binary")
 
 
-def fit(labelled: DataFrame, most_docs: int = 4000, most_lines: int = 200_000, seed: int = 3) -> LineField:
+def fit(labelled: DataFrame, most_docs: int = 4000, most_lines: int = 200_000, seed: int = 3, texts: DataFrame | None = None) -> LineField:
     """Fit on (id, text, label) rows: a bounded sample of whole documents, gathered by the driver.
 
+    Where the texts are a table of their own, ``texts`` (id, text), ``labelled`` has (id, label): a row's
+    hashes with either label meet the labels, and the texts of the sample are found where they are.
+
     The sample has the rows with the smallest seeded hashes, ``most_docs`` at most; of these, in that
     order, those are taken that together have at most ``most_lines`` lines: a document with more than
     are left is passed over. Rows equal in id, text and label count once.
     """
     usable = labelled.where(F.col("label").isin(0, 1) & F.col("id").isNotNull())
-    usable = usable.withColumn("h", F.xxhash64(F.lit(seed), F.col("id"), F.col("text"), F.col("label")))
-    edge = usable.select("h").distinct().orderBy("h").limit(most_docs).agg(F.max("h")).first()[0]
+    hashed = lambda label: F.xxhash64(F.lit(seed), F.col("id"), F.col("text"), label)
+    if texts is None:
+        usable = ranked = usable.withColumn("h", hashed(F.col("label")))
+    else:
+        kind = labelled.schema["label"].dataType
+        digests = texts.select("id", *[hashed(F.lit(of).cast(kind)).alias(f"h{of}") for of in (0, 1)])
+        usable = usable.join(digests, "id").select("id", "label", F.when(F.col("label") == 1, F.col("h1")).otherwise(F.col("h0")).alias("h"))
+        ranked = written(usable.distinct().orderBy("h", "id", "label").limit(most_docs), "sample")
+        usable = texts.join(F.broadcast(ranked), "id").where(hashed(F.col("label")) == F.col("h"))
+    edge = ranked.select("h").distinct().orderBy("h").limit(most_docs).agg(F.max("h")).first()[0]
     if edge is None:
         return train(np.zeros((0, WIDTH), np.uint8), np.empty(0, np.int64), np.empty(0), np.empty(0, np.int64))
     table = written(_line_table(usable.where(F.col("h") <= F.lit(edge))), "lines")

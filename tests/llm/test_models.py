@@ -372,3 +372,16 @@ def test_languages_beyond_what_a_task_holds(make_docs):
 def test_letters_beyond_the_basic_plane():
     assert (langid.code_points("𐌰 1") != 32).any()
     assert not (langid.code_points("😀 ! 5") != 32).any()
+
+
+def test_quality_fit_leaves_texts_where_they_are(spark, monkeypatch):
+    rows = [(i % 90, "good words here\n" * (i % 7 + 1) if i % 2 else "x | y\n$$$ %\n" * (i % 5), i % 2) for i in range(120)] + [(91, None, 1), (None, "lost", 0)]
+    texts = spark.createDataFrame([(i, t) for i, t, _ in rows], "id long, text string")
+    labels = spark.createDataFrame(sorted({(i, y) for i, _, y in rows if i is not None}), "id long, label int")
+    seen = []
+    plain = linecrf._line_table
+    monkeypatch.setattr(linecrf, "_line_table", lambda rows: seen.append(rows._jdf.queryExecution().executedPlan().toString()) or plain(rows))
+    with_join = linecrf.fit(labels.join(texts, "id"), most_docs=40)
+    apart = linecrf.fit(labels, most_docs=40, texts=texts)
+    assert np.array_equal(with_join.weights, apart.weights) and with_join.offset == apart.offset
+    assert "BroadcastHashJoin" in seen[1] and "Exchange hashpartitioning" not in seen[1]
