@@ -87,3 +87,13 @@ def test_best_and_clean_equals_the_joined_plan(spark):
     assert made.columns == joined.columns
     assert sorted(map(str, made.collect())) == sorted(map(str, joined.collect()))
     assert "Join" not in made._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_heads_are_typed_once_a_distinct_head(monkeypatch):
+    calls = counted(monkeypatch, "best_heading")
+    assert fuzzy.heading_udf.func(pd.Series(["SPONSORATTESTATIONLETTFR", None] * 50)).tolist() == ["sponsor_letter", None] * 50
+    assert len(calls) == 1
+
+
+def test_made_pages_are_dealt_to_the_tasks_of_a_shuffle(spark, sf_dir):
+    assert bindings.made_pages(spark, sf_dir).rdd.getNumPartitions() >= 4
