@@ -36,6 +36,8 @@ def _prose_name(lines: Column) -> Column:
 #: What a page states, before labels are matched: where, and a line, a label with a value, or a field with one.
 _STATED = ("step", "kind", "line_no", "match_no", "exact", "demoted", "line", "label", "field", "raw", "doc_type")
 
+_SEEN = ("step", "kind", "line_no", "match_no", "exact", "demoted", "doc_type")
+
 
 def _stated(**have: Column | int | str | bool) -> Column:
     kinds = {"step": "int", "kind": "int", "line_no": "int", "match_no": "int", "exact": "boolean", "demoted": "int"}
@@ -68,44 +70,60 @@ def _corrections_stated(lines: Column, step: int, exact: Column) -> Column:
 _TYPE = "array<struct<step:int,kind:int,line_no:int,match_no:int,exact:boolean,demoted:int,line:string,label:string,field:string,raw:string,doc_type:string>>"
 
 
-def _swept(lines: Column, exact: Column) -> Column:
-    """Values found without a label, canonical already: entries of closed vocabularies, numbers, dates."""
-    blob = F.array_join(lines, " ")
-    options = {field: F.array(*[F.struct(F.lit(o).alias("name"), F.lit(fuzzy.squash(o)).alias("key")) for o in of]) for field, of in fixed.VOCABULARIES.items() if field != "fee_status"}
+def _with_sweep(pages: DataFrame) -> DataFrame:
+    """``pages`` with values found without a label, canonical already: entries of closed vocabularies, numbers, dates.
+
+    What several expressions need is a column of its own, so that it is made once a page.
+    """
+    joined = pages.withColumn("__blob", F.array_join("lines", " "))
+    keyed = joined.withColumns({"__key": text.squash_lower(F.col("__blob")), "__sponsor_id": values.sponsor_id(F.col("__blob")), **values.date_parts(F.col("__blob"))})
+    options = {field: of for field, of in fixed.VOCABULARIES.items() if field != "fee_status"}
+    listed = {f"__{field}": F.coalesce(*[F.when(F.contains("__key", F.lit(fuzzy.squash(o))), F.lit(o)) for o in of]) for field, of in options.items()}
+    return keyed.withColumns({**listed, "__arrival_date": values.date_of_parts()})
 
-    def listed(key: Column) -> Column:
-        return F.struct(*[text.first_contained(key, of, lambda o: o["key"])["name"].alias(field) for field, of in options.items()])
 
-    named = F.get(F.transform(F.array(text.squash_lower(blob)), listed), F.lit(0))
-    found = {field: named[field] for field in options} | {"sponsor_id": values.sponsor_id(blob), "arrival_date": values.iso_date(blob)}
-    return F.array(*[_stated(step=3, kind=3, exact=exact, demoted=1, field=f, raw=v) for f, v in found.items()])
+def _swept(exact: Column) -> Column:
+    """What ``_with_sweep`` found."""
+    fields = [*(f for f in fixed.VOCABULARIES if f != "fee_status"), "sponsor_id", "arrival_date"]
+    return F.array(*[_stated(step=3, kind=3, exact=exact, demoted=1, field=f, raw=F.col(f"__{f}")) for f in fields])
 
 
 def candidates(pages: DataFrame) -> DataFrame:
     """All readings of all cases. ``pages`` has case_id, number, doc_type, lines, source, ocr_lines and second_lines.
 
-    One pass: pages are ordered in their case once, each gives out all that it states, labels are matched
-    and values brought to their canonical form on that one stream of rows.
+    Pages are ordered in their case once, and each gives out all that it states. Labels are matched and values
+    brought to their canonical form once for each distinct statement, which its rows then meet.
     """
     pages = pages.select("case_id", "number", "doc_type", "lines", "source", "ocr_lines", "second_lines")
-    placed = by_authority(pages.repartition(tasks_for(pages), "case_id"))
+    tasks = tasks_for(pages)
+    placed = _with_sweep(by_authority(pages.repartition(tasks, "case_id")))
     exact, never = F.coalesce(F.col("source") == "text", F.lit(False)), F.lit(False)
     second = F.col("second_lines")
     everything = text.all_lines(F.col("lines"), F.col("ocr_lines"), second)
     stated = F.concat(
         _lines_stated(F.col("lines"), 1, exact, 0), _corrections_stated(everything, 1, exact), _lines_stated(second, 2, never, 1), _corrections_stated(second, 2, never),
-        F.array(_stated(step=3, exact=exact, demoted=1, field="applicant_name", raw=_prose_name(F.col("lines")))), _swept(F.col("lines"), exact),
+        F.array(_stated(step=3, exact=exact, demoted=1, field="applicant_name", raw=_prose_name(F.col("lines")))), _swept(exact),
     )
     useful = F.filter(stated, lambda r: r["raw"].isNotNull() | r["line"].isNotNull())
-    rows = placed.select("case_id", "number", F.col("doc_type").alias("on"), "authority", "place", F.explode(useful).alias("r")).select("case_id", "number", "on", "authority", "place", "r.*")
-    pair = F.get(values.label_and_value(F.when(F.col("kind") == 1, F.col("line"))), F.lit(0))
-    read = rows.withColumns({"__pair": pair, "__label": values.label(F.when(F.col("kind") == 2, F.col("label")))})
-    read = read.withColumns({"field": F.coalesce("__pair.field", "__label", "field"), "raw": F.coalesce("__pair.raw", F.when(F.col("kind") != 1, F.col("raw")))}).where("field is not null and raw is not null")
-    # Written, so that the expressions of a value stand over a plain table.
-    read = materialised(read.drop("__pair", "__label", "line", "label"), "readings")
+    what = F.struct("r.line", "r.label", "r.field", "r.raw").alias("said")
+    rows = placed.select("case_id", "number", F.col("doc_type").alias("on"), "authority", "place", F.explode(useful).alias("r"))
+    rows = materialised(rows.select("case_id", "number", "on", "authority", "place", what, *[f"r.{c}" for c in _SEEN]), "stated")
     swept = F.col("kind") == 3
-    value = F.when(swept, F.col("raw")).otherwise(values.normalized(F.when(~swept, F.col("field")), F.when(~swept, F.col("raw"))))
+    read = rows.where(~swept).join(_read(rows.where(~swept).select("said").distinct(), tasks), "said").drop("said")
+    found = read.unionByName(rows.where(swept).select("*", "said.field", F.col("said.raw").alias("value")).drop("said"))
     doc_type = F.coalesce("doc_type", "on")
     seq = F.struct("step", "place", F.when(swept, 0).otherwise(F.col("kind")).alias("kind"), F.col("line_no").alias("line"), F.col("match_no").alias("match"))
     rank = _rank(F.col("field"), doc_type, F.col("authority") + F.col("demoted"))
-    return read.withColumn("value", value).where("value is not null").select("case_id", "field", "value", rank.alias("rank"), "exact", F.col("number").alias("page"), doc_type.alias("doc_type"), seq.alias("seq"))
+    return found.select("case_id", "field", "value", rank.alias("rank"), "exact", F.col("number").alias("page"), doc_type.alias("doc_type"), seq.alias("seq"))
+
+
+def _read(said: DataFrame, tasks: int) -> DataFrame:
+    """(said, field, value) of the statements that name a field and have a value it can take, in ``tasks`` tasks: the matching is costly, not the rows."""
+    dealt = said.repartition(tasks).select("said", "said.*")
+    pair = F.get(values.label_and_value(F.col("line")), F.lit(0))
+    read = dealt.withColumns({"__pair": pair, "__label": values.label(F.col("label"))})
+    field, raw = F.coalesce("__pair.field", "__label", "field"), F.coalesce("__pair.raw", F.when(F.col("line").isNull(), F.col("raw")))
+    # Written, so that the expressions of a value stand over a plain table, and the join knows its size.
+    named = materialised(read.select("said", field.alias("field"), raw.alias("raw")), "readings").where("field is not null and raw is not null")
+    valued = named.repartition(tasks).select("said", "field", values.normalized(F.col("field"), F.col("raw")).alias("value"))
+    return materialised(valued, "values").where("value is not null")

@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from docketry.functions import fuzzy, text
-from docketry.operators import resolve
+from docketry.operators import candidates, resolve
 from docketry.operators.candidates import CORRECTION
 from docketry.plans import bindings
 from docketry.sources.shared import tasks_for
@@ -97,3 +97,16 @@ def test_heads_are_typed_once_a_distinct_head(monkeypatch):
 
 def test_made_pages_are_dealt_to_the_tasks_of_a_shuffle(spark, sf_dir):
     assert bindings.made_pages(spark, sf_dir).rdd.getNumPartitions() >= 4
+
+
+def test_a_statement_is_matched_once_however_many_pages_say_it(spark, monkeypatch):
+    """Labels and values are matched on distinct statements, not on the rows that make them."""
+    written, plain = {}, candidates.materialised
+    monkeypatch.setattr(candidates, "materialised", lambda df, name, *rest: written.setdefault(name, plain(df, name, *rest)))
+    lines = ["Visa Class: DIP-1", "Visa C1ass DIP-2", "Nothing at all"]
+    pages = [(f"c{i}", 1, "intake_form", lines, "text", [], ["Visa Class: DIP-1"]) for i in range(50)]
+    schema = "case_id string, number int, doc_type string, lines array<string>, source string, ocr_lines array<string>, second_lines array<string>"
+    found = candidates.candidates(spark.createDataFrame(pages, schema).repartition(4))
+    assert found.where("field = 'visa_class' and value = 'DIP-1' and seq.step = 1").count() == 100
+    assert found.where("field = 'visa_class' and value = 'DIP-1' and seq.step = 2").count() == 50
+    assert written["readings"].count() == len(lines)
