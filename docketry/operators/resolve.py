@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import fixed, fuzzy, text
 from ..functions.values import lexicon_support
+from ..sources.shared import tasks_for
 from .candidates import CORRECTION
 
 #: Fields whose spelling is voted on; flags keep the single best reading.
@@ -87,8 +88,35 @@ def _replace(chosen: DataFrame, won: DataFrame) -> DataFrame:
 
 
 def resolve(found: DataFrame) -> DataFrame:
-    """One reading for each case and field after all three steps."""
-    return prefer_clean(found, consensus(found, best_by_authority(found)))
+    """One reading for each case and field after all three steps: ``prefer_clean(found, consensus(found, best_by_authority(found)))``.
+
+    Readings move once, to their case, and are one row for each value from there on, which moves once
+    more after each approximate match: what is near the chosen reading is so by its value, so each step
+    is a window over the case's values of a field, and nothing is joined.
+    """
+    fields, order = F.struct("value", "rank", "exact", "page", "doc_type", "seq"), _order()
+    seen_clean = F.when(F.col("exact"), F.col("seq"))
+    tally = found.repartition(tasks_for(found), "case_id").groupBy("case_id", "field", "value").agg(
+        F.count("*").alias("votes"), F.max("exact").alias("any_exact"), F.min("rank").alias("low"), F.min("seq").alias("first"), F.min_by(fields, "seq").alias("reading"),
+        F.min(order).alias("order"), F.min_by(fields, order).alias("best"), F.min(seen_clean).alias("clean_at"), F.min_by(fields, seen_clean).alias("clean"),
+    )
+    of_field = Window.partitionBy("case_id", "field")
+    voted = F.col("field").isin(*VOTED) & F.col("case_id").isNotNull()
+
+    def near(chosen: Column, also: Column) -> Column:
+        a, b = F.col("key"), text.squash_lower(chosen["value"])
+        open_ = voted & (chosen["doc_type"] != CORRECTION) & also
+        ratio = fuzzy.ratio_udf(F.when(open_ & (a != b) & (fuzzy.ratio_bound(a, b) >= fixed.SAME_AT), a), b)
+        return open_ & ((a == b) | (ratio >= fixed.SAME_AT))
+
+    keyed = tally.withColumn("key", text.squash_lower(F.col("value"))).withColumn("chosen", F.min_by("best", "order").over(of_field))
+    support = F.struct(-lexicon_support(F.col("field"), F.col("value")), -F.col("votes"), ~F.col("any_exact"), F.col("low"), F.col("first"))
+    agreed = keyed.withColumn("near", near(F.col("chosen"), F.lit(True)))
+    agreed = agreed.withColumns({"total": F.sum(F.when(F.col("near"), F.col("votes"))).over(of_field), "won": F.min_by("reading", F.when(F.col("near"), support)).over(of_field)})
+    agreed = agreed.withColumn("chosen", F.when((F.col("total") > 1) & F.col("won").isNotNull(), F.col("won")).otherwise(F.col("chosen")))
+    clean = agreed.withColumn("near", near(F.col("chosen"), ~F.col("chosen.exact") & F.col("clean_at").isNotNull()))
+    last = clean.groupBy("case_id", "field").agg(F.any_value("chosen").alias("chosen"), F.min_by("clean", F.when(F.col("near"), F.col("clean_at"))).alias("won"))
+    return last.select("case_id", "field", F.when(F.col("won").isNotNull(), F.col("won")).otherwise(F.col("chosen")).alias("best")).select("case_id", "field", "best.*")
 
 
 def records(resolved: DataFrame, fields: tuple[str, ...] = fixed.SCORED) -> DataFrame:
