@@ -1,10 +1,12 @@
-"""Near-dedup by the Jaccard similarity of word shingles: MinHash bands find pairs, whole sets verify them.
+"""Near-dedup by the Jaccard similarity of word shingles: SimHash, then MinHash bands find pairs, whole sets verify them.
 
-A 64-bit SimHash can't decide this similarity: sets alike to 0.8 differ by ten bits on average and
-often by more, and no block scheme holds such a radius, so this takes the place of op1's radius
-where five words and a similarity are asked for.
+Each text has a set of 64-bit hashes of its five-word shingles, and the SimHash of these shingles.
+Fingerprints are linked as in ``simhash``: block buckets, pivot distance tables that discard pairs,
+verified survivors. A link there is a candidate pair here, verified by the whole sets. That finds
+copies with small changes and no more: sets alike to 0.8 differ by ten bits on average and often by
+more, and no block scheme holds such a radius. So the pairs beyond the radius are found another way.
 
-Each text has a set of 64-bit hashes of its five-word shingles. Of 288 minima of the set, six make
+Of 288 minima of the set, six make
 a band; two sets that share a band are a candidate pair, and a pair is linked only if the similarity
 of the whole sets is at least 0.8. A pair at 0.8 shares none of the 48 bands with probability 5e-7,
 a more similar pair with less. Equal sets are one vertex. First every set is compared with the
@@ -34,7 +36,7 @@ from pyspark.sql import types as T
 
 from .common import utf8_bytes, written
 from .components import connected_components
-from .simhash import keep_of_classes, row_keys
+from .simhash import RADIUS, fingerprint_of, keep_of_classes, links, row_keys
 
 WIDTH, ALIKE = 5, 0.8
 BANDS, ROWS = 48, 6
@@ -52,15 +54,20 @@ def _factors() -> tuple[np.ndarray, np.ndarray]:
     return words[0] | np.uint64(1), words[1]
 
 
-def shingle_set(text: bytes | None, width: int = WIDTH) -> np.ndarray:
-    """Sorted distinct hashes of a UTF-8 text's word shingles."""
+def shingle_hashes(text: bytes | None, width: int = WIDTH) -> np.ndarray:
+    """Hashes of a UTF-8 text's word shingles, repeats included."""
     words = (text or b"").lower().split()
     if not words:
         return _EMPTY
     if len(words) <= width:
         return np.array([xxhash.xxh64_intdigest(b" ".join(words), 42)], np.uint64)
     shingles = map(b" ".join, zip(*[words[i:] for i in range(width)], strict=False))
-    return np.unique(np.fromiter((xxhash.xxh64_intdigest(s, 42) for s in shingles), np.uint64, len(words) - width + 1))
+    return np.fromiter((xxhash.xxh64_intdigest(s, 42) for s in shingles), np.uint64, len(words) - width + 1)
+
+
+def shingle_set(text: bytes | None, width: int = WIDTH) -> np.ndarray:
+    """Sorted distinct hashes of a UTF-8 text's word shingles."""
+    return np.unique(shingle_hashes(text, width))
 
 
 def set_digest(hashes: np.ndarray) -> int:
@@ -124,19 +131,23 @@ def forest(sets: list[np.ndarray], label: list[int], alike: float) -> list[tuple
 
 
 def _sketches(keyed: DataFrame, text_col: str, width: int) -> DataFrame:
-    """(key, fp, n, bands) of every row: the set's vertex, size and band keys."""
+    """(key, fp, n, sim, bands) of every row: the set's vertex and size, the text's SimHash, and the set's band keys."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         factors = _factors()
         for batch in batches:
-            sets = [shingle_set(t, width) for t in utf8_bytes(batch.column("text"))]
+            sets, sims = [], np.empty(batch.num_rows, np.uint64)
+            for i, t in enumerate(utf8_bytes(batch.column("text"))):
+                hashes = shingle_hashes(t, width)
+                sims[i] = fingerprint_of(hashes)
+                sets.append(np.unique(hashes))
             bands = [band_keys(s, factors) for s in sets]
             flat = pa.array(np.concatenate(bands) if bands else np.empty(0, np.int64))
             offsets = pa.array(np.arange(len(bands) + 1, dtype=np.int32) * BANDS)
-            columns = [batch.column("key"), pa.array([set_digest(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64())]
-            yield pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(offsets, flat)], ["key", "fp", "n", "bands"])
+            columns = [batch.column("key"), pa.array([set_digest(s) for s in sets], pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(sims.view(np.int64))]
+            yield pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(offsets, flat)], ["key", "fp", "n", "sim", "bands"])
 
-    schema = T.StructType([keyed.schema["key"], T.StructField("fp", T.LongType()), T.StructField("n", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType()))])
+    schema = T.StructType([keyed.schema["key"], T.StructField("fp", T.LongType()), T.StructField("n", T.LongType()), T.StructField("sim", T.LongType()), T.StructField("bands", T.ArrayType(T.LongType()))])
     return keyed.select("key", F.col(text_col).alias("text")).mapInArrow(scan, schema)
 
 
@@ -153,6 +164,20 @@ def _sets(texts: DataFrame, width: int) -> DataFrame:
     return texts.mapInArrow(scan, "fp long, hashes binary")
 
 
+def _linked_fingerprints(marked: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """Candidate pairs (a, b) of vertices whose SimHashes are within ``radius`` bits, as a spanning forest.
+
+    A SimHash stands for its smallest vertex, with which its other vertices are pairs.
+    """
+    seen = written(marked.where("n > 0").select("sim", "fp").distinct(), "sims")
+    first = written(seen.groupBy("sim").agg(F.min("fp").alias("lead")), "leads")
+    same = seen.join(first, "sim").where("fp <> lead").select(F.col("lead").alias("a"), F.col("fp").alias("b"))
+    of = lambda side: first.select(F.col("sim").alias(f"sim_{side}"), F.col("lead").alias(side))
+    near = links(first.select(F.col("sim").alias("fp")), radius).select(F.col("a").alias("sim_a"), F.col("b").alias("sim_b"))
+    near = near.join(of("a"), "sim_a").join(of("b"), "sim_b").where("a <> b").select("a", "b")
+    return same.unionByName(near).distinct()
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, alike: float) -> DataFrame:
     """The pairs (a, b) whose whole sets are alike."""
 
@@ -233,10 +258,12 @@ def keep_one_similar(
     weighed = written(rows.join(weight, "fp").select("key", "fp", "n", "weight"), "weighed")
     lead = weighed.groupBy("key").agg(F.max(F.struct("weight", "fp", "n")).alias("lead"))
     pairs = weighed.join(lead, "key").where((F.col("fp") != F.col("lead.fp")) & near)
-    pairs = written(pairs.select(F.col("lead.fp").alias("a"), F.col("fp").alias("b")).distinct(), "pairs")
+    pairs = pairs.select(F.col("lead.fp").alias("a"), F.col("fp").alias("b"))
+    pairs = written(_linked_fingerprints(marked).unionByName(pairs).distinct(), "pairs")
     order = F.struct(F.col("key.id").isNull(), F.col("key.id"), F.col("key.mark"))
     first = written(marked.groupBy("fp").agg(F.min(order).alias("first")), "first")
-    wanted = first.join(weight, "fp").select(F.col("first.id").alias("__dk_id"), F.col("first.mark").alias("__dk_of"))
+    compared = weight.select("fp").unionByName(pairs.select(F.explode(F.array("a", "b")).alias("fp")))
+    wanted = first.join(compared, "fp", "left_semi").select(F.col("first.id").alias("__dk_id"), F.col("first.mark").alias("__dk_of"))
     wanted = written(wanted, "wanted")
     texts = keyed.join(wanted, F.col("key.id").eqNullSafe(F.col("__dk_id")) & (F.col("key.mark") == F.col("__dk_of")), "left_semi")
     sets = written(_sets(texts.select(F.col(text_col).alias("text")), width).dropDuplicates(["fp"]), "sets")

@@ -65,6 +65,16 @@ def fingerprint(text: bytes | None, width: int = 3) -> int:
     return int.from_bytes(np.packbits(ones * 2 > total).tobytes(), "big")
 
 
+def fingerprint_of(hashes: np.ndarray) -> int:
+    """The SimHash of a text whose shingles, repeats included, have these hashes, unsigned; zero where there are none."""
+    ones = np.zeros(64, np.int64)
+    for lo in range(0, len(hashes), _CHUNK_WORDS):
+        packed = hashes[lo : lo + _CHUNK_WORDS].astype(">u8").view(np.uint8).reshape(-1, 8)
+        for at in range(0, len(packed), 255):
+            ones += np.add.reduce(np.unpackbits(packed[at : at + 255], axis=1), axis=0, dtype=np.uint8)
+    return int.from_bytes(np.packbits(ones * 2 > len(hashes)).tobytes(), "big")
+
+
 def add_fingerprints(docs: DataFrame, id_col: str, text_col: str, width: int = 3) -> DataFrame:
     """(id, fp) of every row; fp is the fingerprint as a signed long."""
 

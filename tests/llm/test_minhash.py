@@ -6,6 +6,8 @@ import corpus_pipeline
 import numpy as np
 import pytest
 from docketry.llm import minhash
+from docketry.llm.simhash import RADIUS, fingerprint, fingerprint_of
+from pyspark.sql import functions as F
 
 from .conftest import prose
 
@@ -112,3 +114,27 @@ def test_odd_rows(make_docs, odd_rows):
 @pytest.mark.parametrize("text", [None, "", "one", "one two three four five", "a b c d e f", "x " * 50])
 def test_shingle_sets(text):
     assert len(minhash.shingle_set(text and text.encode())) == len(shingles(text))
+
+
+def test_stage_links_fingerprints(spark, make_docs, monkeypatch):
+    """SimHash finds what is within its radius by itself: with no MinHash bucket left, copies with small changes are still found."""
+    base = prose(900, 31).split()
+    rows = [(k, " ".join([*base[:400], f"w{k}", *base[401:]]), "en", "a") for k in range(6)] + [(10 + k, prose(60, 500 + k), "en", "a") for k in range(5)]
+    sims = [fingerprint(t.encode(), minhash.WIDTH) for _, t, *_ in rows]
+    assert any(0 < (sims[i] ^ sims[j]).bit_count() <= RADIUS for i in range(6) for j in range(i))
+    root = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if (sims[i] ^ sims[j]).bit_count() <= RADIUS and jaccard(rows[i][1], rows[j][1]) >= 0.8:
+                root = [root[j] if r == root[i] else r for r in root]
+    want = sorted({min(rows[k][0] for k in range(len(rows)) if root[k] == r) for r in root})
+    sketches = minhash._sketches
+    monkeypatch.setattr(minhash, "_sketches", lambda *args: sketches(*args).withColumn("bands", F.array().cast("array<long>")))
+    kept = sorted(r["doc_id"] for r in dict(corpus_pipeline.STAGES)["near_dedup"](spark, make_docs(rows), "").collect())
+    assert kept == want and len(kept) < len(rows)
+
+
+@pytest.mark.parametrize("text", [None, "", "one", "a b c d e f", "x " * 700])
+def test_fingerprint_of_hashes(text):
+    data = text and text.encode()
+    assert fingerprint_of(minhash.shingle_hashes(data, 5)) == fingerprint(data, 5)
