@@ -5,10 +5,10 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import functions as F
 
-from docketry.functions import fuzzy, text
-from docketry.operators import candidates, resolve
+from docketry.functions import fixed, fuzzy, text
+from docketry.operators import candidates, resolve, typing
 from docketry.operators.candidates import CORRECTION
-from docketry.plans import bindings
+from docketry.plans import bindings, queries
 from docketry.sources.shared import tasks_for
 
 
@@ -110,3 +110,27 @@ def test_a_statement_is_matched_once_however_many_pages_say_it(spark, monkeypatc
     assert found.where("field = 'visa_class' and value = 'DIP-1' and seq.step = 1").count() == 100
     assert found.where("field = 'visa_class' and value = 'DIP-1' and seq.step = 2").count() == 50
     assert written["readings"].count() == len(lines)
+
+
+def test_watermarks_are_found_without_squashing_a_line(spark):
+    words = ("Sample Denial", "COPY ARTIFACT", "case-work", "FILED", "archive", "[REDACTED]", "scan_tab", "MIB EYES ONLY", "filed1", "un filed", "FILED FILED", "", " ")
+    marks = ("{}", "\u2014 {}.", "{}\n", "\r\n{}\u2028", "\U0001f600{}\x00", "\u0131{}\u212a", "x{}", "{}\n7", " manual  correction {}", "\u00a0Manual correction {}")
+    lines = [mark.format(f) for word in words for mark in marks for f in (word, word.replace("i", "\u0131"), "\u017f".join(word), " ".join(word))] + [None]
+    rows = spark.createDataFrame([(lines,)], "lines array<string>")
+    squashed = F.filter("lines", lambda x: ~text.squash_upper(x).rlike(fixed.WATERMARK_PATTERN) & ~x.rlike(fixed.CORRECTION_LINE_PATTERN))
+    got, want = rows.select(typing.typing_lines(F.col("lines")), squashed).first()
+    assert got == want and 0 < len(got) < len(lines) - 100
+    assert "regexp_replace" not in rows.select(typing.typing_lines(F.col("lines")))._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_words_of_a_type_are_found_one_by_one_as_by_their_pattern(spark):
+    odd = (r"A\|B", "[A|B]C", "(A|B)C|D", "^A|B$", "A||B", "[]|]A", "[^]|]C", r"[\]|]C", "[[A]|B]C", "(?i)a|c", r"\QA|B\E", r"A\\|B", r"A{2}|BC?D", "")
+    known = (*fixed.HEADING_PATTERNS, *fixed.CONTENT_PATTERNS, *queries.DOC_HEADINGS, *queries.DOC_CONTENTS)
+    patterns = [*odd, fixed.CAPTION_PATTERN, *(pattern for _, pattern in known)]
+    parts = sorted({part.replace("\\", "").replace("?", "") for pattern in patterns for part in pattern.split("|")})
+    values = [*parts, *(part[1:] for part in parts), *(f"A|{part}B" for part in parts), "FINDING:", "FINDING", "FORMI809", "AMOUNT:$", "AA", "B]", "|C", "a\n", None]
+    rows = spark.createDataFrame([(v,) for v in values], "v string")
+    for pattern in patterns:
+        assert rows.where(~typing.holds(F.col("v"), pattern).eqNullSafe(F.col("v").rlike(pattern))).collect() == [], pattern
+    plan = rows.select(typing.by_heading(F.col("v")), typing.by_content(F.col("v")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Contains(" in plan and not [part for part in plan.split("RLIKE(")[1:] if "|" in part.split(")")[0]]
