@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -45,6 +46,15 @@ def loose_upper(text: Column) -> Column:
     return F.translate(F.upper(text), " '", "")
 
 
+def loose_letters(text: Column) -> Column:
+    """``loose_upper`` letter for letter, as SQL engines change case, for patterns in ASCII.
+
+    ``upper`` makes several letters of one, some of them in ASCII: SS of a sharp s, FI of a ligature.
+    Beyond ASCII, just the dotless i and the long s have a single letter in ASCII; others stay as they are.
+    """
+    return F.translate(text, f"{ascii_lowercase}\u0131\u017f '", f"{ascii_uppercase}IS")
+
+
 def first_contained(key: Column, options: Column, of: Callable[[Column], Column] = lambda option: option) -> Column:
     """The first of an array of options whose squashed text, ``of`` it, a squashed key holds; null where it holds none.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from functools import reduce
 from operator import or_
 
@@ -25,10 +26,10 @@ WATERMARK_LINE = _unsquashed(fixed.WATERMARK_PATTERN)
 _BOUND = re.compile(r"\(|\\[|QE\]]|\[\^?\]|\[[^\]]*[|\[]")
 
 
-def typing_lines(lines: Column, extra: Column | None = None) -> Column:
+def typing_lines(lines: Column, extra: Column | None = None, correction: str = fixed.CORRECTION_LINE_PATTERN) -> Column:
     """Lines that typing looks at: both readings, without watermarks and correction lines."""
     merged = lines if extra is None else F.concat(lines, F.array_except(F.coalesce(extra, F.array().cast("array<string>")), lines))
-    return F.filter(merged, lambda x: ~x.rlike(WATERMARK_LINE) & ~x.rlike(fixed.CORRECTION_LINE_PATTERN))
+    return F.filter(merged, lambda x: ~x.rlike(WATERMARK_LINE) & ~x.rlike(correction))
 
 
 def holds(value: Column, pattern: str) -> Column:
@@ -44,14 +45,14 @@ def _first(value: Column, patterns) -> Column:
     return F.coalesce(*[F.when(holds(value, pattern), F.lit(kind)) for kind, pattern in patterns])
 
 
-def head_text(kept: Column) -> Column:
+def head_text(kept: Column, upper: Callable[[Column], Column] = text.loose_upper) -> Column:
     """What heading patterns are matched on: the first three lines."""
-    return text.loose_upper(F.array_join(F.slice(kept, 1, 3), ""))
+    return upper(F.array_join(F.slice(kept, 1, 3), ""))
 
 
-def body_text(kept: Column) -> Column:
+def body_text(kept: Column, upper: Callable[[Column], Column] = text.loose_upper) -> Column:
     """What content and caption patterns are matched on: all lines."""
-    return text.loose_upper(F.array_join(kept, ""))
+    return upper(F.array_join(kept, ""))
 
 
 def by_heading(head: Column, patterns=fixed.HEADING_PATTERNS) -> Column:

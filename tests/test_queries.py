@@ -43,6 +43,20 @@ def test_query(spark, duck, sf_dir, tmp_path, name):
         assert left == [], left[:3]
 
 
+def test_documents_are_typed_as_by_sql_beside_odd_letters(spark, tmp_path):
+    """Letters that ``upper`` makes several of, those that are one in ASCII, and white space that engines don't agree on."""
+    odd = "\u00df\u0149\u01f0\u1e96\u1e97\u1e98\u1e99\u1e9a\ufb00\ufb01\ufb02\ufb03\ufb04\ufb05\ufb06\u1e9e\u0131\u017f\u0130\u212a\u00e9\u0390\u1f80\u0587\x0b\x0c\r\x1c\x85\u00a0\u2028\0'k"
+    forms = ("{}|b", "a|{}", "m@{}.de", "m@a.{}", "{}!!", "a{}!!", "copyr{}ght", "licen{}edunder", "pa{}{}portimage", "a\n{}manual correction\nb\ncopyright", "a\nmanual{}correction\nb\ncopyright", "a\nf{}led\nb\ncopyright")
+    texts = [form.replace("{}", c) for form in forms for c in odd]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    want = dict(con.execute(registry.ORACLES["doc_type_cascade"]).fetchall())
+    got = {r["doc_id"]: r["doc_type"] for r in registry.QUERIES["doc_type_cascade"](spark, str(tmp_path)).collect()}
+    assert [(texts[i], want[i], got[i]) for i in want if got[i] != want[i]] == [] and len(got) == len(texts)
+    assert set(want.values()) == {"licence", "shout", "mail", "table", "passport_image", "unknown"}
+
+
 def test_damaged_names_are_pulled_back(spark, sf_dir):
     found = registry.QUERIES["snap_fuzzy"](spark, sf_dir)
     assert found.where("snapped = p_name").count() > 0.9 * found.count()
